@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("searching", "joining", "monitoring", "thresholds")
+MODULES = ("searching", "joining", "monitoring", "thresholds", "texts")
 
 
 def load():

@@ -54,21 +54,27 @@ def _matcher(codes: list[str]):
     return match
 
 
+def _pieces(lengths: list[int]):
+    """Column function: the distinct pieces of the given lengths at every position of a text."""
+
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series(
+            [list({t[i:i + n] for n in lengths for i in range(len(t) - n + 1)}) if t else [] for t in texts],
+            index=texts.index, dtype=object,
+        )
+
+    return cut
+
+
 def _seed_join(docs: DataFrame, dictionary: DataFrame, key: str, text: str) -> DataFrame:
     """(key, code, code_pos) by meeting on the first characters of the code."""
     seeds = dictionary.withColumn("_n", F.least(F.length("code"), F.lit(SEED_LENGTH)))
     seeds = seeds.withColumn("_seed", F.expr("substring(code, 1, _n)"))
     lengths = [r["_n"] for r in seeds.select("_n").distinct().collect()]  # at most SEED_LENGTH values
-    pieces = F.array_distinct(F.flatten(F.array(*[
-        F.when(
-            F.length(text) >= n,
-            F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda p, n=n: F.substr(F.col(text), p, F.lit(n))),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in lengths
-    ])))
-    # Only pieces that open some code travel: the seeds are a narrow, distinct side.
+    # The pieces of a text travel once each; the text itself only for rows that met a code.
     met = (
-        docs.select(key, F.explode(pieces).alias("_seed"))
+        docs.select(key, F.explode(_pieces(lengths)(F.col(text))).alias("_seed"))
         .join(seeds.select("_seed", "code", "code_pos"), "_seed")
         .select(key, "code", "code_pos")
     )

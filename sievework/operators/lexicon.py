@@ -54,13 +54,19 @@ def lexicon_hits(text: Column, words: Iterable[str]) -> Column:
     return F.filter(word_tokens(text), lambda t: t.isin(*listed))
 
 
+def _among(hits: Column, words: Iterable[str]) -> Column:
+    """How many of the hits are one of ``words``."""
+    listed = sorted(set(words))
+    return F.size(F.filter(hits, lambda t: t.isin(*listed)))
+
+
 def _hit_points(hits: Column, weights: Mapping[str, float]) -> Column:
     """Sum of weights over the hits, with one hash-set test per distinct weight."""
     by_weight: dict[float, list[str]] = defaultdict(list)
     for word, weight in weights.items():
         by_weight[weight].append(word)
     return _total(
-        F.size(F.filter(hits, lambda t, ws=words: t.isin(*ws))) * F.lit(weight)
+        _among(hits, words) * F.lit(weight)
         for weight, words in sorted(by_weight.items())
     )
 
@@ -104,7 +110,7 @@ def lexicon_features(
     hits = F.col("_hits")
     step = step.withColumns({
         "_points": _hit_points(hits, words) + F.col("_phrases"),
-    } | {f"count_{t}": F.size(F.filter(hits, lambda x, term=t: x == term)) for t in key_words})
+    } | {f"count_{t}": _among(hits, [t]) for t in key_words})
     density = F.col("_points") / F.nullif(F.col("n_words").cast("double"), F.lit(0.0)) * F.lit(lex.per_words)
     step = step.withColumns({
         "exclusion_score": F.coalesce(F.least(density, F.lit(lex.cap)), F.lit(0.0)),
@@ -148,7 +154,7 @@ def fixed_vocabulary_tfidf(
     """
     counted = df.withColumn("_hits", F.filter(word_tokens(F.lower(text)), lambda t: t.isin(*vocabulary)))
     counts = counted.select(
-        "*", *[F.size(F.filter("_hits", lambda x, t=t: x == t)).cast("double").alias(f"_n_{t}") for t in vocabulary]
+        "*", *[_among(F.col("_hits"), [t]).cast("double").alias(f"_n_{t}") for t in vocabulary]
     ).drop("_hits")
     stats = counts.agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"_n_{t}") > 0).alias(f"df_{t}") for t in vocabulary]

@@ -13,12 +13,15 @@ from sievework import fixed_values as fv
 from sievework.functions.clean import is_blank
 from sievework.operators.joins import has_url, mark_processed
 
-WHOLE = Window.partitionBy()  # only ever used over a handful of grouped rows
-
 # The words of the store for a finished and a failed text.
 STATUS_WORDS = {"success": "COMPLETED", "failed": "failed"}
 
 
+def grand_total(column: str) -> Column:
+    """Sum over all rows; only ever used on a handful of grouped rows."""
+    return F.sum(column).over(Window.partitionBy())
+
+
 def share(part: Column, whole: Column, places: int = 2) -> Column:
     """Percentage, NULL when the whole is 0."""
     return F.round(part * F.lit(100.0) / F.nullif(whole, F.lit(0)), places)
@@ -144,7 +147,7 @@ def status_funnel(notices: DataFrame, doc_content: DataFrame, since: str) -> Dat
     counts = _with_doc(recent, doc_content, ["processing_status"]).groupBy(doc_status().alias("status")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return counts.withColumn("percentage", share(F.col("n"), F.sum("n").over(WHOLE))).orderBy(F.desc("n"), "status")
+    return counts.withColumn("percentage", share(F.col("n"), grand_total("n"))).orderBy(F.desc("n"), "status")
 
 
 def hourly_activity(
@@ -207,7 +210,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def category_volumes(df: DataFrame, column: str = "category") -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(WHOLE)).orderBy(column)
+    return counts.withColumn("share", F.col("n") / grand_total("n")).orderBy(column)
 
 
 def ingest_counters(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
