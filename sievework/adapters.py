@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from sievework.operators.containment import detect_codes
 from sievework.operators.lexicon import Lexicon
+from sievework.operators.scoring import doc_features
+from sievework.session import spread_small_scan
 
 URL_BASE = "https://example.org/notice?id="
 AS_OF = "2001-08-01 00:00:00"        # last day of the notices
@@ -75,7 +77,7 @@ class Tables:
     @cached_property
     def doc_content(self) -> DataFrame:
         minutes = F.make_dt_interval(mins=(F.col("n_chars") % 4000).cast("int"))
-        return self.raw("documents").select(
+        return spread_small_scan(self.raw("documents")).select(
             F.col("doc_id").alias("resource_id"),
             F.col("text").alias("pdf_text"),
             F.when(F.col("doc_id") % 10 == 0, "failed").otherwise("COMPLETED").alias("processing_status"),
@@ -91,6 +93,16 @@ class Tables:
         """Document texts with their detected codes."""
         return detect_codes(self.doc_content, self.dictionary)
 
+    @cached_property
+    def counted(self) -> DataFrame:
+        """Codes and text counts of each document, without its text."""
+        return doc_features(self.coded, TEST_LEXICON)
+
+    @cached_property
+    def screened(self) -> DataFrame:
+        """Notices with the counts of their document, ready to be scored."""
+        return self.notices.join(self.counted, "resource_id", "left")
+
     @cached_property
     def authorities(self) -> dict[str, int]:
         names = self.raw("nation").where(F.col("n_nationkey") < N_AUTHORITIES).select("n_name", "n_nationkey")

@@ -285,27 +285,32 @@ predicted AS (SELECT *,
 
 
 def _features(t):
-    return scoring.feature_vector(_joined(t), TEST_LEXICON, t.authorities)
+    return scoring.feature_vector(t.screened, TEST_LEXICON, t.authorities)
 
 
 def _predicted(t):
+    return scoring.predict_rule(t.screened, TEST_LEXICON, t.authorities)
+
+
+def _predicted_with_text(t):
+    """For messages and prompts, which carry the text on."""
     return scoring.predict_rule(_joined(t), TEST_LEXICON, t.authorities)
 
 
 @query("term_counts", with_(*BASE, select=f"SELECT resource_id, n_words, {', '.join(f'count_{t}' for t in TERMS)} FROM features"))
 def _(t):
-    return lexicon.lexicon_features(_joined(t), TEST_LEXICON).select("resource_id", "n_words", *[f"count_{x}" for x in TERMS])
+    return lexicon.lexicon_features(t.screened, TEST_LEXICON).select("resource_id", "n_words", *[f"count_{x}" for x in TERMS])
 
 
 @query("term_scores", with_(*BASE, select=f"""
 SELECT resource_id, {', '.join(f'round(tfidf_{t}, 9) AS tfidf_{t}' for t in TERMS)} FROM features"""))
 def _(t):
-    return lexicon.lexicon_features(_joined(t), TEST_LEXICON).select("resource_id", *[f"tfidf_{x}" for x in TERMS])
+    return lexicon.lexicon_features(t.screened, TEST_LEXICON).select("resource_id", *[f"tfidf_{x}" for x in TERMS])
 
 
 @query("exclusion_score", with_(*BASE, select="SELECT resource_id, round(exclusion_score, 9) AS exclusion_score FROM features"))
 def _(t):
-    return lexicon.lexicon_features(_joined(t), TEST_LEXICON).select("resource_id", "exclusion_score")
+    return lexicon.lexicon_features(t.screened, TEST_LEXICON).select("resource_id", "exclusion_score")
 
 
 @query("feature_vector", with_(*BASE, select=f"SELECT resource_id, {', '.join(f'round({n}, 9) AS {n}' for n in NAMES)} FROM features"))
@@ -399,7 +404,7 @@ SELECT resource_id, title AS tender_title, ml_bid AS should_bid, round(ml_confid
  CASE WHEN ml_bid THEN 'URGENT' ELSE 'NORMAL' END AS priority FROM predicted"""))
 def _(t):
     body = F.col("body")
-    sent = messages.scored_message(_predicted(t), F.lit(AS_OF).cast("timestamp_ntz"))
+    sent = messages.scored_message(_predicted_with_text(t), F.lit(AS_OF).cast("timestamp_ntz"))
     read = lambda path, kind="string": F.get_json_object(body, path).cast(kind)
     return sent.select(
         read("$.resource_id", "bigint").alias("resource_id"), read("$.tender_title").alias("tender_title"),
@@ -449,7 +454,7 @@ cuts AS (SELECT p.*, coalesce(array_to_string(c.detected_codes, ', '), '') AS co
 SELECT resource_id, md5(CASE WHEN strlen(pdf_text) < 100 THEN {_template_sql(reply.TITLE_PROMPT, PROMPT_FIELDS)}
  ELSE {_template_sql(reply.FULL_PROMPT, PROMPT_FIELDS)} END) AS prompt_md5 FROM cuts"""))
 def _(t):
-    rows = _predicted(t).withColumns({
+    rows = _predicted_with_text(t).withColumns({
         "summary_type": scoring.summary_type("pdf_text"), "should_bid": F.coalesce("ml_bid", F.lit(False)),
         "confidence": F.col("ml_confidence"), "reasoning": F.col("ml_reasoning"),
     })

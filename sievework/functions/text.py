@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.functions.clean import WHITE_SPACE, _c, is_blank, trim_all
+from sievework.functions.clean import _c, is_blank, trim_all
 
-_SPACE_CLASS = "[^" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITE_SPACE) + "]+"
-# Characters that make up a word, as in the Unicode definition of \w; everything else is a boundary.
-WORD_CLASS = r"\p{L}\p{M}\p{Nd}\p{Pc}"
+# Word characters and white space by their Unicode properties. Java tests these classes with one
+# look-up per character; a spelled-out list of characters is ten times slower.
+WORDS = r"(?U)\w+"
+NON_SPACE = r"(?U)\S+"
 
 # Section "5 Lot ..." up to a line that starts section 6, and its fallback of 5.x blocks.
 SECTION_FIVE = r"(?ims)(?:^|\n)\s*5\s+lot.*?(?=(?:^|\n)\s*6\s+|\z)"
@@ -18,7 +19,7 @@ SECTION_FIVE_PARTS = r"(?ims)(?:^|\n)\s*5\.\d+.*?(?=(?:^|\n)\s*6\.\d+|\z)"
 
 def word_count(c: Column | str) -> Column:
     """Runs of non-white-space, 0 for NULL."""
-    return F.regexp_count(F.coalesce(_c(c), F.lit("")), F.lit(_SPACE_CLASS))
+    return F.regexp_count(F.coalesce(_c(c), F.lit("")), F.lit(NON_SPACE))
 
 
 def combined_text(title: Column | str, text: Column | str) -> Column:
@@ -27,14 +28,14 @@ def combined_text(title: Column | str, text: Column | str) -> Column:
 
 
 def word_tokens(c: Column | str) -> Column:
-    """Words between Unicode word boundaries; the empty pieces at the ends stay and match nothing."""
-    return F.split(_c(c), f"[^{WORD_CLASS}]+")
+    """The words of a text, in order."""
+    return F.regexp_extract_all(_c(c), F.lit(WORDS), F.lit(0))
 
 
 def phrase_count(text: Column, phrase: str, whole_words: bool) -> Column:
     """Non-overlapping occurrences of a literal phrase in lower-cased text."""
     if whole_words:
-        quoted = f"(?<![{WORD_CLASS}])\\Q{phrase}\\E(?![{WORD_CLASS}])"
+        quoted = f"(?U)(?<!\\w)\\Q{phrase}\\E(?!\\w)"
         return F.regexp_count(text, F.lit(quoted))
     dropped = F.length(text) - F.length(F.replace(text, F.lit(phrase), F.lit("")))
     return (dropped / F.lit(len(phrase))).cast("int")

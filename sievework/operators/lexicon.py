@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework import fixed_values as fv
-from sievework.functions.text import combined_text, phrase_count, word_count, word_tokens
+from sievework.functions.text import phrase_count, word_count, word_tokens
 
 MAX_AUTHORITIES = 1000
 
@@ -86,45 +86,99 @@ def _phrase_points(text: Column, whole: Mapping[str, float], loose: Mapping[str,
     )
 
 
-def lexicon_features(
-    df: DataFrame, lexicon: Lexicon | None = None, title: str = "title", text: str = "pdf_text"
-) -> DataFrame:
-    """Add ``n_words``, ``exclusion_score`` and per key term ``count_<t>`` and ``tfidf_<t>``."""
-    lex = lexicon or Lexicon()
+def _split_entries(lex: Lexicon) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
     weights = lex.whole_word_weights()
     words = {w: x for w, x in weights.items() if _is_word(w)}
     whole = {w: x for w, x in weights.items() if not _is_word(w)}
-    loose = {p: lex.phrase_weight for p in lex.phrases}
+    return words, whole, {p: lex.phrase_weight for p in lex.phrases}
+
+
+def _overlaps_itself(phrase: str) -> bool:
+    return any(phrase.startswith(phrase[i:]) for i in range(1, len(phrase)))
+
+
+def _edge_length(lex: Lexicon) -> int:
+    _, whole, loose = _split_entries(lex)
+    entries = [*whole, *loose, *(t for t in lex.key_terms if not _is_word(t))]
+    for entry in entries:
+        if _overlaps_itself(entry):
+            raise ValueError(f"entry {entry!r} can overlap itself, so its counts do not add up")
+    return max([len(e) for e in entries], default=1)
+
+
+def lexicon_counts(df: DataFrame, text: Column | str, lexicon: Lexicon | None = None, prefix: str = "d_") -> DataFrame:
+    """Add the additive counts of one text column, a few numbers per row:
+
+    ``<prefix>words``, ``<prefix>points`` (weighted list entries), ``<prefix>n_<term>`` per key
+    term, and ``<prefix>head`` / ``<prefix>tail``, its ends, for entries that run across a seam.
+
+    The counts of two texts add up to those of the joined text (:func:`lexicon_features`), so
+    long texts are counted where they lie and never shuffled to the notice they belong to.
+    """
+    lex = lexicon or Lexicon()
+    words, whole, loose = _split_entries(lex)
+    edge = _edge_length(lex)
     key_words = [t for t in lex.key_terms if _is_word(t)]
+    source = F.col(text) if isinstance(text, str) else text
 
-    # Each step is a projection of its own: the text is lowered and split once per row, and the
-    # many small counts read the short array of hits.
-    step = df.withColumn("_text", combined_text(title, text))
+    # Each step is a projection of its own: the text is lowered and cut into words once per row,
+    # and the many small counts read the short array of hits.
+    low = F.col("_low")
+    step = df.withColumn("_low", F.lower(F.coalesce(source, F.lit(""))))
     step = step.withColumns({
-        "n_words": word_count("_text"),
-        "_hits": lexicon_hits(F.col("_text"), [*words, *key_words]),
-        "_phrases": _phrase_points(F.col("_text"), whole, loose),
+        f"{prefix}words": word_count(low),
+        "_hits": lexicon_hits(low, [*words, *key_words]),
+        "_phrases": _phrase_points(low, whole, loose),
+        f"{prefix}head": F.left(low, F.lit(edge)),
+        f"{prefix}tail": F.right(low, F.lit(edge)),
     } | {
-        f"count_{t}": phrase_count(F.col("_text"), t, True) for t in lex.key_terms if t not in key_words
+        f"{prefix}n_{t}": phrase_count(low, t, True) for t in lex.key_terms if t not in key_words
     })
     hits = F.col("_hits")
-    step = step.withColumns({
-        "_points": _hit_points(hits, words) + F.col("_phrases"),
-    } | {f"count_{t}": _among(hits, [t]) for t in key_words})
-    density = F.col("_points") / F.nullif(F.col("n_words").cast("double"), F.lit(0.0)) * F.lit(lex.per_words)
+    return step.withColumns({
+        f"{prefix}points": _hit_points(hits, words) + F.col("_phrases"),
+    } | {f"{prefix}n_{t}": _among(hits, [t]) for t in key_words}).drop("_low", "_hits", "_phrases")
+
+
+def lexicon_features(
+    df: DataFrame, lexicon: Lexicon | None = None, title: str = "title", text: str = "pdf_text"
+) -> DataFrame:
+    """Add ``n_words``, ``exclusion_score`` and per key term ``count_<t>`` and ``tfidf_<t>``.
+
+    The features are those of title, a space, and text. Rows that already carry the counts of the
+    text (``d_...``, NULL for a notice without one) need not carry the text itself.
+    """
+    lex = lexicon or Lexicon()
+    _, whole, loose = _split_entries(lex)
+    counted = df if "d_words" in df.columns else lexicon_counts(df, text, lex, "d_")
+    counted = lexicon_counts(counted, title, lex, "t_")
+    zero, none = F.lit(0), F.lit("")
+    # Entries across the seam: those of the joined ends that neither end holds alone.
+    ends = (F.col("t_tail"), F.coalesce(F.col("d_head"), none))
+    counted = counted.withColumn("_seam", F.concat(ends[0], F.lit(" "), ends[1]))
+    seam = F.col("_seam")
+
+    def across(count) -> Column:
+        return count(seam) - count(ends[0]) - count(ends[1])
+
+    both = lambda name: F.col(f"t_{name}") + F.coalesce(F.col(f"d_{name}"), zero)
+    crossing = across(lambda c: _phrase_points(c, whole, loose))
+    step = counted.withColumns({
+        "n_words": both("words"), "_points": both("points") + crossing,
+    } | {
+        f"count_{t}": both(f"n_{t}") if _is_word(t) else both(f"n_{t}") + across(lambda c, t=t: phrase_count(c, t, True))
+        for t in lex.key_terms
+    })
+    words = F.nullif(F.col("n_words").cast("double"), F.lit(0.0))
+    density = F.col("_points") / words * F.lit(lex.per_words)
     step = step.withColumns({
         "exclusion_score": F.coalesce(F.least(density, F.lit(lex.cap)), F.lit(0.0)),
     } | {
-        f"tfidf_{t}": F.coalesce(
-            F.least(
-                F.col(f"count_{t}") / F.nullif(F.col("n_words").cast("double"), F.lit(0.0)) * F.lit(weight),
-                F.lit(1.0),
-            ),
-            F.lit(0.0),
-        )
+        f"tfidf_{t}": F.coalesce(F.least(F.col(f"count_{t}") / words * F.lit(weight), F.lit(1.0)), F.lit(0.0))
         for t, weight in lex.key_terms.items()
     })
-    return step.drop("_text", "_hits", "_phrases", "_points")
+    names = [f"{p}{n}" for p in ("t_", "d_") for n in ("words", "points", "head", "tail", *(f"n_{t}" for t in lex.key_terms))]
+    return step.drop("_seam", "_points", *names)
 
 
 def encode_authority(c: Column | str, codes: Mapping[str, int] | None = None) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework import fixed_values as fv
-from sievework.functions.clean import is_blank, trim_all
-from sievework.operators.lexicon import Lexicon, encode_authority, lexicon_features
+from sievework.functions.clean import trim_all
+from sievework.operators.lexicon import Lexicon, encode_authority, lexicon_counts, lexicon_features
 
 
 def fixed_decimals(c: Column, places: int) -> Column:
@@ -18,6 +18,26 @@ def fixed_decimals(c: Column, places: int) -> Column:
     return F.call_function("format_number", c, F.lit("0." + "0" * places if places else "0"))
 
 
+def text_size(df: DataFrame) -> Column:
+    """Characters of the trimmed text; read from ``text_chars`` on rows that left their text behind."""
+    if "text_chars" in df.columns:
+        return F.coalesce(F.col("text_chars"), F.lit(0))
+    return F.length(trim_all(F.coalesce(F.col("pdf_text"), F.lit(""))))
+
+
+def doc_features(docs: DataFrame, lexicon: Lexicon | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """What the score needs of each document text, without the text.
+
+    This is the narrow frame to join to the notices: the texts, by far the widest column, are
+    read, counted and dropped in one scan and take no part in any shuffle.
+    """
+    counted = lexicon_counts(docs, "pdf_text", lexicon, "d_").withColumns({
+        "text_chars": F.length(trim_all(F.coalesce(F.col("pdf_text"), F.lit("")))),
+        "text_bytes": F.octet_length(F.coalesce(F.col("pdf_text"), F.lit(""))),
+    })
+    return counted.drop(*[c for c in ("pdf_text", "d_tail") if c not in keep])
+
+
 def feature_names(lexicon: Lexicon) -> list[str]:
     return ["codes_count", "has_codes", "title_length", "ca_encoded", "exclusion_score"] + [
         f"tfidf_{t}" for t in lexicon.key_terms
@@ -126,10 +146,10 @@ def decide(
     threshold: float = fv.RULE_THRESHOLD,
     weights: Sequence[float] = fv.FEATURE_WEIGHTS,
 ) -> DataFrame:
-    """The decision on rows that already carry their features and ``pdf_text``."""
+    """The decision on rows that already carry their features, and their text or its size."""
     exclusion = F.col("exclusion_score")
     step = features.withColumns({
-        "_blank": is_blank("pdf_text"),
+        "_blank": text_size(features) == 0,
         "score": linear_score(names, weights),
         "limit": F.when(exclusion > 1.0, F.lit(threshold) * (F.lit(1.0) + exclusion * 0.5)).otherwise(threshold),
         "feature_scores": component_scores(names, weights),
@@ -184,7 +204,7 @@ def review_category(
     df: DataFrame, probability: str = "probability", threshold: float = fv.REVIEW_THRESHOLD, min_chars: int = 50
 ) -> DataFrame:
     """Review queue of each notice."""
-    has_text = F.length(trim_all(F.coalesce(F.col("pdf_text"), F.lit("")))) > min_chars
+    has_text = text_size(df) > min_chars
     p = F.when(has_text, F.col(probability))
     bid = F.coalesce(p >= threshold, F.lit(False))
     title = F.coalesce(F.col("title"), F.lit("Unknown"))

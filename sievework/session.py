@@ -49,3 +49,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     folder = shared_folder(spark)
     spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when its files are too few to keep them busy.
+
+    A table of many files comes back as it is, so this never adds a shuffle to a large scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
