@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("searching", "joining", "monitoring", "thresholds", "texts")
+MODULES = ("storing", "searching", "joining", "monitoring", "thresholds", "texts", "replies")
 
 
 def load():

@@ -227,7 +227,7 @@ flags AS (SELECT resource_id, """ + ", ".join(
 def _(t):
     codes = monitor.top_codes(t.coded)
     names = [f"code_{i}" for i in range(1, len(codes) + 1)]
-    return monitor.correlations(monitor.code_flags(t.coded, codes).select(*names), names)
+    return monitor.correlations(monitor.code_flags(t.coded, codes).select(*names), names, complete=True)
 
 
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -301,14 +301,26 @@ FEATURES = ["title_length", "title_word_count", "pdf_text_length", "pdf_text_wor
     for i, a in enumerate(FEATURES) for b in FEATURES[i + 1:]
 ) + ") WHERE corr IS NOT NULL AND NOT isnan(corr) AND abs(corr) > 0.8"))
 def _(t):
-    return monitor.high_correlations(_engineered(t), FEATURES)
+    return monitor.high_correlations(_engineered(t), FEATURES, complete=True)
 
 
 @query("feature_label_corr", with_(NOTICES, DOCS, HITS, ENGINEERED, select="SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{a}' AS feature, round(corr({a}, bid), 9) AS corr FROM engineered" for a in FEATURES
 ) + ") WHERE corr IS NOT NULL AND NOT isnan(corr) ORDER BY abs(corr) DESC, feature LIMIT 10"))
 def _(t):
-    return monitor.feature_label_corr(_engineered(t), FEATURES)
+    return monitor.feature_label_corr(_engineered(t), FEATURES, complete=True)
+
+
+@query("correlations_with_gaps", """
+SELECT * FROM (SELECT 'value' AS a, 'user_id' AS b, round(corr(v, user_id), 9) AS corr FROM e
+ UNION ALL SELECT 'value', 'k', round(corr(v, k), 9) FROM e UNION ALL SELECT 'user_id', 'k', round(corr(user_id, k), 9) FROM e)
+""".replace(" FROM e", " FROM (SELECT CASE WHEN event_type <> 'error' THEN value END AS v, user_id, CAST(props->>'k' AS DOUBLE) AS k FROM events)"))
+def _(t):
+    events = t.raw("events").select(
+        F.when(F.col("event_type") != "error", F.col("value")).alias("value"), "user_id",
+        F.get_json_object("props", "$.k").cast("double").alias("k"),
+    )
+    return monitor.correlations(events, ["value", "user_id", "k"])
 
 
 @query("crosstab_margins", with_(NOTICES, DOCS, HITS, ENGINEERED, select="""

@@ -107,7 +107,9 @@ def processing_notes(
 def normalize_reply(df: DataFrame, reply: str = "reply") -> DataFrame:
     """Summary columns from each reply; a reply that is no JSON becomes a plain-text summary."""
     text = F.col(reply)
-    step = df.withColumn("_json", strict_json(extract_json(text)))
+    # Generated, not projected: a filter on the summary is then not rewritten into copies of the
+    # parsing expression, which would run once per mention.
+    step = df.withColumn("_json", F.explode(F.array(strict_json(extract_json(text)))))
     value, parsed = F.col("_json"), F.col("_json").isNotNull()
     step = step.withColumns({
         "ai_summary": F.when(parsed, F.coalesce(text_at(value, "$.summary"), text)).otherwise(text),

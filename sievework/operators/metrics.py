@@ -143,9 +143,9 @@ def balanced_threshold(sweep: DataFrame) -> DataFrame:
     return pick_row(gaps.select("threshold", "fn", "fp", "gap"), [F.col("gap"), F.col("threshold")])
 
 
-def pr_curve(scored: DataFrame, slices: int = 256) -> DataFrame:
+def pr_curve(scored: DataFrame, slices: int = 64) -> DataFrame:
     """Precision and recall at every distinct score."""
-    totals = running_totals(score_counts(scored), "score", ["pos", "neg"], slices)
+    totals = running_totals(score_counts(scored), "score", ["pos", "neg"], slices=slices)
     positives = scored.agg(F.sum("y").cast("bigint").alias("p")).scalar()
     return totals.select(
         F.col("score").alias("threshold"), "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
@@ -203,9 +203,9 @@ def average_precision(scored: DataFrame) -> DataFrame:
     )
 
 
-def roc_curve(scored: DataFrame, slices: int = 256) -> DataFrame:
+def roc_curve(scored: DataFrame, slices: int = 64) -> DataFrame:
     """True and false positive rate at every distinct score."""
-    totals = running_totals(score_counts(scored), "score", ["pos", "neg"], slices)
+    totals = running_totals(score_counts(scored), "score", ["pos", "neg"], slices=slices)
     whole = scored.agg(F.sum("y").cast("bigint").alias("p"), F.sum(1 - F.col("y")).cast("bigint").alias("n"))
     one = whole.select(F.struct("p", "n").alias("w")).scalar()
     return totals.withColumn("_w", one).select(

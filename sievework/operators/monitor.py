@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from sievework import fixed_values as fv
 from sievework.functions.clean import is_blank
 from sievework.operators.joins import has_url, mark_processed
+from sievework.operators.running import exact_quantiles
 
 # The words of the store for a finished and a failed text.
 STATUS_WORDS = {"success": "COMPLETED", "failed": "failed"}
@@ -268,7 +269,21 @@ def code_flags(df: DataFrame, codes: Sequence[str]) -> DataFrame:
 
 # -- profiles -------------------------------------------------------------------------------------
 
-DESCRIBED = ("n", "mean", "std", "min", "q25", "q50", "q75", "max")
+QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+
+
+def quantile_columns(df: DataFrame, columns: Sequence[str], fractions: Mapping[float, str], approximate: bool) -> DataFrame:
+    """One row per column with its quantiles, exact or from a sketch."""
+    if approximate:
+        aggs = [
+            F.percentile_approx(F.col(c).cast("double"), f).alias(f"{name}__{c}")
+            for c in columns for f, name in fractions.items()
+        ]
+        return unpivot_row(df.agg(*aggs), columns, list(fractions.values()))
+    found = exact_quantiles(df, columns, list(fractions))
+    return found.groupBy("column").agg(*[
+        F.max(F.when(F.col("fraction") == f, F.col("value"))).alias(name) for f, name in fractions.items()
+    ])
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
@@ -276,13 +291,10 @@ def describe_columns(df: DataFrame, columns: Sequence[str], approximate: bool =
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
-        quartile = (lambda q, x=x: F.percentile_approx(x, q)) if approximate else (lambda q, x=x: F.percentile(x, q))
-        measures = {
-            "n": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x),
-            "q25": quartile(0.25), "q50": quartile(0.5), "q75": quartile(0.75), "max": F.max(x),
-        }
+        measures = {"n": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
         aggs += [m.alias(f"{name}__{c}") for name, m in measures.items()]
-    return unpivot_row(df.agg(*aggs), columns, DESCRIBED)
+    simple = unpivot_row(df.agg(*aggs), columns, ["n", "mean", "std", "min", "max"])
+    return simple.join(quantile_columns(df, columns, QUARTILES, approximate), "column", "left")
 
 
 def length_buckets(df: DataFrame, column: str, bounds: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -313,48 +325,62 @@ def quality_profile(df: DataFrame, columns: Sequence[str], zero_limit: float = 0
     return rows.withColumn("mostly_zero", F.col("zero_share") > zero_limit)
 
 
-def _pearson(pairs: Sequence[tuple[str, str, str]], df: DataFrame, label: str) -> DataFrame:
+def _pearson(pairs: Sequence[tuple[str, str, str]], df: DataFrame, label: str, complete: bool) -> DataFrame:
     """Correlations of named column pairs from sums in one pass; a constant column gives no row.
 
-    The sums run over rows where both sides are present and are taken around each column's
-    mean, so large values do not cancel.
+    Values are taken around each column's mean, so large ones do not cancel. ``complete`` says
+    that no value is missing: the sums of a column then serve all its pairs. Otherwise each pair
+    has sums of its own over the rows where both sides are present.
     """
     names = sorted({c for _, a, b in pairs for c in (a, b)})
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).select(F.struct("*").alias("m")).scalar()
     centred = df.withColumn("_m", means).select(*[
         (F.col(c).cast("double") - F.coalesce(F.col("_m")[c], F.lit(0.0))).alias(c) for c in names
     ])
-    aggs = []
+    sums: dict[str, Column] = {}
+    for name, a, b in pairs:
+        both = F.lit(True) if complete else F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = (F.col(a), F.col(b)) if complete else (F.when(both, F.col(a)), F.when(both, F.col(b)))
+        keys = _sum_names(name, a, b, complete)
+        wanted = (F.count_if(both), F.sum(x), F.sum(y), F.sum(x * x), F.sum(y * y), F.sum(x * y))
+        for key, value in zip(keys, wanted):
+            sums.setdefault(key, value.alias(key))
+    totals = centred.agg(*sums.values())
+    results = []
     for name, a, b in pairs:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        n, sx, sy = F.count_if(both), F.sum(x), F.sum(y)
-        cov = F.sum(x * y) - sx * sy / F.nullif(n, F.lit(0))
-        vx = F.sum(x * x) - sx * sx / F.nullif(n, F.lit(0))
-        vy = F.sum(y * y) - sy * sy / F.nullif(n, F.lit(0))
+        n, sx, sy, sxx, syy, sxy = (F.col(f"`{k}`") for k in _sum_names(name, a, b, complete))
+        n = F.nullif(n, F.lit(0))
+        vx, vy = sxx - sx * sx / n, syy - sy * sy / n
         # A constant column leaves only rounding dust of its squares.
-        vx = F.when(vx > F.sum(x * x) * 1e-12, vx)
-        vy = F.when(vy > F.sum(y * y) * 1e-12, vy)
-        aggs.append((cov / F.sqrt(vx * vy)).alias(f"corr__{name}"))
-    rows = unpivot_row(centred.agg(*aggs), [name for name, _, _ in pairs], ["corr"], label)
+        vx, vy = F.when(vx > sxx * 1e-12, vx), F.when(vy > syy * 1e-12, vy)
+        results.append(((sxy - sx * sy / n) / F.sqrt(vx * vy)).alias(f"corr__{name}"))
+    rows = unpivot_row(totals.select(*results), [name for name, _, _ in pairs], ["corr"], label)
     return rows.where(F.col("corr").isNotNull())
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _sum_names(name: str, a: str, b: str, complete: bool) -> tuple[str, ...]:
+    if complete:
+        return ("n", f"s|{a}", f"s|{b}", f"q|{a}", f"q|{b}", f"p|{name}")
+    return tuple(f"{kind}|{name}" for kind in ("n", "sa", "sb", "qa", "qb", "p"))
+
+
+def correlations(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
     """Pearson correlation of every pair of columns."""
     pairs = [(f"{a}|{b}", a, b) for a, b in combinations(columns, 2)]
-    rows = _pearson(pairs, df, "pair")
+    rows = _pearson(pairs, df, "pair", complete)
     sides = F.split("pair", r"\|")
     return rows.select(sides[0].alias("a"), sides[1].alias("b"), "corr")
 
 
-def high_correlations(df: DataFrame, columns: Sequence[str], limit: float = 0.8) -> DataFrame:
-    return correlations(df, columns).where(F.abs("corr") > limit)
+def high_correlations(df: DataFrame, columns: Sequence[str], limit: float = 0.8, complete: bool = False) -> DataFrame:
+    return correlations(df, columns, complete).where(F.abs("corr") > limit)
 
 
-def feature_label_corr(df: DataFrame, features: Sequence[str], label: str = "bid", k: int = 10) -> DataFrame:
+def feature_label_corr(
+    df: DataFrame, features: Sequence[str], label: str = "bid", k: int = 10, complete: bool = False
+) -> DataFrame:
     """Features most correlated with the label."""
-    rows = _pearson([(f, f, label) for f in features], df, "feature")
+    rows = _pearson([(f, f, label) for f in features], df, "feature", complete)
     return rows.orderBy(F.desc(F.abs("corr")), "feature").limit(k)
 
 
@@ -399,12 +425,13 @@ def class_balance(df: DataFrame, label: str = "bid") -> DataFrame:
 def text_profile(df: DataFrame, column: str, phrase: str, approximate: bool = False) -> DataFrame:
     """Length statistics of a text column and how many rows hold a phrase."""
     size = F.length(column)
-    median = F.percentile_approx(size, 0.5) if approximate else F.percentile(size, 0.5)
-    return df.agg(
-        F.min(size).alias("min_length"), F.max(size).alias("max_length"), median.alias("median_length"),
-        F.avg(size).alias("mean_length"),
+    one = df.agg(
+        F.min(size).alias("min_length"), F.max(size).alias("max_length"), F.avg(size).alias("mean_length"),
         F.count_if(F.lower(column).contains(phrase.lower())).alias("with_phrase"),
     )
+    sizes = df.select(size.alias("size"))
+    median = quantile_columns(sizes, ["size"], {0.5: "median"}, approximate).agg(F.max("median").alias("m")).scalar()
+    return one.withColumn("median_length", median)
 
 
 def dataset_funnel(joined: DataFrame, min_text_length: int = 10) -> DataFrame:
