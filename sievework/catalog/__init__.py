@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("storing", "searching", "joining", "monitoring", "thresholds", "texts", "replies", "modelling")
+MODULES = ("storing", "searching", "joining", "monitoring", "thresholds", "texts", "replies", "modelling", "streams")
 
 
 def load():

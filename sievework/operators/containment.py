@@ -11,7 +11,7 @@ Three exact ways, chosen by the checked size of the dictionary:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -85,29 +85,39 @@ def _seed_join(docs: DataFrame, dictionary: DataFrame, key: str, text: str) -> D
     )
 
 
-def detect_codes(
-    docs: DataFrame,
+def code_detector(
     dictionary: DataFrame,
     key: str = "resource_id",
     text: str = "pdf_text",
     max_plan_codes: int = MAX_PLAN_CODES,
     max_sent_codes: int = MAX_SENT_CODES,
-) -> DataFrame:
-    """``docs`` plus ``detected_codes`` (dictionary order, each once) and ``codes_count``.
+) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds ``detected_codes`` (dictionary order, each once) and ``codes_count``.
 
     ``dictionary`` has ``code`` and ``code_pos``; a repeated code counts at its first position.
+    It is measured, and if short enough read, once; a stream reuses the function for every batch.
     """
     entries = dictionary.where(F.col("code") != "").groupBy("code").agg(F.min("code_pos").alias("code_pos"))
     size = entries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("code")), F.lit(0)).alias("chars")).first()
-    if size["n"] <= max_sent_codes and size["chars"] <= MAX_SENT_CHARS:
-        rows = entries.collect()  # bounded by the check above
-        codes = [r["code"] for r in sorted(rows, key=lambda r: r["code_pos"])]
-        found = codes_in_text(F.col(text), codes) if len(codes) <= max_plan_codes else _matcher(codes)(F.col(text))
-        return docs.withColumn("detected_codes", found).withColumn("codes_count", F.size("detected_codes"))
-    pairs = _seed_join(docs, entries, key, text)
-    hits = pairs.groupBy(key).agg(
+    if size["n"] > max_sent_codes or size["chars"] > MAX_SENT_CHARS:
+        return lambda docs: _detect_by_join(docs, entries, key, text)
+    rows = entries.collect()  # bounded by the check above
+    codes = [r["code"] for r in sorted(rows, key=lambda r: r["code_pos"])]
+    match = _matcher(codes) if len(codes) > max_plan_codes else (lambda c: codes_in_text(c, codes))
+    return lambda docs: docs.withColumn("detected_codes", match(F.col(text))).withColumn(
+        "codes_count", F.size("detected_codes")
+    )
+
+
+def _detect_by_join(docs: DataFrame, entries: DataFrame, key: str, text: str) -> DataFrame:
+    hits = _seed_join(docs, entries, key, text).groupBy(key).agg(
         F.transform(F.array_sort(F.collect_set(F.struct("code_pos", "code"))), lambda s: s["code"]).alias("detected_codes")
     )
     return docs.join(hits, key, "left").withColumn(
         "detected_codes", F.coalesce(F.col("detected_codes"), F.array().cast("array<string>"))
     ).withColumn("codes_count", F.size("detected_codes"))
+
+
+def detect_codes(docs: DataFrame, dictionary: DataFrame, key: str = "resource_id", text: str = "pdf_text", **limits: int) -> DataFrame:
+    """``docs`` plus their detected codes."""
+    return code_detector(dictionary, key, text, **limits)(docs)

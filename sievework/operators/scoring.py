@@ -31,11 +31,10 @@ def doc_features(docs: DataFrame, lexicon: Lexicon | None = None, keep: Sequence
     This is the narrow frame to join to the notices: the texts, by far the widest column, are
     read, counted and dropped in one scan and take no part in any shuffle.
     """
-    counted = lexicon_counts(docs, "pdf_text", lexicon, "d_").withColumns({
-        "text_chars": F.length(trim_all(F.coalesce(F.col("pdf_text"), F.lit("")))),
-        "text_bytes": F.octet_length(F.coalesce(F.col("pdf_text"), F.lit(""))),
-    })
-    return counted.drop(*[c for c in ("pdf_text", "d_tail") if c not in keep])
+    counted = lexicon_counts(docs, "pdf_text", lexicon, "d_")
+    trimmed = counted.withColumn("_trimmed", trim_all(F.coalesce(F.col("pdf_text"), F.lit(""))))
+    sized = trimmed.withColumns({"text_chars": F.length("_trimmed"), "trimmed_bytes": F.octet_length("_trimmed")})
+    return sized.drop("_trimmed", *[c for c in ("pdf_text", "d_tail") if c not in keep])
 
 
 def feature_names(lexicon: Lexicon) -> list[str]:

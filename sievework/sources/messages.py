@@ -51,7 +51,7 @@ def quarantined(parsed: DataFrame, body: str = "body", attempt: Column | None =
 def retry_candidates(quarantine: DataFrame, max_attempts: int = 3) -> tuple[DataFrame, DataFrame]:
     """(bodies to try again, dead letters): a body is given up after ``max_attempts``."""
     again = F.col("attempt") < max_attempts
-    return quarantine.where(again).select("body", "attempt"), quarantine.where(~again)
+    return quarantine.where(again), quarantine.where(~again)
 
 
 def with_defaults(prediction: str = "ml_prediction") -> Column:
