@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.functions.text import text_measures
 from sievework.operators.containment import detect_codes
 from sievework.operators.lexicon import Lexicon
 from sievework.operators.scoring import doc_features
@@ -62,7 +63,7 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        return spread_small_scan(self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet"))
 
     @cached_property
     def notices(self) -> DataFrame:
@@ -99,7 +100,7 @@ class Tables:
     @cached_property
     def doc_content(self) -> DataFrame:
         minutes = F.make_dt_interval(mins=(F.col("n_chars") % 4000).cast("int"))
-        return spread_small_scan(self.raw("documents")).select(
+        return self.raw("documents").select(
             F.col("doc_id").alias("resource_id"),
             F.col("text").alias("pdf_text"),
             F.when(F.col("doc_id") % 10 == 0, "failed").otherwise("COMPLETED").alias("processing_status"),
@@ -120,6 +121,11 @@ class Tables:
         """Codes and text counts of each document, without its text."""
         return doc_features(self.coded, TEST_LEXICON)
 
+    @cached_property
+    def measured(self) -> DataFrame:
+        """Notices with the measures of their text."""
+        return self.notices.join(text_measures(self.coded), "resource_id", "left")
+
     @cached_property
     def screened(self) -> DataFrame:
         """Notices with the counts of their document, ready to be scored."""

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from sievework.adapters import TEST_LEXICON
 from sievework.catalog.base import DOCS, HITS, NOTICES, query, with_
 from sievework.catalog.texts import JOINED
-from sievework.functions.text import presence_flags, text_features
 from sievework.operators import encode, lexicon, ml, search
 from sievework.session import cut_lineage, shared_folder
 
@@ -75,8 +74,7 @@ weighted AS (SELECT {keys}, {', '.join(f"coalesce(w_{t} / nullif(sqrt({' + '.joi
 @query("tfidf_fixed_vocab", with_(_fixed_sql("documents", "text", "doc_id"), select=f"""
 SELECT doc_id, {', '.join(f'round(tfidf_{t}, 9) AS tfidf_{t}' for t in TERMS)} FROM weighted"""))
 def _(t):
-    weighted = lexicon.fixed_vocabulary_tfidf(t.raw("documents").select("doc_id", "text"), "doc_id", F.col("text"), TERMS)
-    return weighted.drop("text")
+    return lexicon.fixed_vocabulary_tfidf(t.raw("documents"), ["doc_id"], F.col("text"), TERMS)
 
 
 @query("tokenize", f"""
@@ -102,8 +100,7 @@ SELECT j.resource_id, j.bid, codes_count::DOUBLE AS codes_count, CASE WHEN codes
  length(title) AS title_length, length(pdf_text) AS text_length, c.ca_encoded, {', '.join(f'round(w.tfidf_{t}, 9) AS tfidf_{t}' for t in TERMS)}
 FROM joined j JOIN ca_codes c USING (ca) JOIN weighted w ON j.resource_id = w.resource_id"""))
 def _(t):
-    joined = search.scan_notices_with_text(t.notices, t.coded)
-    return encode.feature_matrix(joined, TERMS, encode.label_codes(t.notices, "ca"), with_text_length=True)
+    return encode.feature_matrix(t.notices, t.coded, TERMS, encode.label_codes(t.notices, "ca"), with_text_length=True)
 
 
 @query("rare_to_null", """
@@ -245,8 +242,8 @@ def _(t):
 
 def _matrix(t):
     """The features of the trained predictor for labelled notices."""
-    joined = search.scan_notices_with_text(t.notices, t.coded, include_unlabelled=False)
-    return cut_lineage(encode.feature_matrix(joined, TERMS, encode.label_codes(t.notices, "ca")))
+    labelled = t.notices.where(F.col("bid").isNotNull())
+    return cut_lineage(encode.feature_matrix(labelled, t.coded, TERMS, encode.label_codes(t.notices, "ca")))
 
 
 def _forest_stages(names):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sievework.adapters import AS_OF, EVENTS_AS_OF
 from sievework.catalog.base import DOCS, HITS, NOTICES, query, with_
 from sievework.operators import joins, monitor, search
-from sievework.functions.text import presence_flags, text_features
+from sievework.functions.text import presence_flags, text_features, text_measures, word_tokens
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
 SINCE = "1996-06-19"
@@ -247,8 +247,7 @@ SELECT '{c}' AS "column", count({c}) AS n, avg({c}) AS mean, stddev_samp({c}) AS
  quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS max
 FROM m""" for c in ("pdf_text_length", "pdf_text_word_count"))))
 def _(t):
-    docs = t.doc_content.withColumns({"title": F.lit(""), "codes_count": F.lit(0)})
-    return monitor.describe_columns(text_features(docs), ["pdf_text_length", "pdf_text_word_count"])
+    return monitor.describe_columns(text_measures(t.doc_content), ["pdf_text_length", "pdf_text_word_count"])
 
 
 @query("length_buckets", with_(DOCS, HITS, select=" UNION ALL ".join(f"""
@@ -278,8 +277,7 @@ def _(t):
 
 
 def _engineered(t):
-    joined = search.scan_notices_with_text(t.notices, t.coded, include_unlabelled=False)
-    return presence_flags(text_features(joined))
+    return presence_flags(text_features(t.measured.where(F.col("bid").isNotNull())))
 
 
 ENGINEERED = r"""engineered AS (
@@ -395,8 +393,6 @@ counts AS (SELECT lang, term, count(*) AS n FROM words WHERE term <> '' GROUP BY
 SELECT lang, term, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS rank FROM counts
 QUALIFY rank <= 10"""))
 def _(t):
-    from sievework.functions.text import word_tokens
-
     words = t.raw("documents").select("lang", F.explode(word_tokens(F.lower("text"))).alias("term")).where("term <> ''")
     return monitor.top_k_per_group(words.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n")), "lang", "term", "n", 10)
 

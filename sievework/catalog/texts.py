@@ -128,7 +128,7 @@ def _joined(t):
 SELECT resource_id, length(title) AS title_length, len(regexp_extract_all(title, '\S+')) AS title_word_count,
  length(pdf_text) AS pdf_text_length, len(regexp_extract_all(pdf_text, '\S+')) AS pdf_text_word_count FROM joined"""))
 def _(t):
-    return text.text_features(_joined(t)).select(
+    return text.text_features(t.measured).select(
         "resource_id", "title_length", "title_word_count", "pdf_text_length", "pdf_text_word_count"
     )
 
@@ -137,7 +137,7 @@ def _(t):
 SELECT resource_id, round(length(pdf_text)::DOUBLE / (length(title) + 1), 9) AS pdf_to_title_ratio,
  round(codes_count::DOUBLE / (length(pdf_text) / 1000.0 + 1), 9) AS code_density FROM joined"""))
 def _(t):
-    return text.text_features(_joined(t)).select("resource_id", "pdf_to_title_ratio", "code_density")
+    return text.text_features(t.measured).select("resource_id", "pdf_to_title_ratio", "code_density")
 
 
 @query("presence_flags", with_(NOTICES, DOCS, HITS, JOINED, select="""
@@ -145,7 +145,7 @@ SELECT resource_id, CASE WHEN length(trim(pdf_url)) > 0 THEN 1 ELSE 0 END AS has
  CASE WHEN length(trim(pdf_text, E' \\t\\n\\r')) > 0 THEN 1 ELSE 0 END AS has_pdf_content,
  CASE WHEN codes_count > 0 THEN 1 ELSE 0 END AS has_codes FROM joined"""))
 def _(t):
-    return text.presence_flags(_joined(t)).select("resource_id", "has_pdf", "has_pdf_content", "has_codes")
+    return text.presence_flags(t.measured).select("resource_id", "has_pdf", "has_pdf_content", "has_codes")
 
 
 @query("contains_year", with_(NOTICES, select="""

@@ -12,10 +12,10 @@ WHITE_SPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 DATE_TIME = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
-DATE_FORMS = (  # pattern, group order year-month-day
-    (r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})$", (3, 2, 1)),
-    (r"^\s*(\d{1,2})-(\d{1,2})-(\d{4})$", (3, 2, 1)),
-    (r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})$", (1, 2, 3)),
+DATE_FORMS = (  # pattern, and its groups as year-month-day
+    (r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"),
+    (r"^\s*(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1"),
+    (r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$2-$3"),
 )
 MONEY = r"[€£$]?[0-9,]+\.?[0-9]*"
 STORED_DATE = r"^[A-Za-z]{3} ([A-Za-z]{3}) (\d{1,2}) (\d{2}:\d{2}:\d{2}) [A-Z]{3} (\d{4})$"
@@ -41,8 +41,9 @@ def strip_html(c: Column | str) -> Column:
     return trim_all(F.replace(F.regexp_replace(_c(c), "<[^>]*(>|$)", ""), F.lit(">"), F.lit("")))
 
 
-def _groups(c: Column, pattern: str, order: tuple[int, ...]) -> Column:
-    return F.concat_ws("-", *[F.regexp_extract(c, pattern, g) for g in order])
+def _reordered(c: Column, pattern: str, groups: str, kind: str) -> Column:
+    """Text that matches the pattern, its groups put in order and cast; NULL otherwise."""
+    return F.when(c.rlike(pattern), F.regexp_replace(c, pattern, groups).try_cast(kind))
 
 
 def parse_datetime(c: Column | str) -> Column:
@@ -50,16 +51,13 @@ def parse_datetime(c: Column | str) -> Column:
 
     Built from the matched digits and a cast, so the session time zone plays no part.
     """
-    c = _c(c)
-    clock = F.concat_ws(":", *[F.regexp_extract(c, DATE_TIME, g) for g in (4, 5, 6)])
-    text = F.concat_ws(" ", _groups(c, DATE_TIME, (3, 2, 1)), clock)
-    return F.when(c.rlike(DATE_TIME), text.try_cast("timestamp_ntz"))
+    return _reordered(_c(c), DATE_TIME, "$3-$2-$1 $4:$5:$6", "timestamp_ntz")
 
 
 def parse_date(c: Column | str) -> Column:
     """The date of a date-time, or one of three plain date forms; else NULL."""
     c = _c(c)
-    plain = [F.when(c.rlike(p), _groups(c, p, order).try_cast("date")) for p, order in DATE_FORMS]
+    plain = [_reordered(c, pattern, groups, "date") for pattern, groups in DATE_FORMS]
     return F.coalesce(parse_datetime(c).cast("date"), *plain)
 
 
@@ -96,13 +94,8 @@ def type_records(raw: DataFrame) -> DataFrame:
 def migrate_timestamp(c: Column | str) -> Column:
     """Text of the form ``Fri Jun 13 12:54:34 IST 2025`` to a zone-free timestamp; other text to NULL."""
     c = _c(c)
-    name = F.lower(F.regexp_extract(c, STORED_DATE, 1))
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), name).cast("string")
-    text = F.concat_ws(
-        " ",
-        F.concat_ws("-", F.regexp_extract(c, STORED_DATE, 4), month, F.regexp_extract(c, STORED_DATE, 2)),
-        F.regexp_extract(c, STORED_DATE, 3),
-    )
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.substring(c, 5, 3))).cast("string")
+    text = F.concat_ws("-", F.regexp_replace(c, STORED_DATE, "$4"), month, F.regexp_replace(c, STORED_DATE, "$2 $3"))
     return F.when(c.rlike(STORED_DATE), text.try_cast("timestamp_ntz"))
 
 

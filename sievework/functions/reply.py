@@ -26,16 +26,18 @@ def balanced_block(c: Column) -> Column:
     """From the first ``{`` to the brace that closes it; NULL when there is none.
 
     The text is cut after each brace, so the fold takes one step per brace, not per character.
+    The last piece may end without one; a pattern that insisted on a brace would search the rest
+    of the text anew from each of its characters.
     """
     start = F.instr(c, "{")
     tail = F.substr(c, start, F.length(c))
-    pieces = F.regexp_extract_all(tail, F.lit("[^{}]*[{}]"), F.lit(0))
+    pieces = F.regexp_extract_all(tail, F.lit(r"[^{}]*+(?:[{}]|\z)"), F.lit(0))
     zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("taken"), F.lit(False).alias("closed"))
 
     def step(state: Column, piece: Column) -> Column:
-        depth = state["depth"] + F.when(piece.endswith("{"), 1).otherwise(-1)
+        depth = state["depth"] + F.when(piece.endswith("{"), 1).when(piece.endswith("}"), -1).otherwise(0)
         moved = F.struct(
-            depth.alias("depth"), (state["taken"] + F.length(piece)).alias("taken"), (depth == 0).alias("closed")
+            depth.alias("depth"), (state["taken"] + F.length(piece)).alias("taken"), (piece.endswith("}") & (depth == 0)).alias("closed")
         )
         return F.when(state["closed"], state).otherwise(moved)
 

@@ -54,14 +54,36 @@ def extract_section(c: Column | str) -> Column:
     return F.when(lot != "", trim_all(lot)).otherwise(joined)
 
 
+def text_measures(docs: DataFrame) -> DataFrame:
+    """Length and word count of each text, and its trimmed length, without the text.
+
+    Joined to the notices in place of the texts, these give the same features from a narrow row.
+    """
+    return docs.withColumns({
+        "pdf_text_length": F.length(F.coalesce("pdf_text", F.lit(""))),
+        "pdf_text_word_count": word_count("pdf_text"),
+        "text_chars": F.length(trim_all(F.coalesce("pdf_text", F.lit("")))),
+    }).drop("pdf_text")
+
+
 def text_features(df: DataFrame) -> DataFrame:
-    """Lengths, word counts, their ratio and the code density."""
+    """Lengths, word counts, their ratio and the code density.
+
+    Rows joined to :func:`text_measures` need no text; a notice without one has length 0.
+    """
+    zero = F.lit(0)
+    if "text_chars" in df.columns:
+        text = {c: F.coalesce(c, zero) for c in ("pdf_text_length", "pdf_text_word_count", "text_chars")}
+    else:
+        text = {
+            "pdf_text_length": F.length("pdf_text"),
+            "pdf_text_word_count": F.when(F.col("pdf_text").isNotNull(), word_count("pdf_text")),
+        }
     measured = df.withColumns({
         "title_length": F.length("title"),
         "title_word_count": F.when(F.col("title").isNotNull(), word_count("title")),
-        "pdf_text_length": F.length("pdf_text"),
-        "pdf_text_word_count": F.when(F.col("pdf_text").isNotNull(), word_count("pdf_text")),
-    })
+        "codes_count": F.coalesce("codes_count", zero),
+    } | text)
     return measured.withColumns({
         "pdf_to_title_ratio": F.col("pdf_text_length").cast("double") / (F.col("title_length") + 1),
         "code_density": F.col("codes_count").cast("double") / (F.col("pdf_text_length") / F.lit(1000.0) + 1),
@@ -70,9 +92,10 @@ def text_features(df: DataFrame) -> DataFrame:
 
 def presence_flags(df: DataFrame) -> DataFrame:
     """0/1 flags for a document URL, a text and detected codes."""
+    has_text = F.coalesce("text_chars", F.lit(0)) > 0 if "text_chars" in df.columns else ~is_blank("pdf_text")
     return df.withColumns({
         "has_pdf": F.when(is_blank("pdf_url"), 0).otherwise(1),
-        "has_pdf_content": F.when(is_blank("pdf_text"), 0).otherwise(1),
+        "has_pdf_content": has_text.cast("int"),
         "has_codes": F.when(F.col("codes_count") > 0, 1).otherwise(0),
     })
 

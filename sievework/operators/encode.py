@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sievework.functions.text import word_tokens
-from sievework.operators.lexicon import fixed_vocabulary_tfidf
+from sievework.operators.lexicon import tfidf_from_counts, vocabulary_counts
 from sievework.operators.running import running_totals
 
 MAX_CATEGORIES = 1_000_000
@@ -114,24 +114,39 @@ def code_onehot(df: DataFrame, codes: Sequence[str] | None = None, name=lambda c
     })
 
 
+def document_terms(docs: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """Key, codes, text length and word-list counts of each document, without its text."""
+    counted = vocabulary_counts(docs, F.col("pdf_text"), vocabulary, "d_n_")
+    return counted.select(
+        "resource_id", "codes_count", F.length(F.coalesce("pdf_text", F.lit(""))).alias("text_length"),
+        *[f"d_n_{t}" for t in vocabulary],
+    )
+
+
 def feature_matrix(
-    df: DataFrame, vocabulary: Sequence[str], ca_codes: DataFrame, unseen: int = 0, with_text_length: bool = False
+    notices: DataFrame, docs: DataFrame, vocabulary: Sequence[str], ca_codes: DataFrame, unseen: int = 0,
+    with_text_length: bool = False,
 ) -> DataFrame:
-    """Key and the 14 features of the trained predictor, 15 with the text length."""
-    encoded = label_encode(
-        df.withColumn("_ca", F.coalesce(F.col("ca"), F.lit("Unknown"))), "_ca", ca_codes, unseen, "ca_encoded"
-    )
-    none = F.lit("")
-    text = F.concat(F.coalesce("title", none), F.lit(" "), F.coalesce("pdf_text", none))
-    weighted = fixed_vocabulary_tfidf(encoded, "resource_id", text, list(vocabulary))
-    count = F.coalesce(F.col("codes_count"), F.lit(0)).cast("double")
-    extra = [F.length(F.coalesce("pdf_text", none)).cast("double").alias("text_length")] if with_text_length else []
-    label = ["bid"] if "bid" in df.columns else []
-    return weighted.select(
+    """Key and the 14 features of the trained predictor, 15 with the text length.
+
+    Title and text are counted where they are read; words do not run across the space between
+    them, so their counts add up.
+    """
+    joined = notices.join(document_terms(docs, vocabulary), "resource_id", "left")
+    named = joined.withColumn("_ca", F.coalesce(F.col("ca"), F.lit("Unknown")))
+    encoded = label_encode(named, "_ca", ca_codes, unseen, "ca_encoded")
+    counted = vocabulary_counts(encoded, F.col("title"), vocabulary, "t_n_")
+    zero = F.lit(0)
+    count = F.coalesce(F.col("codes_count"), zero).cast("double")
+    extra = [F.coalesce("text_length", zero).cast("double").alias("text_length")] if with_text_length else []
+    label = ["bid"] if "bid" in notices.columns else []
+    rows = counted.select(
         "resource_id", *label, count.alias("codes_count"), F.when(count > 0, 1.0).otherwise(0.0).alias("has_codes"),
-        F.length(F.coalesce("title", none)).cast("double").alias("title_length"), *extra,
-        F.col("ca_encoded").cast("double").alias("ca_encoded"), *[f"tfidf_{t}" for t in vocabulary],
+        F.length(F.coalesce("title", F.lit(""))).cast("double").alias("title_length"), *extra,
+        F.col("ca_encoded").cast("double").alias("ca_encoded"),
+        *[(F.col(f"t_n_{t}") + F.coalesce(F.col(f"d_n_{t}"), zero)).alias(f"n_{t}") for t in vocabulary],
     )
+    return tfidf_from_counts(rows, vocabulary)
 
 
 # -- terms ----------------------------------------------------------------------------------------

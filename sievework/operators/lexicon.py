@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sievework import fixed_values as fv
 from sievework.functions.text import phrase_count, word_count, word_tokens
+from sievework.session import cut_lineage
 
 MAX_AUTHORITIES = 1000
 
@@ -199,28 +200,36 @@ def encode_authority(c: Column | str, codes: Mapping[str, int] | None = None) ->
     return F.coalesce(exact, partial, hashed.cast("int")).cast("double")
 
 
-def fixed_vocabulary_tfidf(
-    df: DataFrame, key: str, text: Column, vocabulary: list[str], prefix: str = "tfidf_"
-) -> DataFrame:
-    """TF-IDF on a fixed word list: smooth idf plus one, rows scaled to unit length.
+def vocabulary_counts(df: DataFrame, text: Column, vocabulary: Sequence[str], prefix: str) -> DataFrame:
+    """Add ``<prefix><term>``: how often each listed word occurs in the text."""
+    words = [t.lower() for t in vocabulary]
+    hits = df.withColumn("_hits", lexicon_hits(F.lower(F.coalesce(text, F.lit(""))), words))
+    return hits.withColumns({f"{prefix}{t}": _among(F.col("_hits"), [t]) for t in words}).drop("_hits")
+
 
-    One aggregate gives all document frequencies; it is a single row, read as a scalar.
+def tfidf_from_counts(df: DataFrame, vocabulary: Sequence[str], counts: str = "n_", prefix: str = "tfidf_") -> DataFrame:
+    """Counts ``n_<term>`` to TF-IDF: smooth idf plus one, rows scaled to unit length.
+
+    The narrow counts are written once, because they are read twice: for the document
+    frequencies, one row, and for the weights.
     """
-    counted = df.withColumn("_hits", F.filter(word_tokens(F.lower(text)), lambda t: t.isin(*vocabulary)))
-    counts = counted.select(
-        "*", *[_among(F.col("_hits"), [t]).cast("double").alias(f"_n_{t}") for t in vocabulary]
-    ).drop("_hits")
-    stats = counts.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"_n_{t}") > 0).alias(f"df_{t}") for t in vocabulary]
+    rows = cut_lineage(df)
+    n = {t: F.col(f"{counts}{t}") for t in vocabulary}
+    stats = rows.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(n[t] > 0).alias(f"df_{t}") for t in vocabulary]
     ).select(F.struct("*").alias("s")).scalar()
-    weighted = counts.withColumn("_s", stats)
     idf = {t: F.log((F.col("_s.n") + 1.0) / (F.col(f"_s.df_{t}") + 1.0)) + 1.0 for t in vocabulary}
-    raw = weighted.select("*", *[(F.col(f"_n_{t}") * idf[t]).alias(f"_w_{t}") for t in vocabulary])
-    norm = raw.withColumn("_norm", F.sqrt(_total(F.col(f"_w_{t}") * F.col(f"_w_{t}") for t in vocabulary)))
-    scaled = {
-        f"{prefix}{t}": F.coalesce(F.col(f"_w_{t}") / F.nullif(F.col("_norm"), F.lit(0.0)), F.lit(0.0))
-        for t in vocabulary
-    }
-    return norm.withColumns(scaled).drop(
-        "_s", "_norm", *[f"_n_{t}" for t in vocabulary], *[f"_w_{t}" for t in vocabulary]
-    )
+    raw = rows.withColumn("_s", stats).withColumns({f"{prefix}{t}": n[t] * idf[t] for t in vocabulary})
+    squares = _total(F.col(f"{prefix}{t}") * F.col(f"{prefix}{t}") for t in vocabulary)
+    length = F.nullif(F.sqrt(squares), F.lit(0.0))
+    return raw.withColumn("_length", length).withColumns({
+        f"{prefix}{t}": F.coalesce(F.col(f"{prefix}{t}") / F.col("_length"), F.lit(0.0)) for t in vocabulary
+    }).drop("_s", "_length", *[f"{counts}{t}" for t in vocabulary])
+
+
+def fixed_vocabulary_tfidf(
+    df: DataFrame, keep: Sequence[str], text: Column, vocabulary: Sequence[str], prefix: str = "tfidf_"
+) -> DataFrame:
+    """The ``keep`` columns and the TF-IDF of a text column on a fixed word list."""
+    counted = vocabulary_counts(df, text, vocabulary, "n_")
+    return tfidf_from_counts(counted.select(*keep, *[f"n_{t}" for t in vocabulary]), vocabulary, "n_", prefix)

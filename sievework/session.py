@@ -51,10 +51,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SMALL_TABLE = 1 << 30
+WORTH_SPREADING = 2 << 20
+
+
 def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when its files are too few to keep them busy.
+    """Spread a table of a few files over all cores, when it is small enough to move for nothing.
 
-    A table of many files comes back as it is, so this never adds a shuffle to a large scan.
+    One file of one row group is one task, however much work follows. Tables above a gigabyte
+    come back as they are: their files keep the cores busy, and moving them would cost more.
     """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if not WORTH_SPREADING <= size <= SMALL_TABLE:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
