@@ -159,7 +159,11 @@ def _(t):
     return vectors.select("resource_id", F.size(vector_to_array("features")).alias("width"))
 
 
-@query("count_vectors")
+@query("count_vectors", with_(NOTICES, r"""
+words AS (SELECT resource_id, list_filter(regexp_split_to_array(lower(title), '[^\pL\pM\p{Nd}\p{Pc}]+'), lambda x: length(x) >= 2 AND x <> 'urgent') AS words
+ FROM notices WHERE bid IS NOT NULL),
+vocab AS (SELECT list(term) AS terms FROM (SELECT term FROM (SELECT resource_id, unnest(list_distinct(words)) AS term FROM words) GROUP BY term HAVING count(*) >= 3))""", select="""
+SELECT resource_id, len(list_filter(words, lambda x: list_contains(terms, x)))::DOUBLE AS n_terms FROM words, vocab"""))
 def _(t):
     df = _labelled(t)
     stages = ml.text_stages("title", "features", kind="count", bigrams=False, stop_words=("urgent",))

@@ -147,7 +147,8 @@ def _(t):
     return search.notified(marked).select("resource_id", "title", "notification_sent_at")
 
 
-@query("sample_rows")
+@query("sample_rows", with_(NOTICES, select="""
+SELECT resource_id, title FROM notices ORDER BY md5(concat('42:', CAST(resource_id AS VARCHAR))), resource_id LIMIT 100"""))
 def _(t):
     return search.sample_rows(t.notices, 100).select("resource_id", "title")
 

@@ -339,21 +339,22 @@ def _pearson(pairs: Sequence[tuple[str, str, str]], df: DataFrame, label: str, c
     ])
     sums: dict[str, Column] = {}
     for name, a, b in pairs:
-        both = F.lit(True) if complete else F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = (F.col(a), F.col(b)) if complete else (F.when(both, F.col(a)), F.when(both, F.col(b)))
-        keys = _sum_names(name, a, b, complete)
-        wanted = (F.count_if(both), F.sum(x), F.sum(y), F.sum(x * x), F.sum(y * y), F.sum(x * y))
-        for key, value in zip(keys, wanted):
-            sums.setdefault(key, value.alias(key))
+        x, y = f"`{a}`", f"`{b}`"
+        both = "true" if complete else f"({x} IS NOT NULL AND {y} IS NOT NULL)"
+        terms = (f"count_if({both})", *(f"sum(CASE WHEN {both} THEN {e} END)" for e in (x, y, f"{x} * {x}", f"{y} * {y}", f"{x} * {y}")))
+        for key, term in zip(_sum_names(name, a, b, complete), terms):
+            sums.setdefault(key, F.expr(term).alias(key))
     totals = centred.agg(*sums.values())
     results = []
     for name, a, b in pairs:
-        n, sx, sy, sxx, syy, sxy = (F.col(f"`{k}`") for k in _sum_names(name, a, b, complete))
-        n = F.nullif(n, F.lit(0))
-        vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+        n, sx, sy, sxx, syy, sxy = (f"`{k}`" for k in _sum_names(name, a, b, complete))
+        n = f"nullif({n}, 0)"
+        vx, vy = f"({sxx} - {sx} * {sx} / {n})", f"({syy} - {sy} * {sy} / {n})"
         # A constant column leaves only rounding dust of its squares.
-        vx, vy = F.when(vx > sxx * 1e-12, vx), F.when(vy > syy * 1e-12, vy)
-        results.append(((sxy - sx * sy / n) / F.sqrt(vx * vy)).alias(f"corr__{name}"))
+        moving = f"{vx} > {sxx} * 1e-12D AND {vy} > {syy} * 1e-12D"
+        results.append(F.expr(
+            f"CASE WHEN {moving} THEN ({sxy} - {sx} * {sy} / {n}) / sqrt({vx} * {vy}) END"
+        ).alias(f"corr__{name}"))
     rows = unpivot_row(totals.select(*results), [name for name, _, _ in pairs], ["corr"], label)
     return rows.where(F.col("corr").isNotNull())
 

@@ -209,8 +209,9 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, key: str = "resource_id", seed: int = 42) -> DataFrame:
-    """A repeatable sample of ``n`` rows: those with the smallest seeded hash."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    """A repeatable sample of ``n`` rows: those whose seeded digest comes first."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return df.orderBy(digest, F.col(key)).limit(n)
 
 
 def distinct_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:

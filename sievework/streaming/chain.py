@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,11 +41,10 @@ class Sinks:
     def read(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
         """All batches of a sink; an empty frame before the first one."""
         with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-        jvm = spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        try:
+            return spark.read.schema(with_batch).parquet(self.path(name))
+        except AnalysisException:  # no batch has been written yet
             return spark.createDataFrame([], with_batch)
-        return spark.read.schema(with_batch).parquet(self.path(name))
 
 
 def read_bodies(spark: SparkSession, folder: str, files_per_batch: int = 10) -> DataFrame:
