@@ -241,9 +241,9 @@ counted AS (SELECT *, {", ".join(f"{_count(t)} AS count_{t}" for t in TERMS)},
 features AS (SELECT resource_id, title, pdf_text, ca, status, procedure, value, deadline, pdf_url, n_words,
  codes_count::DOUBLE AS codes_count, CASE WHEN codes_count > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS has_codes,
  length(title)::DOUBLE AS title_length, ca_encoded,
- coalesce(least(points / nullif(n_words, 0) * 50, 15), 0)::DOUBLE AS exclusion_score,
+ CASE WHEN n_words > 0 THEN least(points / n_words * 50, 15) ELSE 0 END::DOUBLE AS exclusion_score,
  {", ".join(f"count_{t}" for t in TERMS)},
- {", ".join(f"coalesce(least(count_{t}::DOUBLE / nullif(n_words, 0) * {w}, 1), 0)::DOUBLE AS tfidf_{t}" for t, w in TEST_LEXICON.key_terms.items())}
+ {", ".join(f"CASE WHEN n_words > 0 THEN least(count_{t}::DOUBLE / n_words * {w}, 1) ELSE 0 END::DOUBLE AS tfidf_{t}" for t, w in TEST_LEXICON.key_terms.items())}
  FROM counted JOIN ca_codes USING (ca))"""
 BASE = (NOTICES, DOCS, HITS, JOINED, AUTH, FEATURES)
 

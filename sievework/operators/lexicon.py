@@ -87,6 +87,24 @@ def _phrase_points(text: Column, whole: Mapping[str, float], loose: Mapping[str,
     )
 
 
+def _short_phrase_points(text: Column, whole: Mapping[str, float], loose: Mapping[str, float]) -> Column:
+    """The same for titles and seams: one small expression over the list of entries."""
+    entries = [(p, w, True) for p, w in whole.items()] + [(p, w, False) for p, w in loose.items()]
+    if not entries:
+        return F.lit(0.0)
+    listed = F.array(*[
+        F.struct(F.lit(p).alias("p"), F.lit(float(w)).alias("w"), F.lit(b).alias("b")) for p, w, b in entries
+    ])
+    found = F.filter(listed, lambda e: text.contains(e["p"]))
+
+    def points(total: Column, e: Column) -> Column:
+        as_words = F.regexp_count(text, F.concat(F.lit(r"(?U)(?<!\w)\Q"), e["p"], F.lit(r"\E(?!\w)")))
+        anywhere = (F.length(text) - F.length(F.replace(text, e["p"], F.lit("")))) / F.length(e["p"])
+        return total + e["w"] * F.when(e["b"], as_words.cast("double")).otherwise(F.floor(anywhere).cast("double"))
+
+    return F.aggregate(found, F.lit(0.0), points)
+
+
 def _split_entries(lex: Lexicon) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
     weights = lex.whole_word_weights()
     words = {w: x for w, x in weights.items() if _is_word(w)}
@@ -94,31 +112,53 @@ def _split_entries(lex: Lexicon) -> tuple[dict[str, float], dict[str, float], di
     return words, whole, {p: lex.phrase_weight for p in lex.phrases}
 
 
-def _overlaps_itself(phrase: str) -> bool:
-    return any(phrase.startswith(phrase[i:]) for i in range(1, len(phrase)))
+def _doubled(entry: str, as_words: bool) -> list[str]:
+    """Texts in which two occurrences of an entry overlap, such as "school mealschool meals".
 
-
-def _edge_length(lex: Lexicon) -> int:
+    A whole-word entry can only share whole words with its repeat.
+    """
+    out = []
+    for shared in range(1, len(entry)):
+        if not entry.startswith(entry[-shared:]):
+            continue
+        if as_words and (_is_word(entry[shared]) or _is_word(entry[-shared - 1])):
+            continue
+        out.append(entry + entry[shared:])
+    return out
+
+
+def _head(low: Column, lex: Lexicon) -> Column:
+    """The start of a text that decides which entries run into it from the text before.
+
+    An entry that crosses the seam ends within one entry length. It may take the place of one that
+    overlaps it, which ends within two. Only where that one overlaps a further one would counts
+    beyond be shifted; such a text, if there ever is one, is carried whole.
+    """
     _, whole, loose = _split_entries(lex)
-    entries = [*whole, *loose, *(t for t in lex.key_terms if not _is_word(t))]
-    for entry in entries:
-        if _overlaps_itself(entry):
-            raise ValueError(f"entry {entry!r} can overlap itself, so its counts do not add up")
-    return max([len(e) for e in entries], default=1)
-
-
-def lexicon_counts(df: DataFrame, text: Column | str, lexicon: Lexicon | None = None, prefix: str = "d_") -> DataFrame:
+    entries = [*((e, True) for e in (*whole, *(t for t in lex.key_terms if not _is_word(t)))), *((e, False) for e in loose)]
+    longest = max([len(e) for e, _ in entries], default=1)
+    doubles = [d for e, as_words in entries for d in _doubled(e, as_words)]
+    start = F.left(low, F.lit(3 * longest))
+    short = F.left(low, F.lit(2 * longest))
+    if not doubles:
+        return short
+    return F.when(F.exists(F.array(*[F.lit(d) for d in doubles]), lambda d: start.contains(d)), low).otherwise(short)
+
+
+def lexicon_counts(
+    df: DataFrame, text: Column | str, lexicon: Lexicon | None = None, prefix: str = "d_", short: bool = False
+) -> DataFrame:
     """Add the additive counts of one text column, a few numbers per row:
 
     ``<prefix>words``, ``<prefix>points`` (weighted list entries), ``<prefix>n_<term>`` per key
-    term, and ``<prefix>head`` / ``<prefix>tail``, its ends, for entries that run across a seam.
+    term, and ``<prefix>head``, its start, for entries that run into it from the text before.
 
     The counts of two texts add up to those of the joined text (:func:`lexicon_features`), so
-    long texts are counted where they lie and never shuffled to the notice they belong to.
+    long texts are counted where they lie and not shuffled to the notice they belong to. Short
+    texts are counted by a smaller plan and have no head.
     """
     lex = lexicon or Lexicon()
     words, whole, loose = _split_entries(lex)
-    edge = _edge_length(lex)
     key_words = [t for t in lex.key_terms if _is_word(t)]
     source = F.col(text) if isinstance(text, str) else text
 
@@ -129,10 +169,8 @@ def lexicon_counts(df: DataFrame, text: Column | str, lexicon: Lexicon | None =
     step = step.withColumns({
         f"{prefix}words": word_count(low),
         "_hits": lexicon_hits(low, [*words, *key_words]),
-        "_phrases": _phrase_points(low, whole, loose),
-        f"{prefix}head": F.left(low, F.lit(edge)),
-        f"{prefix}tail": F.right(low, F.lit(edge)),
-    } | {
+        "_phrases": (_short_phrase_points if short else _phrase_points)(low, whole, loose),
+    } | ({} if short else {f"{prefix}head": _head(low, lex)}) | {
         f"{prefix}n_{t}": phrase_count(low, t, True) for t in lex.key_terms if t not in key_words
     })
     hits = F.col("_hits")
@@ -141,6 +179,10 @@ def lexicon_counts(df: DataFrame, text: Column | str, lexicon: Lexicon | None =
     } | {f"{prefix}n_{t}": _among(hits, [t]) for t in key_words}).drop("_low", "_hits", "_phrases")
 
 
+def _counter(term: str):
+    return lambda text: phrase_count(text, term, True)
+
+
 def lexicon_features(
     df: DataFrame, lexicon: Lexicon | None = None, title: str = "title", text: str = "pdf_text"
 ) -> DataFrame:
@@ -152,10 +194,11 @@ def lexicon_features(
     lex = lexicon or Lexicon()
     _, whole, loose = _split_entries(lex)
     counted = df if "d_words" in df.columns else lexicon_counts(df, text, lex, "d_")
-    counted = lexicon_counts(counted, title, lex, "t_")
+    counted = lexicon_counts(counted, title, lex, "t_", short=True)
     zero, none = F.lit(0), F.lit("")
-    # Entries across the seam: those of the joined ends that neither end holds alone.
-    ends = (F.col("t_tail"), F.coalesce(F.col("d_head"), none))
+    # Entries across the seam: those of title and text start together that neither holds alone.
+    ends = (F.col("_title"), F.coalesce(F.col("d_head"), none))
+    counted = counted.withColumn("_title", F.lower(F.coalesce(F.col(title), none)))
     counted = counted.withColumn("_seam", F.concat(ends[0], F.lit(" "), ends[1]))
     seam = F.col("_seam")
 
@@ -163,23 +206,25 @@ def lexicon_features(
         return count(seam) - count(ends[0]) - count(ends[1])
 
     both = lambda name: F.col(f"t_{name}") + F.coalesce(F.col(f"d_{name}"), zero)
-    crossing = across(lambda c: _phrase_points(c, whole, loose))
+    crossing = across(lambda c: _short_phrase_points(c, whole, loose))
     step = counted.withColumns({
         "n_words": both("words"), "_points": both("points") + crossing,
     } | {
-        f"count_{t}": both(f"n_{t}") if _is_word(t) else both(f"n_{t}") + across(lambda c, t=t: phrase_count(c, t, True))
+        f"count_{t}": both(f"n_{t}") if _is_word(t) else both(f"n_{t}") + across(_counter(t))
         for t in lex.key_terms
     })
-    words = F.nullif(F.col("n_words").cast("double"), F.lit(0.0))
-    density = F.col("_points") / words * F.lit(lex.per_words)
+    words = F.col("n_words").cast("double")
+
+    def per_word(count: Column, factor: float, cap: float) -> Column:
+        return F.when(words > 0, F.least(count / words * F.lit(factor), F.lit(cap))).otherwise(0.0)
+
     step = step.withColumns({
-        "exclusion_score": F.coalesce(F.least(density, F.lit(lex.cap)), F.lit(0.0)),
+        "exclusion_score": per_word(F.col("_points"), lex.per_words, lex.cap),
     } | {
-        f"tfidf_{t}": F.coalesce(F.least(F.col(f"count_{t}") / words * F.lit(weight), F.lit(1.0)), F.lit(0.0))
-        for t, weight in lex.key_terms.items()
+        f"tfidf_{t}": per_word(F.col(f"count_{t}"), weight, 1.0) for t, weight in lex.key_terms.items()
     })
-    names = [f"{p}{n}" for p in ("t_", "d_") for n in ("words", "points", "head", "tail", *(f"n_{t}" for t in lex.key_terms))]
-    return step.drop("_seam", "_points", *names)
+    names = [f"{p}{n}" for p in ("t_", "d_") for n in ("words", "points", "head", *(f"n_{t}" for t in lex.key_terms))]
+    return step.drop("_seam", "_title", "_points", *names)
 
 
 def encode_authority(c: Column | str, codes: Mapping[str, int] | None = None) -> Column:

@@ -25,7 +25,7 @@ def text_size(df: DataFrame) -> Column:
     return F.length(trim_all(F.coalesce(F.col("pdf_text"), F.lit(""))))
 
 
-def doc_features(docs: DataFrame, lexicon: Lexicon | None = None, keep: Sequence[str] = ()) -> DataFrame:
+def doc_features(docs: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
     """What the score needs of each document text, without the text.
 
     This is the narrow frame to join to the notices: the texts, by far the widest column, are
@@ -34,7 +34,7 @@ def doc_features(docs: DataFrame, lexicon: Lexicon | None = None, keep: Sequence
     counted = lexicon_counts(docs, "pdf_text", lexicon, "d_")
     trimmed = counted.withColumn("_trimmed", trim_all(F.coalesce(F.col("pdf_text"), F.lit(""))))
     sized = trimmed.withColumns({"text_chars": F.length("_trimmed"), "trimmed_bytes": F.octet_length("_trimmed")})
-    return sized.drop("_trimmed", *[c for c in ("pdf_text", "d_tail") if c not in keep])
+    return sized.drop("_trimmed", "pdf_text")
 
 
 def feature_names(lexicon: Lexicon) -> list[str]:

@@ -59,10 +59,22 @@ def test_lexicon_equals_brute_force(spark):
     check(lexicon.lexicon_features(df.drop("pdf_text").join(docs, "resource_id", "left")).collect(), sources)
 
 
-def test_entries_that_overlap_themselves_are_refused(spark):
-    df = spark.createDataFrame([("a", "b")], "title string, pdf_text string")
-    with pytest.raises(ValueError):
-        lexicon.lexicon_features(df, lexicon.Lexicon(phrases=("food food",)))
+def test_entries_that_overlap_themselves(spark):
+    """Chains of overlapping entries that start in the title and go on for any length in the text."""
+    chain = "school meal" * 9
+    data = [(i, "x " + chain[:a], chain[b:] + "s and more") for i, (a, b) in enumerate((a, b) for a in range(0, 40) for b in range(0, 25))]
+    data += [(len(data) + i, "food " * a, "food " * b) for i, (a, b) in enumerate((a, b) for a in range(5) for b in range(9))]
+    df = spark.createDataFrame(data, "resource_id int, title string, pdf_text string")
+    for lex, pattern in (
+        (lexicon.Lexicon(terms=(), heavy_terms=(), phrases=("school meals",), per_words=1.0, cap=1e9), r"school meals"),
+        (lexicon.Lexicon(terms=("food food",), heavy_terms=(), phrases=(), per_words=1.5, cap=1e9), r"\bfood food\b"),
+    ):
+        docs = scoring.doc_features(df.select("resource_id", "pdf_text"), lex)
+        rows = lexicon.lexicon_features(df.drop("pdf_text").join(docs, "resource_id"), lex).collect()
+        for row in rows:
+            joined = f"{data[row['resource_id']][1]} {data[row['resource_id']][2]}"
+            want = len(re.findall(pattern, joined)) * 1.5 / max(len(joined.split()), 1)
+            assert math.isclose(row["exclusion_score"], want), joined
 
 
 def test_term_scores_of_the_sample(spark):
