@@ -34,7 +34,7 @@ def test_upsert_keeps_labels_and_predictions(spark):
     assert rows(once, "resource_id", "title", "bid", "ml_status") == want
     again = upsert.upsert_notices(once, incoming, order_by="arrival")
     assert rows(again, "resource_id", "title", "bid", "ml_status") == want
-    assert again.schema == stored.schema
+    assert again.dtypes == stored.dtypes
 
 
 def test_a_hot_key_in_the_batch_gives_one_row(spark):
