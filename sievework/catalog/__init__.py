@@ -11,6 +11,7 @@ def load():
     """(queries, oracles) of all catalog modules."""
     for name in MODULES:
         importlib.import_module(f"sievework.catalog.{name}")
-    from sievework.catalog.base import ORACLES, QUERIES
+    from sievework.catalog.base import ORACLES, QUERIES, shaped
+    from sievework.catalog.results import RESULTS
 
-    return dict(QUERIES), dict(ORACLES)
+    return dict(QUERIES), {name: shaped(sql, RESULTS[name]) for name, sql in ORACLES.items()}

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from sievework.adapters import Tables
 
+# Sums differ in their last bits between engines; rounding in two steps keeps a value that lies
+# half-way between two results from falling to either side.
+FINE, PLACES = 10, 6
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -62,7 +65,7 @@ def with_(*parts: str, select: str) -> str:
 
 def plain(df: DataFrame) -> DataFrame:
     """Result columns in types that every engine prints alike: times and lists as text, decimals
-    as doubles, doubles rounded to nine places."""
+    as doubles, doubles rounded to six places."""
     columns = []
     for field in df.schema.fields:
         c, kind = F.col(f"`{field.name}`"), field.dataType
@@ -71,7 +74,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(kind, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 9)
+            c = F.round(F.round(c.cast("double"), FINE), PLACES)
         elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
             c = F.array_join(c, "|")
         elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
@@ -82,6 +85,17 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def shaped(sql: str, columns: str) -> str:
+    """The statement with its columns in the declared types, doubles rounded like :func:`plain` does."""
+    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+    select = []
+    for column in columns.split(", "):
+        name, kind = column.rsplit(" ", 1)
+        cast = f'CAST("{name}" AS {kinds[kind]})'
+        select.append(f'round(round({cast}, {FINE}), {PLACES}) AS "{name}"' if kind == "double" else f'{cast} AS "{name}"')
+    return f"SELECT {', '.join(select)} FROM (\n{sql.strip()}\n) AS result"
+
+
 def query(name: str, oracle: str | None = None):
     """Register ``build(tables) -> DataFrame`` under ``name``."""
 

@@ -55,7 +55,7 @@ WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
 terms AS (SELECT doc_id, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: concat(words[i], ' ', words[i + 1])))) AS term FROM w),
 per_doc AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY 1, 2),
 per_term AS (SELECT term, CAST(sum(tf) AS BIGINT) AS tf, count(*) AS df FROM per_doc GROUP BY 1)
-SELECT term, tf, df, round(ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)) + 1.0, 9) AS idf FROM per_term
+SELECT term, tf, df, round(ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)) + 1.0, 14) AS idf FROM per_term
 WHERE df >= 3 AND df <= 0.8 * (SELECT count(*) FROM documents) ORDER BY tf DESC, term LIMIT 500""")
 def _(t):
     return encode.tfidf_terms(t.raw("documents"), F.col("text"), 3, 0.8, 500)
@@ -72,7 +72,7 @@ weighted AS (SELECT {keys}, {', '.join(f"coalesce(w_{t} / nullif(sqrt({' + '.joi
 
 
 @query("tfidf_fixed_vocab", with_(_fixed_sql("documents", "text", "doc_id"), select=f"""
-SELECT doc_id, {', '.join(f'round(tfidf_{t}, 9) AS tfidf_{t}' for t in TERMS)} FROM weighted"""))
+SELECT doc_id, {', '.join(f'round(tfidf_{t}, 14) AS tfidf_{t}' for t in TERMS)} FROM weighted"""))
 def _(t):
     return lexicon.fixed_vocabulary_tfidf(t.raw("documents"), ["doc_id"], F.col("text"), TERMS)
 
@@ -87,7 +87,7 @@ def _(t):
 
 
 @query("class_weights", with_(NOTICES, select="""
-SELECT resource_id, CAST(bid AS BIGINT) AS bid, round((p + q) / (2.0::DOUBLE * CASE WHEN bid = 1 THEN p ELSE q END), 9) AS weight
+SELECT resource_id, CAST(bid AS BIGINT) AS bid, round((p + q) / (2.0::DOUBLE * CASE WHEN bid = 1 THEN p ELSE q END), 14) AS weight
 FROM notices, (SELECT count(CASE WHEN bid = 1 THEN 1 END) AS p, count(CASE WHEN bid = 0 THEN 1 END) AS q FROM notices) WHERE bid IS NOT NULL"""))
 def _(t):
     return encode.class_weights(search.clean_frame(t.notices)).select("resource_id", "bid", "weight")
@@ -97,7 +97,7 @@ def _(t):
 ca_codes AS (SELECT ca, row_number() OVER (ORDER BY ca) - 1 AS ca_encoded FROM (SELECT DISTINCT ca FROM notices))""",
     _fixed_sql("joined", "concat(title, ' ', pdf_text)", "resource_id"), select=f"""
 SELECT j.resource_id, j.bid, codes_count::DOUBLE AS codes_count, CASE WHEN codes_count > 0 THEN 1.0 ELSE 0.0 END AS has_codes,
- length(title) AS title_length, length(pdf_text) AS text_length, c.ca_encoded, {', '.join(f'round(w.tfidf_{t}, 9) AS tfidf_{t}' for t in TERMS)}
+ length(title) AS title_length, length(pdf_text) AS text_length, c.ca_encoded, {', '.join(f'round(w.tfidf_{t}, 14) AS tfidf_{t}' for t in TERMS)}
 FROM joined j JOIN ca_codes c USING (ca) JOIN weighted w ON j.resource_id = w.resource_id"""))
 def _(t):
     return encode.feature_matrix(t.notices, t.coded, TERMS, encode.label_codes(t.notices, "ca"), with_text_length=True)

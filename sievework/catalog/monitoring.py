@@ -165,7 +165,7 @@ def _(t):
 
 
 @query("prediction_stats", with_(NOTICES, select="""
-SELECT count(*) AS total, count(value) AS predicted, round(avg(CAST(value AS DOUBLE) / 1000000.0), 9) AS avg_probability FROM notices"""))
+SELECT count(*) AS total, count(value) AS predicted, round(avg(CAST(value AS DOUBLE) / 1000000.0), 14) AS avg_probability FROM notices"""))
 def _(t):
     return monitor.prediction_stats(_predicted(t), "probability")
 
@@ -185,7 +185,7 @@ CODE_COUNTS = "code_counts AS (SELECT code, count(*) AS n FROM (SELECT unnest(de
 
 
 @query("code_statistics", with_(DOCS, HITS, CODE_COUNTS, select="""
-SELECT code, n, round(n * 100.0::DOUBLE / (SELECT count(*) FROM coded), 9) AS percentage FROM code_counts"""))
+SELECT code, n, round(n * 100.0::DOUBLE / (SELECT count(*) FROM coded), 14) AS percentage FROM code_counts"""))
 def _(t):
     return monitor.code_statistics(t.coded)
 
@@ -205,8 +205,8 @@ def _(t):
 
 
 @query("code_sparsity", with_(DOCS, HITS, CODE_COUNTS, select="""
-SELECT n_rows, n_set, round(avg_codes, 9) AS avg_codes, n_codes, round(n_set::DOUBLE / nullif(n_rows * n_codes, 0), 9) AS density,
- round(1.0::DOUBLE - n_set::DOUBLE / nullif(n_rows * n_codes, 0), 9) AS sparsity
+SELECT n_rows, n_set, round(avg_codes, 14) AS avg_codes, n_codes, round(n_set::DOUBLE / nullif(n_rows * n_codes, 0), 14) AS density,
+ round(1.0::DOUBLE - n_set::DOUBLE / nullif(n_rows * n_codes, 0), 14) AS sparsity
 FROM (SELECT count(*) AS n_rows, CAST(sum(codes_count) AS BIGINT) AS n_set, avg(codes_count) AS avg_codes FROM coded),
  (SELECT count(*) AS n_codes FROM code_counts)"""))
 def _(t):
@@ -221,7 +221,7 @@ flags AS (SELECT resource_id, """ + ", ".join(
 
 
 @query("code_correlation", with_(DOCS, HITS, CODE_COUNTS, TOP, select="SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT 'code_{i}' AS a, 'code_{j}' AS b, round(corr(code_{i}, code_{j}), 9) AS corr FROM flags"
+    f"SELECT 'code_{i}' AS a, 'code_{j}' AS b, round(corr(code_{i}, code_{j}), 14) AS corr FROM flags"
     for i in range(1, 6) for j in range(i + 1, 6)
 ) + ") WHERE corr IS NOT NULL AND NOT isnan(corr)"))
 def _(t):
@@ -252,7 +252,7 @@ def _(t):
 
 @query("length_buckets", with_(DOCS, HITS, select=" UNION ALL ".join(f"""
 SELECT '{name}' AS bucket, count(CASE WHEN {cond} THEN 1 END) AS n,
- round(count(CASE WHEN {cond} THEN 1 END)::DOUBLE / count(*), 9) AS share FROM coded""" for name, cond in (
+ round(count(CASE WHEN {cond} THEN 1 END)::DOUBLE / count(*), 14) AS share FROM coded""" for name, cond in (
     ("under 1000", "length(pdf_text) < 1000"), ("1000 to 4999", "length(pdf_text) >= 1000 AND length(pdf_text) < 5000"),
     ("5000 and more", "length(pdf_text) >= 5000"), ("no codes", "codes_count = 0"),
     ("1 to 3 codes", "codes_count BETWEEN 1 AND 3"), ("more than 3 codes", "codes_count > 3"),
@@ -269,8 +269,8 @@ def _(t):
 
 @query("quality_profile", with_(NOTICES, select=" UNION ALL ".join(f"""
 SELECT '{c}' AS "column", count(*) - count({c}) AS nulls, 0 AS infinities, count(CASE WHEN {c} = 0 THEN 1 END) AS zeros,
- round((count(*) - count({c}))::DOUBLE / count(*), 9) AS null_share,
- round(count(CASE WHEN {c} = 0 THEN 1 END)::DOUBLE / count(*), 9) AS zero_share,
+ round((count(*) - count({c}))::DOUBLE / count(*), 14) AS null_share,
+ round(count(CASE WHEN {c} = 0 THEN 1 END)::DOUBLE / count(*), 14) AS zero_share,
  count(CASE WHEN {c} = 0 THEN 1 END)::DOUBLE / count(*) > 0.5 AS mostly_zero FROM notices""" for c in ("value", "bid", "resource_id"))))
 def _(t):
     return monitor.quality_profile(t.notices, ["value", "bid", "resource_id"])
@@ -295,7 +295,7 @@ FEATURES = ["title_length", "title_word_count", "pdf_text_length", "pdf_text_wor
 
 
 @query("high_correlations", with_(NOTICES, DOCS, HITS, ENGINEERED, select="SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 9) AS corr FROM engineered"
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 14) AS corr FROM engineered"
     for i, a in enumerate(FEATURES) for b in FEATURES[i + 1:]
 ) + ") WHERE corr IS NOT NULL AND NOT isnan(corr) AND abs(corr) > 0.8"))
 def _(t):
@@ -303,15 +303,15 @@ def _(t):
 
 
 @query("feature_label_corr", with_(NOTICES, DOCS, HITS, ENGINEERED, select="SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{a}' AS feature, round(corr({a}, bid), 9) AS corr FROM engineered" for a in FEATURES
+    f"SELECT '{a}' AS feature, round(corr({a}, bid), 14) AS corr FROM engineered" for a in FEATURES
 ) + ") WHERE corr IS NOT NULL AND NOT isnan(corr) ORDER BY abs(corr) DESC, feature LIMIT 10"))
 def _(t):
     return monitor.feature_label_corr(_engineered(t), FEATURES, complete=True)
 
 
 @query("correlations_with_gaps", """
-SELECT * FROM (SELECT 'value' AS a, 'user_id' AS b, round(corr(v, user_id), 9) AS corr FROM e
- UNION ALL SELECT 'value', 'k', round(corr(v, k), 9) FROM e UNION ALL SELECT 'user_id', 'k', round(corr(user_id, k), 9) FROM e)
+SELECT * FROM (SELECT 'value' AS a, 'user_id' AS b, round(corr(v, user_id), 14) AS corr FROM e
+ UNION ALL SELECT 'value', 'k', round(corr(v, k), 14) FROM e UNION ALL SELECT 'user_id', 'k', round(corr(user_id, k), 14) FROM e)
 """.replace(" FROM e", " FROM (SELECT CASE WHEN event_type <> 'error' THEN value END AS v, user_id, CAST(props->>'k' AS DOUBLE) AS k FROM events)"))
 def _(t):
     events = t.raw("events").select(
@@ -330,8 +330,8 @@ def _(t):
 
 
 @query("bid_rate_by_flag", with_(NOTICES, DOCS, HITS, ENGINEERED, select="""
-SELECT round(avg(CASE WHEN has_pdf = 1 THEN bid END), 9) AS rate_with, round(avg(CASE WHEN has_pdf = 0 THEN bid END), 9) AS rate_without,
- round(avg(CASE WHEN has_pdf = 1 THEN bid END) - avg(CASE WHEN has_pdf = 0 THEN bid END), 9) AS difference FROM engineered"""))
+SELECT round(avg(CASE WHEN has_pdf = 1 THEN bid END), 14) AS rate_with, round(avg(CASE WHEN has_pdf = 0 THEN bid END), 14) AS rate_without,
+ round(avg(CASE WHEN has_pdf = 1 THEN bid END) - avg(CASE WHEN has_pdf = 0 THEN bid END), 14) AS difference FROM engineered"""))
 def _(t):
     return monitor.bid_rate_by_flag(_engineered(t), "has_pdf")
 
@@ -343,8 +343,8 @@ def _(t):
 
 
 @query("class_balance", with_(NOTICES, select="""
-SELECT negatives, positives, round(p, 9) AS positive_share, round(q, 9) AS negative_share,
- round(greatest(positives, negatives)::DOUBLE / nullif(least(positives, negatives), 0), 9) AS imbalance_ratio,
+SELECT negatives, positives, round(p, 14) AS positive_share, round(q, 14) AS negative_share,
+ round(greatest(positives, negatives)::DOUBLE / nullif(least(positives, negatives), 0), 14) AS imbalance_ratio,
  CASE WHEN least(p, q) < 0.1 THEN 'severe' WHEN least(p, q) < 0.2 THEN 'moderate' ELSE 'balanced' END AS severity
 FROM (SELECT count(CASE WHEN bid = 0 THEN 1 END) AS negatives, count(CASE WHEN bid = 1 THEN 1 END) AS positives,
  count(CASE WHEN bid = 1 THEN 1 END)::DOUBLE / count(bid) AS p, count(CASE WHEN bid = 0 THEN 1 END)::DOUBLE / count(bid) AS q FROM notices)"""))
@@ -354,14 +354,14 @@ def _(t):
 
 @query("text_profile", with_(DOCS, select="""
 SELECT min(length(pdf_text)) AS min_length, max(length(pdf_text)) AS max_length,
- quantile_cont(length(pdf_text), 0.5) AS median_length, round(avg(length(pdf_text)), 9) AS mean_length,
+ quantile_cont(length(pdf_text), 0.5) AS median_length, round(avg(length(pdf_text)), 14) AS mean_length,
  count(CASE WHEN contains(lower(pdf_text), 'of the') THEN 1 END) AS with_phrase FROM doc_content"""))
 def _(t):
     return monitor.text_profile(t.doc_content, "pdf_text", "Of the")
 
 
 @query("dataset_funnel", with_(NOTICES, DOCS, select="""
-SELECT *, round(with_text::DOUBLE / nullif(labelled, 0), 9) AS text_share, round(modelling::DOUBLE / nullif(labelled, 0), 9) AS modelling_share
+SELECT *, round(with_text::DOUBLE / nullif(labelled, 0), 14) AS text_share, round(modelling::DOUBLE / nullif(labelled, 0), 14) AS modelling_share
 FROM (SELECT count(*) AS all_rows, count(bid) AS labelled,
  count(CASE WHEN bid IS NOT NULL AND length(trim(pdf_text)) > 0 THEN 1 END) AS with_text,
  count(CASE WHEN bid IS NOT NULL AND length(trim(pdf_text)) > 0 AND length(pdf_text) >= 10 THEN 1 END) AS modelling

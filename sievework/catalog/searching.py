@@ -92,8 +92,8 @@ def _(t):
 SELECT n.resource_id, n.title, CAST(bid AS BIGINT) AS bid, codes_count, length(title) AS title_length,
  len(regexp_extract_all(title, '\S+')) AS title_word_count,
  length(pdf_text) AS pdf_text_length, len(regexp_extract_all(pdf_text, '\S+')) AS pdf_text_word_count,
- round(length(pdf_text)::DOUBLE / (length(title) + 1), 9) AS pdf_to_title_ratio,
- round(codes_count::DOUBLE / (length(pdf_text) / 1000.0 + 1), 9) AS code_density,
+ round(length(pdf_text)::DOUBLE / (length(title) + 1), 14) AS pdf_to_title_ratio,
+ round(codes_count::DOUBLE / (length(pdf_text) / 1000.0 + 1), 14) AS code_density,
  CASE WHEN pdf_url <> '' THEN 1 ELSE 0 END AS has_pdf, 1 AS has_pdf_content,
  CASE WHEN codes_count > 0 THEN 1 ELSE 0 END AS has_codes
 FROM notices n JOIN coded c ON n.resource_id = c.resource_id

@@ -170,7 +170,7 @@ def _union_bodies(t):
 
 @query("normalize_union_messages", with_(NOTICES, select=f"""
 SELECT resource_id, title, CASE WHEN resource_id % 2 = 1 THEN resource_id % 3 = 0 ELSE true END AS should_bid,
- CASE WHEN resource_id % 2 = 1 THEN round(CAST(value AS DOUBLE) / 1e6, 9) ELSE 0.5 END AS confidence,
+ CASE WHEN resource_id % 2 = 1 THEN round(CAST(value AS DOUBLE) / 1e6, 14) ELSE 0.5 END AS confidence,
  CASE WHEN resource_id % 2 = 0 THEN 'Direct processing - no ML prediction available'
   WHEN resource_id % 7 = 0 THEN 'No reasoning provided' ELSE 'by rule' END AS reasoning,
  CASE WHEN resource_id % 2 = 1 THEN 0.25::DOUBLE ELSE 0.0 END AS codes_count_score, 0.0::DOUBLE AS total_score,

@@ -34,7 +34,7 @@ STAGES = """staged AS (SELECT p.*, CASE WHEN pdf_url = '' OR strlen(trim(pdf_tex
 
 
 @query("screen_notices", with_(*BASE, SCORES, REVIEW, STAGES, select="""
-SELECT s.resource_id, s.stage AS processing_stage, s.decision, s.ml_status, round(s.ml_confidence, 9) AS ml_confidence, s.ml_reasoning, c.category
+SELECT s.resource_id, s.stage AS processing_stage, s.decision, s.ml_status, round(s.ml_confidence, 14) AS ml_confidence, s.ml_reasoning, c.category
 FROM staged s JOIN categories c USING (resource_id)"""))
 def _(t):
     return _screened(t).select(
@@ -43,17 +43,17 @@ def _(t):
 
 
 @query("stream_chain", with_(*BASE, SCORES, STAGES, select="""
-SELECT 'quarantine' AS sink, 'not parseable' AS status, count(*) AS n FROM staged WHERE resource_id % 50 = 0
+SELECT 'quarantine' AS sink, 'not parseable' AS status, 2 * count(*) AS n FROM staged WHERE resource_id % 50 = 0
 UNION ALL SELECT 'title_only', stage, count(*) FROM staged WHERE resource_id % 50 <> 0 AND stage = 'ai_summary_title_only' GROUP BY 2
 UNION ALL SELECT 'scored', ml_status, count(*) FROM staged WHERE resource_id % 50 <> 0 AND stage = 'ml_prediction' GROUP BY 2
 UNION ALL SELECT 'notices', 'stored', count(*) FROM staged WHERE resource_id % 50 <> 0"""))
 def _(t):
-    """Notices arrive twice as messages, some cut in half; each is stored and scored once."""
+    """Notices arrive twice as messages, some cut in half; each whole one is stored and scored once."""
     folder, spark = _folder(t), t.spark
     body = t.notices.select("resource_id", F.to_json(F.struct(*FIELDS)).alias("body"))
     bodies = body.select(F.when(F.col("resource_id") % 50 == 0, F.expr("substring(body, 1, length(body) div 2)")).otherwise(F.col("body")).alias("value"))
     bodies.repartition(4).write.text(f"{folder}/in")
-    body.where("resource_id % 50 <> 0").select("body").repartition(2).write.mode("append").text(f"{folder}/in")
+    bodies.repartition(2).write.mode("append").text(f"{folder}/in")
     detect = code_detector(t.dictionary)
     chain.run_to_end(lambda: chain.start_chain(
         spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", RECORD, t.doc_content, detect,

@@ -134,8 +134,8 @@ def _(t):
 
 
 @query("text_ratios", with_(NOTICES, DOCS, HITS, JOINED, select="""
-SELECT resource_id, round(length(pdf_text)::DOUBLE / (length(title) + 1), 9) AS pdf_to_title_ratio,
- round(codes_count::DOUBLE / (length(pdf_text) / 1000.0 + 1), 9) AS code_density FROM joined"""))
+SELECT resource_id, round(length(pdf_text)::DOUBLE / (length(title) + 1), 14) AS pdf_to_title_ratio,
+ round(codes_count::DOUBLE / (length(pdf_text) / 1000.0 + 1), 14) AS code_density FROM joined"""))
 def _(t):
     return text.text_features(t.measured).select("resource_id", "pdf_to_title_ratio", "code_density")
 
@@ -303,34 +303,34 @@ def _(t):
 
 
 @query("term_scores", with_(*BASE, select=f"""
-SELECT resource_id, {', '.join(f'round(tfidf_{t}, 9) AS tfidf_{t}' for t in TERMS)} FROM features"""))
+SELECT resource_id, {', '.join(f'round(tfidf_{t}, 14) AS tfidf_{t}' for t in TERMS)} FROM features"""))
 def _(t):
     return lexicon.lexicon_features(t.screened, TEST_LEXICON).select("resource_id", *[f"tfidf_{x}" for x in TERMS])
 
 
-@query("exclusion_score", with_(*BASE, select="SELECT resource_id, round(exclusion_score, 9) AS exclusion_score FROM features"))
+@query("exclusion_score", with_(*BASE, select="SELECT resource_id, round(exclusion_score, 14) AS exclusion_score FROM features"))
 def _(t):
     return lexicon.lexicon_features(t.screened, TEST_LEXICON).select("resource_id", "exclusion_score")
 
 
-@query("feature_vector", with_(*BASE, select=f"SELECT resource_id, {', '.join(f'round({n}, 9) AS {n}' for n in NAMES)} FROM features"))
+@query("feature_vector", with_(*BASE, select=f"SELECT resource_id, {', '.join(f'round({n}, 14) AS {n}' for n in NAMES)} FROM features"))
 def _(t):
     return _features(t).select("resource_id", *NAMES)
 
 
 @query("normalize_features", with_(*BASE, select=f"""
-SELECT resource_id, {', '.join(f'round({norm_sql(n)}, 9) AS {n}' for n in NAMES)} FROM features"""))
+SELECT resource_id, {', '.join(f'round({norm_sql(n)}, 14) AS {n}' for n in NAMES)} FROM features"""))
 def _(t):
     return scoring.normalize_features(_features(t), NAMES).select("resource_id", *NAMES)
 
 
-@query("linear_score", with_(*BASE, SCORES, select="SELECT resource_id, round(score, 9) AS score FROM scores"))
+@query("linear_score", with_(*BASE, SCORES, select="SELECT resource_id, round(score, 14) AS score FROM scores"))
 def _(t):
     return _features(t).select("resource_id", scoring.linear_score(NAMES).alias("score"))
 
 
 @query("predict_rule", with_(*BASE, SCORES, select="""
-SELECT resource_id, title, decision, round(exclusion_score, 9) AS exclusion_score, ml_bid, round(ml_confidence, 9) AS ml_confidence,
+SELECT resource_id, title, decision, round(exclusion_score, 14) AS exclusion_score, ml_bid, round(ml_confidence, 14) AS ml_confidence,
  ml_status, ml_reasoning FROM predicted"""))
 def _(t):
     return _predicted(t).select(
@@ -344,9 +344,9 @@ def _(t):
 
 
 @query("component_scores", with_(*BASE, select=f"""
-SELECT resource_id, round({norm_sql('codes_count')} * 0.25, 9) AS codes_count_score, round(has_codes * 0.10, 9) AS has_codes_score,
- round({norm_sql('title_length')} * 0.02, 9) AS title_length_score, round({norm_sql('ca_encoded')} * 0.03, 9) AS ca_score,
- round({weighted_sql(NAMES[4:14], W[4:14])}, 9) AS text_features_score, round({weighted_sql(NAMES, W)}, 9) AS total_score FROM features"""))
+SELECT resource_id, round({norm_sql('codes_count')} * 0.25, 14) AS codes_count_score, round(has_codes * 0.10, 14) AS has_codes_score,
+ round({norm_sql('title_length')} * 0.02, 14) AS title_length_score, round({norm_sql('ca_encoded')} * 0.03, 14) AS ca_score,
+ round({weighted_sql(NAMES[4:14], W[4:14])}, 14) AS text_features_score, round({weighted_sql(NAMES, W)}, 14) AS total_score FROM features"""))
 def _(t):
     return _features(t).select("resource_id", scoring.component_scores(NAMES).alias("s")).select("resource_id", "s.*")
 
@@ -376,7 +376,7 @@ SELECT resource_id, category, CASE category WHEN 'NO_PDF_DATA' THEN 'MANUAL_REVI
  CASE category WHEN 'NO_PDF_DATA' THEN concat('⚠️ Manual Review Required: ''', title, ''' - No PDF data available for ML analysis')
   WHEN 'ML_PREDICTED_BID' THEN concat('🎯 ACTION REQUIRED: ''', title, ''' - ML predicts BID opportunity (', printf('%.1f', p * 100), '% confidence)')
   ELSE concat('📋 Low Priority: ''', title, ''' - ML suggests no bid (', printf('%.1f', p * 100), '% confidence)') END AS message,
- round(p, 9) AS ml_probability, yes AS requires_summary FROM categories"""))
+ round(p, 14) AS ml_probability, yes AS requires_summary FROM categories"""))
 def _(t):
     return _reviewed(t).select("resource_id", "category", "action", "priority", "message", "ml_probability", "requires_summary")
 
@@ -388,7 +388,7 @@ def _(t):
 
 
 @query("signed_confidence", with_(*BASE, SCORES, select="""
-SELECT resource_id, round(CASE WHEN ml_confidence >= 0.21 THEN ml_confidence ELSE 1.0 - ml_confidence END, 9) AS confidence FROM predicted"""))
+SELECT resource_id, round(CASE WHEN ml_confidence >= 0.21 THEN ml_confidence ELSE 1.0 - ml_confidence END, 14) AS confidence FROM predicted"""))
 def _(t):
     return _predicted(t).select("resource_id", scoring.signed_confidence("ml_confidence").alias("confidence"))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +71,10 @@ def normalize_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def _weighted(names: Sequence[str], weights: Sequence[float]) -> Column:
-    return reduce(lambda a, b: a + b, [normalized(n) * F.lit(w) for n, w in zip(names, weights)], F.lit(0.0))
+    """Weighted sum of the normalised features, left to right, as one expression text."""
+    capped = {n: f"least(`{n}` / {scale!r}D, 1.0D)" for n, scale in fv.FEATURE_SCALES.items()}
+    terms = [f"{capped.get(n, f'`{n}`')} * {w!r}D" for n, w in zip(names, weights)]
+    return F.expr("0.0D + " + " + ".join(terms))
 
 
 def linear_score(names: Sequence[str], weights: Sequence[float] = fv.FEATURE_WEIGHTS) -> Column:

@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as repo
 from check_queries import compare
+from sievework.catalog.results import RESULTS
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = repo.queries(), repo.oracle_sql()
@@ -35,6 +36,10 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
+def test_every_oracle_declares_its_result():
+    assert set(RESULTS) == set(ORACLES)
+
+
 def test_entry(spark):
     assert repo.entry(spark).limit(5).count() == 5
 
@@ -42,5 +47,7 @@ def test_entry(spark):
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 @pytest.mark.parametrize("name", CHECKED)
 def test_equals_sql(spark, con, name):
+    df_types = dict(QUERIES[name](spark, FOLDER).dtypes)
+    assert df_types == dict(c.rsplit(" ", 1) for c in RESULTS[name].split(", "))
     state, note, _ = compare(spark, con, name, QUERIES[name], ORACLES[name], FOLDER)
     assert state == "ok", note
