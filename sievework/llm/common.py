@@ -18,7 +18,7 @@ U64 = np.uint64
 MIX_1, MIX_2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 WORD_1, WORD_2 = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 PAIR = U64(0xC2B2AE3D27D4EB4F)
-BLOCK_ROWS = 2000
+BLOCK_ROWS, BLOCK_BYTES = 4000, 8 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -142,11 +142,33 @@ def shingles(words: Words, size: int) -> list[np.ndarray]:
     return out
 
 
-def blocks(batches: Iterator[pa.RecordBatch], rows: int = BLOCK_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of at most ``rows`` rows, so that a task's memory stays small."""
+def blocks(batches: Iterator[pa.RecordBatch], rows: int = BLOCK_ROWS, column: str = "text", size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``rows`` rows and ``size`` bytes of ``column`` at most, or of one row.
+
+    A task's memory then depends on its longest text and not on how the rows are packed.
+    """
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        ends = None
+        if column in batch.schema.names:
+            lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lengths.astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = min(at + rows, batch.num_rows)
+            if ends is not None:
+                before = ends[at - 1] if at else 0
+                to = min(to, max(int(np.searchsorted(ends, before + size, "right")), at + 1))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def on_tables(function, **fixed):
+    """``function`` over whole groups with some arguments fixed, typed as Spark wants it."""
+
+    def call(group: pa.Table) -> pa.Table:
+        return function(group, **fixed)
+
+    return call
 
 
 def signed(x: np.ndarray) -> pa.Array:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.llm import ngram_lm, toxicity, warc
 from sievework.llm.common import in_fold, table
 from sievework.llm.minhash import near_duplicates
 
@@ -27,3 +28,29 @@ def query(name: str, oracle: str | None = None):
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    learn = ~in_fold(F.col("doc_id"), 4, 2)
+    net = toxicity.fit(documents.where(learn), table(spark, folder, "labels"))
+    rows = toxicity.score(documents.withColumn("held_out", ~learn), net)
+    return rows.select(
+        "doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        (F.col("score") >= toxicity.threshold(net)).alias("rejected"))
+
+
+@query("op6_ngram_lm")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 10, 0)
+    model = ngram_lm.fit(documents.where(~held_out))
+    return ngram_lm.score(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    archives, index = warc.write_archives(table(spark, folder, "pages"))
+    records = warc.read_records(archives, index, bodies=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
