@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import ngram_lm, toxicity, warc
+from sievework.llm import langid, ngram_lm, sentencepiece_fst, toxicity, warc
 from sievework.llm.common import in_fold, table
 from sievework.llm.minhash import near_duplicates
 
@@ -15,6 +16,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    return public_tokenizers.path(name)
+
+
 def query(name: str, oracle: str | None = None):
     def register(build):
         QUERIES[name] = build
@@ -54,3 +60,16 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     archives, index = warc.write_archives(table(spark, folder, "pages"))
     records = warc.read_records(archives, index, bodies=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    prototypes = langid.fit(documents.where(~held_out))
+    return langid.identify(documents.select("doc_id", "text", held_out.alias("held_out")), prototypes)
+
+
+@query("op3_sentencepiece")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_fst.encode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model"))
