@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import langid, ngram_lm, sentencepiece_fst, toxicity, warc
+from sievework.llm import langid, ngram_lm, sentencepiece_fst, token_counts, toxicity, warc
 from sievework.llm.common import in_fold, table
 from sievework.llm.minhash import near_duplicates
 
@@ -73,3 +73,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_sentencepiece")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_fst.encode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model"))
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
