@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import langid, ngram_lm, sentencepiece_fst, token_counts, toxicity, warc
+from sievework.llm import decontaminate, langid, licenses, ngram_lm, sentencepiece_fst, token_counts, toxicity, warc
 from sievework.llm.common import in_fold, table
 from sievework.llm.minhash import near_duplicates
 
@@ -78,3 +78,13 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_token_counts")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op5_license_rules", licenses.oracle())
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
