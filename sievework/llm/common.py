@@ -18,7 +18,7 @@ U64 = np.uint64
 MIX_1, MIX_2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 WORD_1, WORD_2 = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 PAIR = U64(0xC2B2AE3D27D4EB4F)
-BLOCK_ROWS, BLOCK_BYTES = 4000, 8 << 20
+BLOCK_ROWS, BLOCK_BYTES = 2000, 3 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -89,6 +89,14 @@ def hash_strings(strings: pa.Array) -> np.ndarray:
     return out
 
 
+def whole(texts: pa.Array) -> pa.Array:
+    """A copy of a slice of texts with offsets from zero, nulls as empty texts.
+
+    Arrow's case functions misread a slice whose offsets were widened.
+    """
+    return pc.fill_null(texts.take(pa.array(np.arange(len(texts)))), "").cast(pa.large_string())
+
+
 class Words:
     """Words of a batch of texts: ``codes`` into ``vocabulary``, and ``bounds`` of each text.
 
@@ -97,8 +105,7 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(whole(texts)))
         bounds = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -108,7 +115,8 @@ class Words:
         if not full.all():
             kept = full[codes] if len(codes) else np.zeros(0, bool)
             bounds = np.concatenate([[0], np.cumsum(kept)])[bounds]
-            codes = codes[kept]
+            codes = (np.cumsum(full) - 1)[codes[kept]]
+            self.vocabulary = self.vocabulary.filter(pa.array(full))
         self.codes, self.bounds = codes, bounds
 
     def __len__(self) -> int:

@@ -112,7 +112,7 @@ def fit(documents: DataFrame) -> dict[str, np.ndarray]:
     return {lang: v / max(np.linalg.norm(v), 1e-12) for lang, v in sorted(out.items())}
 
 
-def identified(batches, prototypes: dict[str, np.ndarray]):
+def identified(batches, prototypes: dict[str, np.ndarray], kept: list[str]):
     langs = [*prototypes, UNKNOWN]
     table = np.stack([*prototypes.values(), np.zeros(DIMENSIONS)]).astype(np.float32)
     for batch in blocks(batches, ROWS):
@@ -121,22 +121,18 @@ def identified(batches, prototypes: dict[str, np.ndarray]):
         cosines[:, -1] = -2 if prototypes else 0
         best = np.where(lettered, cosines.argmax(1), len(langs) - 1)
         score = np.where(lettered, np.clip(cosines[np.arange(len(best)), best], 0, 1), 0.0)
-        kept = [c for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in kept), pa.array([langs[k] for k in best], pa.string()), pa.array(score, pa.float64())],
             names=[*kept, "lang_pred", "score"])
 
 
 def identify(documents: DataFrame, prototypes: dict[str, np.ndarray], keep_text: bool = False) -> DataFrame:
-    """``documents`` with ``lang_pred`` and ``score`` (the cosine, at least 0) instead of the text.
+    """``documents`` with ``lang_pred`` and ``score`` (the cosine, at least 0) with or without the text.
 
     Texts that are null or have no letter are ``und`` with score 0, as are all texts without a
     prototype. Equal cosines take the first language by name. Columns of these names are replaced.
     """
     documents = documents.drop("lang_pred", "score")
-    if keep_text:
-        documents = documents.withColumn("whole", F.col("text"))
-    fields = [f for f in documents.schema.fields if f.name != "text"]
+    fields = [f for f in documents.schema.fields if keep_text or f.name != "text"]
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    out = documents.mapInArrow(partial(identified, prototypes=prototypes), schema)
-    return out.withColumnRenamed("whole", "text") if keep_text else out
+    return documents.mapInArrow(partial(identified, prototypes=prototypes, kept=[f.name for f in fields]), schema)

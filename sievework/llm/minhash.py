@@ -21,9 +21,12 @@ from sievework.llm.common import U64, Words, blocks, connected, mix, shingles, s
 
 VALUES, BITS, DISTANCE = 64, 16, 25
 CHUNKS = (DISTANCE + 2) // 2        # one chunk has at most one wrong value
+FIRST_CHUNKS = 3                    # chunks whose keys the first stars use
 ROUNDS, EASY = 3, 16                # star rounds at most before every pair left is compared; earlier if buckets are this small
 FILTER_BITS = 24                    # the scan filter holds 2^24 bits, whatever the data
 SEEDS = mix(np.arange(1, 2 * VALUES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
+# Centres are the smallest members after a change of signs, another one each round.
+ORDERS = [int(x) for x in mix(np.arange(1, ROUNDS + 2, dtype=U64)).view(np.int64)]
 EDGES = np.linspace(0, VALUES, CHUNKS + 1).round().astype(int)
 
 
@@ -53,17 +56,17 @@ def sketch(batches, size: int):
             for at, row in zip([k for k, s in enumerate(sets) if len(s)], rows):
                 signs[at] = row.tobytes()
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), signed(set_hash(sets)), pa.array(signs, pa.binary())],
-            names=["doc_id", "n_shingles", "cls", "sig"])
+            [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()), signed(set_hash(sets)), pa.array(signs, pa.binary())],
+            names=["doc_id", "text_key", "n_shingles", "cls", "sig"])
 
 
-def chunk_keys(batches):
+def chunk_keys(batches, chunks: int):
     """For each class, a key for every chunk and value left out of it."""
     for batch in blocks(batches, 500):
         n = batch.num_rows
         signs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(n, VALUES).astype(U64)
         keys = []
-        for c, (a, b) in enumerate(zip(EDGES[:-1], EDGES[1:])):
+        for c, (a, b) in enumerate(zip(EDGES[:chunks], EDGES[1:])):
             for left_out in range(a, b):
                 key = np.full(n, mix(np.array([c * VALUES + left_out + 1], U64))[0], U64)
                 for k in range(a, b):
@@ -71,7 +74,7 @@ def chunk_keys(batches):
                         key = mix(key ^ (signs[:, k] + U64(k << BITS)))
                 keys.append(key)
         keys = np.concatenate(keys)
-        yield pa.RecordBatch.from_arrays([signed(keys), pa.array(np.tile(batch.column("cls").to_numpy(), len(keys) // n))], names=["key", "cls"])
+        yield pa.RecordBatch.from_arrays([signed(keys), *(pa.array(np.tile(batch.column(c).to_numpy(), len(keys) // n)) for c in ("cls", "comp"))], names=["key", "cls", "comp"])
 
 
 def near_signatures(batches):
@@ -125,6 +128,18 @@ def filter_bits(reps: DataFrame) -> bytes:
     return held.tobytes()
 
 
+def known_groups(links: DataFrame) -> DataFrame:
+    """(cls, comp): a class that each class with links is known to belong with; two steps of pointers.
+
+    Equal labels mean one component; the reverse holds only at the end, of :func:`connected`.
+    """
+    up = links.select(F.greatest("a", "b").alias("cls"), F.least("a", "b").alias("comp")).groupBy("cls").agg(F.min("comp").alias("comp"))
+    for _ in range(2):
+        higher = up.select(F.col("cls").alias("comp"), F.col("comp").alias("above"))
+        up = up.join(higher, "comp", "left").select("cls", F.coalesce("above", "comp").alias("comp"))
+    return up
+
+
 class NearDuplicates:
     """Classes of documents with equal shingle sets, and the links between classes.
 
@@ -137,13 +152,17 @@ class NearDuplicates:
         self.documents = documents.select("doc_id", "text")
         self.size, self.percent = size, percent
         self.spark = documents.sparkSession
-        self.rows = stored(self.documents.mapInArrow(partial(sketch, size=size), "doc_id long, n_shingles long, cls long, sig binary"), "sketches")
+        keyed = self.documents.withColumn("text_key", F.xxhash64("text"))
+        self.rows = stored(keyed.mapInArrow(partial(sketch, size=size), "doc_id long, text_key long, n_shingles long, cls long, sig binary"), "sketches")
         self.classes = stored(
             self.rows.where("n_shingles > 0").groupBy("cls").agg(
                 F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
 
-    def keys(self, classes: DataFrame) -> DataFrame:
-        return classes.select("cls", "sig").mapInArrow(chunk_keys, "key long, cls long")
+    def keys(self, labels: DataFrame | None = None, chunks: int = CHUNKS) -> DataFrame:
+        """(key, cls, comp) of all classes; without labels every class is a component of its own."""
+        rows = self.classes.select("cls", "sig")
+        rows = rows.withColumn("comp", F.col("cls")) if labels is None else rows.join(labels, "cls", "left").select("cls", "sig", F.coalesce("comp", "cls").alias("comp"))
+        return rows.mapInArrow(partial(chunk_keys, chunks=chunks), "key long, cls long, comp long")
 
     def within_distance(self, pairs: DataFrame) -> DataFrame:
         """Pairs of classes whose sizes allow the similarity and whose signatures are near."""
@@ -166,59 +185,69 @@ class NearDuplicates:
     def components(self) -> DataFrame:
         """(cls, component) of the classes that have links, named by the smallest class.
 
-        In each bucket the members are compared with one centre, first; classes that such stars
-        join need no further comparison. At the end all pairs of a bucket that still lie in
-        different components are compared, so no link is lost, and groups of copies never make
-        all their pairs.
+        In each bucket the members are compared with one centre, first under a few of the keys and
+        then under all, with another centre each time; members that are known to belong together
+        need no comparison. When little is left, all pairs of a bucket in different components are
+        compared, so no link is lost, and groups of copies never make all their pairs.
         """
-        keys = self.keys(self.classes)
+        keys = self.keys(chunks=FIRST_CHUNKS)
         stars = keys.groupBy("key").agg(F.min("cls").alias("centre"), F.max("cls").alias("last")).where("centre <> last").select("key", "centre")
-        pairs = keys.join(stars, "key").where("cls <> centre").select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct()
-        tested = stored(pairs, "pairs")
-        links = self.links(stored(self.within_distance(tested), "near"))
-        held = self.classes.join(tested.select(F.col("a").alias("cls")).union(tested.select("b")).distinct(), "cls", "left_semi")
+        tested = stored(keys.join(stars, "key").where("cls <> centre").select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+        links = stored(self.links(stored(self.within_distance(tested), "near")), "links")
         for turn in range(ROUNDS + 1):
-            links = stored(links, "links")
-            labels = connected(links, "stars").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-            members = self.keys(held).join(labels, "cls", "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp"))
-            split = members.groupBy("key").agg(
-                F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls", "comp")).alias("c"),
-                F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"),
-            ).where("low <> high").select("key", F.col("c.cls").alias("centre"), F.col("c.comp").alias("centre_comp"), "n")
-            members = stored(members.join(split, "key"), "members")
-            rest = members.where("comp <> centre_comp")
+            labels = stored(known_groups(links), "groups")
+            keys = self.keys(labels)
+            order = F.lit(ORDERS[turn])
+            split = keys.groupBy("key").agg(
+                F.min(F.col("cls").bitwiseXOR(order)).alias("centre"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"),
+            ).where("low <> high").select("key", "n", F.col("centre").bitwiseXOR(order).alias("centre"))
+            split = split.join(labels.select(F.col("cls").alias("centre"), F.col("comp").alias("centre_comp")), "centre", "left")
+            rest = stored(keys.join(split, "key").where("comp <> coalesce(centre_comp, centre)").select("key", "cls", "comp", "centre", "n"), "rest")
             work, rows = rest.agg(F.sum("n"), F.count("*")).first()
             if not rows:
-                return labels
-            every = turn == ROUNDS or work <= EASY * rows
-            if every:
-                other = members.select("key", F.col("cls").alias("other"), F.col("comp").alias("comp_b"))
-                pairs = rest.join(other, "key").where("comp <> comp_b").select("cls", "other")
+                break
+            last = turn == ROUNDS or work <= EASY * rows
+            if last:
+                other = keys.select("key", F.col("cls").alias("other"), F.col("comp").alias("comp_b"))
+                pairs = rest.select("key", "cls", "comp").join(other, "key").where("comp <> comp_b").select("cls", "other")
             else:
                 pairs = rest.select("cls", F.col("centre").alias("other"))
             pairs = pairs.select(F.greatest("cls", "other").alias("a"), F.least("cls", "other").alias("b")).distinct()
-            known = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-            pairs = stored(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
             near = stored(self.within_distance(pairs), "near")
             if not near.isEmpty():
-                links = links.union(self.links(near))
-            elif every:
-                return labels
-            if every:
-                return connected(stored(links, "links"), "stars").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+                links = stored(links.union(self.links(near)), "links")
+            if last:
+                break
             tested = tested.union(pairs)
-        raise AssertionError("the last round compares every pair")
+        return connected(links, "stars").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id (smallest doc_id), kept, one row for each row of documents."""
         groups = self.classes.join(self.components(), "cls", "left").select("cls", "rep", F.coalesce("comp", "cls").alias("comp"))
         named = groups.join(groups.groupBy("comp").agg(F.min("rep").alias("component_id")), "comp").select("cls", "component_id")
-        out = self.rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("cls")).alias("cls")).join(named, "cls", "left")
+        out = self.rows.withColumn("cls", F.when(F.col("n_shingles") > 0, F.col("cls"))).join(named, "cls", "left")
         component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-        out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+        out = out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"))
         return out.withColumn("kept", F.expr("doc_id <=> component_id"))
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: its set size, the component of near duplicates, and whether it names it."""
-    return NearDuplicates(documents, size, percent).result()
+    return NearDuplicates(documents, size, percent).result().drop("text_key")
+
+
+def without_near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``documents`` with one row of each component; documents without words all stay.
+
+    Rows that repeat both id and text are one document and stay once. Removed rows are matched by id
+    and by a hash of the text, so two texts under one id do not go together.
+    """
+    marked = stored(NearDuplicates(documents, size, percent).result(), "marked")
+    gone = marked.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_key"))
+    out = documents.join(gone, same, "left_anti")
+    if marked.where("kept and n_shingles > 0").groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
+        return out
+    whole = F.coalesce(F.octet_length("text"), F.lit(0)) > 0
+    return out.where(whole).dropDuplicates(["doc_id", "text"]).unionByName(out.where(~whole))

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from sievework.llm.common import MIX_1, MIX_2, U64, Words, blocks, hash_strings, mix, mounted, on_tables, scratch, signed, stored
 
-PER_FILE = 1 << 21              # entries of a range, about
+PER_FILE = 1 << 20              # entries of a range, about
 END = U64(0x1D8AF066F5B1C3E7)   # stands for the end of a text
 BASE_ADD = 0.1                  # added to every count of the unigram baseline
 USUAL = (0.5, 1.0, 1.5)         # discounts where the counts of counts give none

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sievework.llm.common import blocks, string_parts
+from sievework.llm.common import blocks, string_parts, whole
 
 MARK = "▁"
 # Field numbers and codes of the model file.
@@ -191,7 +191,7 @@ class Transducer:
         """Ids of all texts, and the bounds of each text."""
         # A mark in the text means a space, too. A space begins a stretch; further spaces before a
         # word, and spaces at the end, belong to one stretch.
-        plain = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), MARK, " ")
+        plain = pc.replace_substring(whole(texts), MARK, " ")
         lists = pc.split_pattern(plain, " ")
         coded = lists.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)

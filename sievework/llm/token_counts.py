@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sievework.llm.common import blocks, scratch
+from sievework.llm.common import blocks, scratch, whole
 
 BLANKS = r"[\x20\x09-\x0D]+"
 LIMIT = 2048
@@ -62,7 +62,7 @@ class Counter:
 
 def counted(batches, counter):
     for batch in blocks(batches):
-        lists = pc.ascii_split_whitespace(pc.fill_null(batch.column("text").cast(pa.large_string()), ""))
+        lists = pc.ascii_split_whitespace(whole(batch.column("text")))
         coded = lists.flatten().dictionary_encode()
         per_stretch = counter.value.counts(coded.dictionary.to_pylist())
         totals = np.concatenate([[0], np.cumsum(per_stretch[coded.indices.to_numpy(zero_copy_only=False)])]) if len(coded) else np.zeros(1, np.int64)
