@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import decontaminate, langid, licenses, ngram_lm, sentencepiece_fst, token_counts, toxicity, warc
+from sievework.llm import decontaminate, langid, licenses, ngram_lm, pivot_index, sentencepiece_fst, token_counts, toxicity, warc
 from sievework.llm.common import in_fold, table
 from sievework.llm.minhash import near_duplicates
 
@@ -88,3 +88,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_decontamination")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_pivot_index")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_index.linked_vectors(table(spark, folder, "embeddings"))
