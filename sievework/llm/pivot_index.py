@@ -26,6 +26,7 @@ COSINE = 0.95
 NEAREST, SHARED = 8, 2          # pivots of a vector; pivots that candidates share
 PIVOTS_PER_ROOT = 4             # reference points for each root of the number of vectors
 LEAST_PIVOTS = 32
+APART = 0.7                     # largest cosine of two reference points
 BLOCK = 512                     # vectors of a block of a list
 
 
@@ -115,14 +116,19 @@ def compared(group: pa.Table, cosine: float, shared: int) -> pa.Table:
 
 def pick_pivots(entries: DataFrame, total: int) -> np.ndarray:
     """Reference points: distinct usable vectors of the most frequent length, the first by a hash of
-    their values. Their number grows with the root of the number of vectors."""
+    their values, and none near to another, so that a dense group does not hold most of them. The
+    sample grows with the root of the number of vectors."""
     wanted = max(LEAST_PIVOTS, int(np.ceil(PIVOTS_PER_ROOT * np.sqrt(total))))
     lengths = entries.groupBy(F.size("embedding").alias("n")).count().where("n > 0").orderBy(F.desc("count"), "n").first()
     if lengths is None:
         return np.zeros((0, 0))
     rows = entries.where(F.size("embedding") == lengths["n"]).orderBy(F.xxhash64("embedding", F.lit(5)), "entry").limit(wanted).select("embedding").toArrow()
     x, good = unit(rows.column("embedding").combine_chunks())
-    return x[good]
+    kept: list[int] = []
+    for k in np.flatnonzero(good):
+        if not kept or (x[kept] @ x[k]).max() < APART:
+            kept.append(k)
+    return x[kept]
 
 
 def linked_vectors(embeddings: DataFrame, cosine: float = COSINE, shared: int = SHARED) -> DataFrame:
