@@ -15,7 +15,7 @@ from sievework.functions.text import text_measures
 from sievework.operators.containment import detect_codes
 from sievework.operators.lexicon import Lexicon
 from sievework.operators.scoring import doc_features
-from sievework.session import spread_small_scan
+from sievework.session import allow_repeated_fields, spread_scan
 
 URL_BASE = "https://example.org/notice?id="
 AS_OF = "2001-08-01 00:00:00"        # last day of the notices
@@ -61,23 +61,25 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        allow_repeated_fields(spark)
 
     def raw(self, name: str) -> DataFrame:
-        return spread_small_scan(self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet"))
+        return spread_scan(self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet"))
 
     @cached_property
     def notices(self) -> DataFrame:
         key = F.col("o_orderkey")
-        # The join key is a remainder below 200, so only 200 parts can ever match.
-        parts = self.raw("part").where("p_partkey >= 0 AND p_partkey < 200").select("p_partkey", "p_name")
+        # The remainder by the number of parts reaches the whole table, each part about equally often.
+        parts = self.raw("part").select("p_partkey", "p_name")
+        n_parts = parts.agg(F.count(F.lit(1)).alias("n")).scalar()
         labels = self.raw("labels").select("doc_id", "toxic")
         customers = self.raw("customer").select("c_custkey", "c_nationkey", "c_name", "c_mktsegment")
         nations = self.raw("nation").select("n_nationkey", "n_name")
         joined = (
-            self.raw("orders")
+            self.raw("orders").withColumn("_part", key % n_parts)
             .join(customers, F.col("o_custkey") == F.col("c_custkey"))
             .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(parts, key % 200 == F.col("p_partkey"), "left")
+            .join(parts, F.col("_part") == F.col("p_partkey"), "left")
             .join(labels, key == F.col("doc_id"), "left")
         )
         return joined.select(

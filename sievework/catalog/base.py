@@ -28,7 +28,7 @@ NOTICES = """notices AS (
   CASE WHEN o.o_orderkey%5<2 THEN NULL ELSE CAST(o.o_totalprice AS DECIMAL(15,2)) END AS value,
   '' AS cycle, l.toxic AS bid
  FROM orders o JOIN customer c ON o.o_custkey=c.c_custkey JOIN nation n ON c.c_nationkey=n.n_nationkey
- LEFT JOIN part p ON p.p_partkey=o.o_orderkey%200 LEFT JOIN labels l ON l.doc_id=o.o_orderkey)"""
+ LEFT JOIN part p ON p.p_partkey=o.o_orderkey%(SELECT count(*) FROM part) LEFT JOIN labels l ON l.doc_id=o.o_orderkey)"""
 
 DOCS = """doc_content AS (
  SELECT doc_id AS resource_id, text AS pdf_text,

@@ -21,14 +21,12 @@ STOP = ("the", "and", "of", "der", "die", "le", "la")
 # -- encoders -------------------------------------------------------------------------------------
 
 @query("code_onehot", with_(DOCS, HITS, """
-names AS (SELECT list(DISTINCT substr(md5(c), 1, 8) ORDER BY substr(md5(c), 1, 8)) AS all_codes FROM (SELECT unnest(detected_codes) AS c FROM coded))""", select="""
-SELECT resource_id, array_to_string(list_transform(all_codes, lambda x: CASE WHEN list_contains(list_transform(detected_codes, lambda d: substr(md5(d), 1, 8)), x)
- THEN '1' ELSE '0' END), '') AS bits FROM coded, names"""))
+names AS (SELECT list(DISTINCT c ORDER BY c) AS all_codes FROM (SELECT unnest(detected_codes) AS c FROM coded))""", select="""
+SELECT resource_id, array_to_string(list_transform(all_codes, lambda x: CASE WHEN list_contains(detected_codes, x) THEN '1' ELSE '0' END), '') AS bits
+FROM coded, names"""))
 def _(t):
-    short = t.coded.withColumn("detected_codes", F.transform("detected_codes", lambda c: F.substring(F.md5(c), 1, 8)))
-    wide = encode.code_onehot(short.select("resource_id", "detected_codes"))
-    columns = sorted(c for c in wide.columns if c.startswith("code_"))
-    return wide.select("resource_id", F.concat(*[F.col(c).cast("string") for c in columns]).alias("bits"))
+    marked = encode.code_bits(cut_lineage(t.coded.select("resource_id", "detected_codes")))
+    return marked.select("resource_id", F.array_join(F.transform("bits", lambda b: b.cast("string")), "").alias("bits"))
 
 
 @query("label_encode", with_(NOTICES, """
@@ -47,7 +45,7 @@ def _(t):
     return scaled.select("l_orderkey", "l_linenumber", *[F.round(c, 6).alias(c) for c in ("l_quantity", "l_discount")])
 
 
-WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\pL\pM\p{Nd}\p{Pc}]+'), lambda x: length(x) >= 2)"
+WORDS = r"list_filter(regexp_split_to_array(lower(strip_accents(text)), '[^\pL\pM\p{Nd}\p{Pc}]+'), lambda x: length(x) >= 2)"
 
 
 @query("tfidf_terms", f"""

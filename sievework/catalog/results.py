@@ -62,6 +62,9 @@ RESULTS: dict[str, str] = {
     "update_status": "resource_id bigint, title string, ml_processed boolean, ml_status string",
     "mark_notified": "resource_id bigint, notification_sent boolean, notification_sent_at string",
     "apply_labels": "resource_id bigint, bid bigint",
+    "apply_labels_repeated": "resource_id bigint, bid bigint",
+    "update_predictions_repeated": "resource_id bigint, ml_bid boolean, ml_reasoning string, ml_status string",
+    "ingest_raw": "resource_id bigint, title string",
     "route_by_url": "route string, n bigint",
     "align_schema": (
         "resource_id bigint, title string, ca string, info string, published string, deadline string, "

@@ -8,6 +8,7 @@ from sievework import schemas
 from sievework.adapters import AS_OF, URL_BASE
 from sievework.catalog.base import DOCS, HITS, NOTICES, RAW_NOTICES, query, with_
 from sievework.operators import monitor, search, upsert
+from sievework.plans import screening
 from sievework.sources import listing, messages, store
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -233,6 +234,12 @@ def _(t):
     return upsert.upsert_notices(once, batch, order_by="arrival").select(*KEPT, "ml_status", "ml_processed")
 
 
+def _twice(rows, column):
+    """Each row in two arrivals, the first with another text in ``column``."""
+    both = rows.withColumn("arrival", F.explode(F.array(F.lit(1), F.lit(2))))
+    return both.withColumn(column, F.when(F.col("arrival") == 1, F.lit("first")).otherwise(F.col(column)))
+
+
 @query("upsert_doc_content", with_(DOCS, HITS, """
 old AS (SELECT * FROM coded WHERE extraction_timestamp < TIMESTAMP '2001-07-31 12:00:00'),
 new AS (SELECT * FROM coded WHERE extraction_timestamp >= TIMESTAMP '2001-07-31 00:00:00')""", select=f"""
@@ -246,7 +253,7 @@ def _(t):
     new = t.coded.where(ts >= F.lit("2001-07-31 00:00:00").cast("timestamp_ntz")).select(
         "resource_id", F.concat(F.lit("new "), F.col("pdf_text")).alias("pdf_text"), "detected_codes"
     )
-    return upsert.upsert_doc_content(old, new, _now())
+    return upsert.upsert_doc_content(old, _twice(new, "pdf_text"), _now(), "arrival")
 
 
 def _summaries(t):
@@ -273,7 +280,7 @@ def _(t):
     new = said.where("turn >= 2").drop("turn").withColumns({
         "ai_summary": F.concat(F.lit("new "), F.col("ai_summary")), "created_at": F.lit("2001-08-05 00:00:00").cast("timestamp_ntz"),
     })
-    merged = upsert.upsert_summaries(old, new, _now())
+    merged = upsert.upsert_summaries(old, _twice(new, "ai_summary"), _now(), "arrival")
     return merged.select("resource_id", "ai_summary", "created_at", "updated_at")
 
 
@@ -297,7 +304,7 @@ SELECT resource_id, title, value >= 100000 AS ml_bid, CAST(CAST(value / 1000000
  CASE WHEN value >= 100000 THEN 'bid' WHEN value IS NOT NULL THEN 'no-bid' ELSE 'pending' END AS ml_status,
  value IS NOT NULL AS ml_processed, CASE WHEN value IS NOT NULL THEN '{NOW}' END AS updated_at FROM notices"""))
 def _(t):
-    updated = upsert.update_predictions(store.migrate_notices(t.notices), _decisions(t), _now())
+    updated = upsert.update_predictions(store.migrate_notices(t.notices), _decisions(t).withColumn("arrival", F.lit(1)), _now(), "arrival")
     return updated.select("resource_id", "title", "ml_bid", "ml_confidence", "ml_reasoning", "ml_status", "ml_processed", "updated_at")
 
 
@@ -312,14 +319,14 @@ def _(t):
     errors = t.notices.where("pdf_url = ''").select(
         "resource_id", F.lit(True).alias("ml_processed"), F.lit("routing_error").alias("ml_status")
     )
-    return upsert.update_status(store.migrate_notices(t.notices), errors).select("resource_id", "title", "ml_processed", "ml_status")
+    return upsert.update_status(store.migrate_notices(t.notices), _twice(errors, "ml_status"), "arrival").select("resource_id", "title", "ml_processed", "ml_status")
 
 
 @query("mark_notified", with_(NOTICES, select=f"""
 SELECT resource_id, status = 'Open' AS notification_sent, CASE WHEN status = 'Open' THEN '{NOW}' END AS notification_sent_at FROM notices"""))
 def _(t):
     sent = t.notices.where("status = 'Open'").select("resource_id")
-    marked = upsert.mark_notified(store.migrate_notices(t.notices), sent, _now())
+    marked = upsert.mark_notified(store.migrate_notices(t.notices), sent.union(sent), _now())
     return marked.select("resource_id", "notification_sent", "notification_sent_at")
 
 
@@ -332,7 +339,50 @@ def _(t):
         F.col("doc_id").alias("resource_id"),
         F.when(grade == 0, " No").when(grade == 1, "n").when(grade == 4, "YES ").otherwise("maybe").alias("answer"),
     )
-    return upsert.apply_labels(t.notices, answers).select("resource_id", "bid")
+    return upsert.apply_labels(t.notices, answers.withColumn("arrival", F.lit(1)), "arrival").select("resource_id", "bid")
+
+
+@query("apply_labels_repeated", with_(NOTICES, """
+answers AS (SELECT o_custkey AS resource_id, o_orderkey AS arrival, CASE WHEN o_orderstatus = 'O' THEN 1 WHEN o_orderstatus = 'F' THEN 0 END AS answer FROM orders),
+last AS (SELECT resource_id, arg_max(answer, arrival) AS answer FROM answers WHERE answer IS NOT NULL GROUP BY 1)""", select="""
+SELECT n.resource_id, coalesce(l.answer, CAST(n.bid AS BIGINT)) AS bid FROM notices n LEFT JOIN last l USING (resource_id)"""))
+def _(t):
+    """Many answers for one notice; of the clear ones the last counts, and no notice is repeated."""
+    status = F.col("o_orderstatus")
+    answers = t.raw("orders").select(
+        F.col("o_custkey").alias("resource_id"), F.col("o_orderkey").alias("arrival"),
+        F.when(status == "O", "y").when(status == "F", "n").otherwise("?").alias("answer"),
+    )
+    return upsert.apply_labels(t.notices, answers, "arrival").select("resource_id", "bid")
+
+
+@query("update_predictions_repeated", with_(NOTICES, """
+last AS (SELECT o_custkey AS resource_id, arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY 1)""", select="""
+SELECT n.resource_id, l.price >= 100000 AS ml_bid, CASE WHEN l.resource_id IS NOT NULL THEN 'last price' END AS ml_reasoning,
+ CASE WHEN l.resource_id IS NULL THEN 'pending' WHEN l.price >= 100000 THEN 'bid' ELSE 'no-bid' END AS ml_status FROM notices n LEFT JOIN last l USING (resource_id)"""))
+def _(t):
+    """Many decisions for one notice; the last counts, and no notice is repeated."""
+    bid = F.col("o_totalprice") >= 100000
+    decided = t.raw("orders").select(
+        F.col("o_custkey").alias("resource_id"), F.col("o_orderkey").alias("arrival"), bid.alias("ml_bid"), F.lit(0.5).alias("ml_confidence"),
+        F.lit("last price").alias("ml_reasoning"), F.when(bid, "bid").otherwise("no-bid").alias("ml_status"),
+    )
+    updated = upsert.update_predictions(store.migrate_notices(t.notices), decided, _now(), "arrival")
+    return updated.select("resource_id", "ml_bid", "ml_reasoning", "ml_status")
+
+
+@query("ingest_raw", with_(NOTICES, """
+raw AS (SELECT CASE WHEN resource_id % 97 = 0 THEN 0 ELSE resource_id END AS resource_id, concat(title, ' ', a) AS title, resource_id * 10 + a AS arrival
+ FROM notices, (VALUES (1), (2)) v(a))""", select="""
+SELECT resource_id, arg_max(title, arrival) AS title FROM raw GROUP BY 1"""))
+def _(t):
+    """Keys as texts: ``7`` and ``007`` are one key, and all that is no number is key 0."""
+    key = F.col("resource_id")
+    raw = t.raw_notices.withColumn("a", F.explode(F.array(F.lit(1), F.lit(2)))).withColumns({
+        "arrival": key.cast("bigint") * 10 + F.col("a"), "title": F.concat_ws(" ", "title", F.col("a").cast("string")),
+    }).withColumn("resource_id", F.when(key.cast("bigint") % 97 == 0, F.concat(F.lit("x"), key)).when(F.col("a") == 2, F.concat(F.lit("00"), key)).otherwise(key))
+    stored = store.migrate_notices(t.notices.where("resource_id < 0"))
+    return screening.ingest(raw.drop("a"), stored, "arrival")[0].select("resource_id", "title")
 
 
 # -- routes and schema ----------------------------------------------------------------------------

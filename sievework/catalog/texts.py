@@ -448,8 +448,8 @@ PROMPT_FIELDS = {
 
 
 @query("prompt_table", with_(*BASE, SCORES, """
-cuts AS (SELECT p.*, coalesce(array_to_string(c.detected_codes, ', '), '') AS codes, CASE WHEN strlen(p.pdf_text) <= 2000 THEN p.pdf_text
- ELSE concat(left(p.pdf_text, CAST(list_max(list_filter(range(500, 2001), lambda k: strlen(left(p.pdf_text, CAST(k AS INTEGER))) <= 2000)) AS INTEGER)), '...[TRUNCATED]') END AS cut
+cuts AS (SELECT p.*, coalesce(array_to_string(c.detected_codes, ', '), '') AS codes, CASE WHEN strlen(p.pdf_text) <= 15000 THEN p.pdf_text
+ ELSE concat(left(p.pdf_text, CAST(list_max(list_filter(range(3750, 15001), lambda k: strlen(left(p.pdf_text, CAST(k AS INTEGER))) <= 15000)) AS INTEGER)), '...[TRUNCATED]') END AS cut
  FROM predicted p LEFT JOIN coded c USING (resource_id))""", select=f"""
 SELECT resource_id, md5(CASE WHEN strlen(pdf_text) < 100 THEN {_template_sql(reply.TITLE_PROMPT, PROMPT_FIELDS)}
  ELSE {_template_sql(reply.FULL_PROMPT, PROMPT_FIELDS)} END) AS prompt_md5 FROM cuts"""))
@@ -458,5 +458,5 @@ def _(t):
         "summary_type": scoring.summary_type("pdf_text"), "should_bid": F.coalesce("ml_bid", F.lit(False)),
         "confidence": F.col("ml_confidence"), "reasoning": F.col("ml_reasoning"),
     })
-    prompts = reply.prompt_table(rows, "software and support", max_bytes=2000)
+    prompts = reply.prompt_table(rows, "software and support", max_bytes=15000)
     return prompts.select("resource_id", F.md5("prompt").alias("prompt_md5"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,8 +78,11 @@ def build_url(key: Column | str, base: str, shown: Column | None = None) -> Colu
     return F.when(present, F.concat(F.lit(base), key)).otherwise("")
 
 
-def type_records(raw: DataFrame) -> DataFrame:
-    """Raw notices (all text) to typed ones: a bad key becomes 0, bad dates and amounts NULL."""
+def type_records(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw notices (all text) to typed ones: a bad key becomes 0, bad dates and amounts NULL.
+
+    ``keep`` names further columns that pass as they are.
+    """
     return raw.select(
         F.coalesce(F.col("resource_id").try_cast("bigint"), F.lit(0).cast("bigint")).alias("resource_id"),
         "title", "ca", "info",
@@ -88,9 +93,23 @@ def type_records(raw: DataFrame) -> DataFrame:
         parse_money("value").try_cast("decimal(15,2)").alias("value"),
         "cycle",
         F.lit(None).cast("int").alias("bid"),
+        *keep,
     )
 
 
+def utc_time(c: Column | str) -> Column:
+    """An ISO time with its offset (none: UTC) as a zone-free time in UTC, fraction included; else NULL.
+
+    The session's time zone plays no part.
+    """
+    c = _c(c)
+    zoned = F.when(c.rlike(r"(?:[Zz]|[+-]\d\d:?\d\d)$"), c).otherwise(F.concat(c, F.lit("Z")))
+    micros = F.unix_micros(F.replace(zoned, F.lit(" "), F.lit("T")).try_cast("timestamp"))
+    days = F.floor(micros / F.lit(86_400_000_000)).cast("int")
+    rest = (micros - days.cast("bigint") * 86_400_000_000).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(18,0)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), rest.cast("decimal(18,6)"))
+
+
 def migrate_timestamp(c: Column | str) -> Column:
     """Text of the form ``Fri Jun 13 12:54:34 IST 2025`` to a zone-free timestamp; other text to NULL."""
     c = _c(c)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework import fixed_values as fv
 from sievework import schemas
+from sievework.functions import clean
 from sievework.functions.clean import _c, trim_all
 from sievework.functions.text import truncate_bytes
 
@@ -216,7 +217,7 @@ def digest_rows(df: DataFrame, link_base: str, payload: str = "payload") -> Data
     numeric = ~F.schema_of_variant(number).isin("STRING", "BOOLEAN", "VOID")
     confidence = F.when(numeric, F.try_variant_get(meta, "$.ml_prediction.confidence", "double"))
     default = lambda path, other: F.coalesce(text_at(meta, path), other if isinstance(other, Column) else F.lit(other))
-    stamp = F.translate(F.substring("_m.timestamp", 1, 19), "T", " ")
+    stamp = F.date_format(clean.utc_time("_m.timestamp"), "yyyy-MM-dd HH:mm:ss")
     return step.select(
         F.lit("Tender Opportunity").alias("subject"),
         F.col("_m.resource_id").alias("resource_id"),

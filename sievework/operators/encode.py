@@ -12,10 +12,7 @@ from pyspark.sql.window import Window
 from sievework.functions.text import word_tokens
 from sievework.operators.lexicon import tfidf_from_counts, vocabulary_counts
 from sievework.operators.running import running_totals
-
-MAX_CATEGORIES = 1_000_000
-MAX_WIDE_CODES = 5_000
-
+from sievework.session import cut_lineage
 
 # -- repeatable splits ----------------------------------------------------------------------------
 
@@ -49,11 +46,6 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
     return df.join(test, key)
 
 
-def hashed_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Folds by hash alone: no shuffle, sizes about equal."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
-
-
 # -- encoders -------------------------------------------------------------------------------------
 
 def class_weights(df: DataFrame, label: str = "bid") -> DataFrame:
@@ -66,13 +58,20 @@ def class_weights(df: DataFrame, label: str = "bid") -> DataFrame:
     return df.withColumn("_c", counts).withColumn("weight", weight).drop("_c")
 
 
-def label_codes(df: DataFrame, column: str, max_values: int = MAX_CATEGORIES) -> DataFrame:
-    """(value, code): the distinct values numbered from 0 in alphabetical order."""
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """(value, code): the distinct values numbered from 0 in alphabetical order.
+
+    The values are cut into ranges, written with the number of their range, and numbered within it on
+    top of the ranges below, one row each.
+    """
     values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("value")).distinct()
-    n = values.limit(max_values + 1).count()
-    if n > max_values:
-        raise ValueError(f"{column} has more than {max_values} values; it is no category")
-    return values.withColumn("code", F.row_number().over(Window.orderBy("value")) - 1)  # bounded above
+    ranged = cut_lineage(values.repartitionByRange("value").withColumn("_range", F.spark_partition_id()))
+    below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("value")) - 1
+    numbered = ranged.withColumn("_place", place).join(starts, "_range")
+    return numbered.select("value", (F.col("_start") + F.col("_place")).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, column: str, codes: DataFrame, unseen: int = 0, output: str | None = None) -> DataFrame:
@@ -103,17 +102,25 @@ def scale_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def code_onehot(df: DataFrame, codes: Sequence[str] | None = None, name=lambda code: f"code_{code}") -> DataFrame:
-    """One 0/1 column per code, sorted (M01). More codes than a wide table takes: use the sparse vector."""
+    """One 0/1 column per code, sorted (M01); without ``codes``, per code that occurs.
+
+    The columns are part of the plan. For a dictionary too wide for that take :func:`code_bits` or the
+    sparse vectors of the feature stages.
+    """
     if codes is None:
-        found = df.select(F.explode("detected_codes").alias("code")).distinct().limit(MAX_WIDE_CODES + 1).collect()
-        codes = [r["code"] for r in found]
-    if len(codes) > MAX_WIDE_CODES:
-        raise ValueError(f"more than {MAX_WIDE_CODES} codes: use a CountVectorizer on detected_codes")
+        codes = [r["code"] for r in df.select(F.explode("detected_codes").alias("code")).distinct().collect()]
     return df.withColumns({
         name(c): F.coalesce(F.array_contains("detected_codes", c), F.lit(False)).cast("int") for c in sorted(codes)
     })
 
 
+def code_bits(df: DataFrame, output: str = "bits") -> DataFrame:
+    """The 0/1 marks of all codes that occur, in order, as one array column."""
+    every = df.select(F.explode("detected_codes").alias("code")).agg(F.array_sort(F.collect_set("code")).alias("codes")).scalar()
+    marks = F.transform("_codes", lambda c: F.coalesce(F.array_contains("detected_codes", c), F.lit(False)).cast("int"))
+    return df.withColumn("_codes", every).withColumn(output, marks).drop("_codes")
+
+
 def document_terms(docs: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     """Key, codes, text length and word-list counts of each document, without its text."""
     counted = vocabulary_counts(docs, F.col("pdf_text"), vocabulary, "d_n_")
@@ -183,14 +190,14 @@ def tfidf_terms(
     df: DataFrame, text: Column, min_df: int = 3, max_df: float = 1.0, max_features: int | None = None,
     bigrams: bool = True,
 ) -> DataFrame:
-    """Vocabulary table: term, frequency, document frequency and smooth idf + 1.
+    """Vocabulary table: term without accents, frequency, document frequency and smooth idf + 1.
 
     Every occurrence counts for the frequency and the first one in a text for the document
     frequency; both are plain sums per term, so a task sends one partial row per term and not one
     per text and term.
     """
     n_docs = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    analyzed = df.select(F.explode(F.array(analyze(text, bigrams))).alias("terms"))
+    analyzed = df.select(F.explode(F.array(analyze(strip_accents(text), bigrams))).alias("terms"))
     marked = F.concat(
         F.transform("terms", lambda w: F.struct(w.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
         F.transform(F.array_distinct("terms"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))),

@@ -15,8 +15,6 @@ from sievework import fixed_values as fv
 from sievework.functions.text import phrase_count, word_count, word_tokens
 from sievework.session import cut_lineage
 
-MAX_AUTHORITIES = 1000
-
 
 @dataclass(frozen=True)
 class Lexicon:
@@ -231,15 +229,12 @@ def encode_authority(c: Column | str, codes: Mapping[str, int] | None = None) ->
     """Authority name to code: exact, else either name contains the other (lowest code wins),
     else a hash code from 11 to 100."""
     codes = dict(fv.AUTHORITY_CODES if codes is None else codes)
-    if len(codes) > MAX_AUTHORITIES:
-        raise ValueError(f"the authority map is part of the plan: at most {MAX_AUTHORITIES} names")
     name = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
-    exact = F.lit(None).cast("int")
-    partial = F.lit(None).cast("int")
-    for known, code in sorted(codes.items(), key=lambda kv: -kv[1]):
-        exact = F.when(name == known, F.lit(code)).otherwise(exact)
-        either = name.contains(known) | F.lit(known).contains(name)
-        partial = F.when(either, F.lit(code)).otherwise(partial)
+    # One list of (name, code), searched once per row; its length is not part of the plan's depth.
+    known = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(v).alias("code")) for k, v in codes.items()])
+    lowest = lambda found: F.array_min(F.transform(found, lambda x: x["code"]))
+    exact = lowest(F.filter(known, lambda x: x["name"] == name))
+    partial = lowest(F.filter(known, lambda x: name.contains(x["name"]) | x["name"].contains(name)))
     # 32 bits of the digest; any fixed hash will do, this one is the same in every SQL engine.
     hashed = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("bigint") % 90 + 11
     return F.coalesce(exact, partial, hashed.cast("int")).cast("double")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework import schemas
+from sievework.session import cut_lineage
 
 # The columns a second arrival of a notice does not touch.
 NOTICE_PRESERVED = (
@@ -28,19 +29,35 @@ def filter_new_records(incoming: DataFrame, stored: DataFrame, key: str = "resou
     return incoming.join(stored.select(key), key, "left_anti")
 
 
+def last_values(updates: DataFrame, key: str, columns: Sequence[str], arrival: str | Sequence[str] | None) -> DataFrame:
+    """One row per key with the ``columns`` of its last arrival.
+
+    Delivery is at least once, so keys repeat. Without an arrival only equal repeats may occur, such
+    as marks that carry no value of their own; they fall together.
+    """
+    if arrival is None:
+        return updates.select(key, *columns).distinct()
+    order = [arrival] if isinstance(arrival, str) else list(arrival)
+    kept = updates.select(key, *dict.fromkeys([*columns, *order]))
+    return latest_by_key(kept, key, order).select(key, *columns)
+
+
 def update_by_key(
     target: DataFrame,
     updates: DataFrame,
+    arrival: str | Sequence[str] | None,
     key: str = "resource_id",
     columns: Sequence[str] | None = None,
     stamp: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Overwrite ``columns`` of the rows whose key is in ``updates`` (one row per key).
+    """Overwrite ``columns`` of the rows whose key is in ``updates``; of equal keys the last arrival counts.
 
-    A left join: Spark sends a small ``updates`` to the tasks, so that the wide store is not shuffled.
+    A left join with one row per key: no row of the store is repeated, and Spark sends small
+    ``updates`` to the tasks, so that the wide store is not shuffled.
     """
     columns = list(columns or [c for c in updates.columns if c != key])
-    new = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
+    new = last_values(updates, key, columns, arrival)
+    new = new.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     joined = target.join(new, key, "left")
     values = {c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
     for c, value in (stamp or {}).items():
@@ -58,21 +75,21 @@ def unmatched_updates(target: DataFrame, updates: DataFrame, key: str = "resourc
 def upsert(
     target: DataFrame,
     incoming: DataFrame,
+    order_by: str | Sequence[str],
     key: str = "resource_id",
     preserve: Sequence[str] = (),
     stamp: Mapping[str, Column] | None = None,
-    order_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Insert unknown keys, overwrite known ones except their ``preserve`` columns.
 
-    With ``order_by`` the last arrival of a key wins; without it the keys must be distinct.
-    Applying the same batch twice gives the same store. The store side is read twice but moved
-    at most once, and not at all while the batch is small enough for a broadcast.
+    The last arrival of a key by ``order_by`` wins; applying the same batch twice gives the same store.
+    The batch is reduced and written once, then met with the store twice; the store is moved at most
+    once, and not at all while the batch is small enough for a broadcast.
     """
-    batch = latest_by_key(incoming, key, order_by) if order_by else incoming
+    batch = cut_lineage(latest_by_key(incoming, key, order_by))
     names = target.columns
     updated = [c for c in names if c in batch.columns and c != key and c not in preserve]
-    merged = update_by_key(target, batch.select(key, *updated), key, updated, stamp) if updated else target
+    merged = update_by_key(target, batch, order_by, key, updated, stamp) if updated else target
     fresh = unmatched_updates(target, batch, key)
     kinds = dict(target.dtypes)
     stamps = stamp or {}
@@ -83,42 +100,44 @@ def upsert(
     return merged.unionByName(rows)
 
 
-def upsert_notices(stored: DataFrame, incoming: DataFrame, order_by: str | None = None) -> DataFrame:
+def upsert_notices(stored: DataFrame, incoming: DataFrame, order_by: str) -> DataFrame:
     """Notices: labels, notification marks and predictions of known rows stay."""
     batch = schemas.align_schema(incoming, schemas.NOTICES, schemas.NOTICE_DEFAULTS)
-    return upsert(stored, batch, preserve=[c for c in NOTICE_PRESERVED if c in stored.columns], order_by=order_by)
+    if order_by not in batch.columns:
+        raise ValueError(f"no arrival column {order_by}")
+    return upsert(stored, batch, order_by, preserve=[c for c in NOTICE_PRESERVED if c in stored.columns])
 
 
-def upsert_doc_content(stored: DataFrame, texts: DataFrame, now: Column, order_by: str | None = None) -> DataFrame:
+def upsert_doc_content(stored: DataFrame, texts: DataFrame, now: Column, order_by: str) -> DataFrame:
     """Document texts: every column is replaced, the status is COMPLETED."""
     batch = texts.withColumns({
         "extraction_timestamp": now,
         "processing_status": F.lit("COMPLETED"),
         "codes_count": F.size("detected_codes"),
     })
-    return upsert(stored, batch, order_by=order_by)
+    return upsert(stored, batch, order_by)
 
 
-def upsert_summaries(stored: DataFrame, summaries: DataFrame, now: Column, order_by: str | None = None) -> DataFrame:
+def upsert_summaries(stored: DataFrame, summaries: DataFrame, now: Column, order_by: str) -> DataFrame:
     """Summaries: the first ``created_at`` stays, ``updated_at`` is stamped."""
-    return upsert(stored, summaries, preserve=["created_at"], stamp={"updated_at": now}, order_by=order_by)
+    return upsert(stored, summaries, order_by, preserve=["created_at"], stamp={"updated_at": now})
 
 
-def update_predictions(notices: DataFrame, predictions: DataFrame, now: Column) -> DataFrame:
+def update_predictions(notices: DataFrame, predictions: DataFrame, now: Column, arrival: str) -> DataFrame:
     """Write a decision back."""
     columns = ["ml_bid", "ml_confidence", "ml_reasoning", "ml_status"]
-    return update_by_key(notices, predictions.select("resource_id", *columns), columns=columns,
+    return update_by_key(notices, predictions, arrival, columns=columns,
                          stamp={"ml_processed": F.lit(True), "updated_at": now})
 
 
-def update_status(notices: DataFrame, statuses: DataFrame) -> DataFrame:
+def update_status(notices: DataFrame, statuses: DataFrame, arrival: str) -> DataFrame:
     """Write only the status back."""
-    return update_by_key(notices, statuses, columns=["ml_processed", "ml_status"])
+    return update_by_key(notices, statuses, arrival, columns=["ml_processed", "ml_status"])
 
 
 def mark_notified(notices: DataFrame, sent: DataFrame, now: Column) -> DataFrame:
-    """Set the notification mark of the given keys."""
-    return update_by_key(notices, sent.select("resource_id", F.lit(True).alias("notification_sent")),
+    """Set the notification mark of the given keys, however often they are given."""
+    return update_by_key(notices, sent.select("resource_id", F.lit(True).alias("notification_sent")), None,
                          stamp={"notification_sent_at": now})
 
 
@@ -128,7 +147,7 @@ def label_value(answer: Column | str) -> Column:
     return F.when(word.isin("y", "yes"), 1).when(word.isin("n", "no"), 0)
 
 
-def apply_labels(notices: DataFrame, answers: DataFrame, answer: str = "answer") -> DataFrame:
-    """Set labels from a table of answers; unclear answers change nothing."""
-    labels = answers.select("resource_id", label_value(answer).alias("bid")).where(F.col("bid").isNotNull())
-    return update_by_key(notices, labels)
+def apply_labels(notices: DataFrame, answers: DataFrame, arrival: str, answer: str = "answer") -> DataFrame:
+    """Set labels from a table of answers; unclear answers change nothing, of clear ones the last counts."""
+    labels = answers.withColumn("bid", label_value(answer)).where(F.col("bid").isNotNull())
+    return update_by_key(notices, labels, arrival, columns=["bid"])

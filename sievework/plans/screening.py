@@ -14,6 +14,7 @@ from sievework import fixed_values as fv
 from sievework.functions import clean, reply
 from sievework.operators import scoring, upsert
 from sievework.operators.lexicon import Lexicon
+from sievework.session import cut_lineage
 from sievework.sources import store
 
 Detector = Callable[[DataFrame], DataFrame]
@@ -22,11 +23,12 @@ Detector = Callable[[DataFrame], DataFrame]
 def ingest(raw: DataFrame, stored: DataFrame, arrival: str) -> tuple[DataFrame, DataFrame]:
     """Raw rows to (the merged store, the notices that are new to it with their route).
 
-    Of several rows with one key the last by ``arrival`` counts.
+    Keys are typed first, since different texts may give one key; of several rows with one key the last
+    by ``arrival`` counts.
     """
-    last = upsert.latest_by_key(raw, "resource_id", arrival)
-    typed = clean.type_records(last)
-    return upsert.upsert_notices(stored, typed), store.route_by_url(upsert.filter_new_records(typed, stored))
+    typed = cut_lineage(upsert.latest_by_key(clean.type_records(raw, [arrival]), "resource_id", arrival))
+    merged = upsert.upsert_notices(stored, typed, arrival)
+    return merged, store.route_by_url(upsert.filter_new_records(typed, stored).drop(arrival))
 
 
 def document_features(docs: DataFrame, detect: Detector, lexicon: Lexicon | None = None) -> DataFrame:

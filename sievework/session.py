@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +17,8 @@ def build_session(app_name: str = "sievework", master: str | None = None, **conf
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Long texts make wide rows: small Arrow batches bound the Python worker's memory.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+        "spark.sql.variant.allowDuplicateKeys": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app_name)
@@ -27,18 +29,24 @@ def build_session(app_name: str = "sievework", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def allow_repeated_fields(spark: SparkSession) -> None:
+    """In JSON objects the last of several fields of one name counts, as most parsers have it."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting (tests, a laptop) gets a folder of its own; on a
-    cluster a machine-local folder would be lost with the machine, so the setting is required.
+    Only where a local session leaves it unset is it a folder beside the warehouse; on a cluster the
+    setting is required, since a machine's own folder would be lost with the machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="sievework-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    folder = os.path.join(os.path.dirname(warehouse.rstrip("/")), "spark-checkpoints")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -51,18 +59,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-SMALL_TABLE = 1 << 30
-WORTH_SPREADING = 2 << 20
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a table of a few files over all cores, when it is small enough to move for nothing.
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan of fewer tasks than cores over all cores.
 
-    One file of one row group is one task, however much work follows. Tables above a gigabyte
-    come back as they are: their files keep the cores busy, and moving them would cost more.
+    One file of one row group is one task, however much work follows. A scan that keeps the cores busy
+    comes back as it is.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if not WORTH_SPREADING <= size <= SMALL_TABLE:
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from sievework import fixed_values as fv
 from sievework import schemas
+from sievework.functions import clean
 
 CORRUPT = "_corrupt_record"
 
@@ -96,7 +97,7 @@ def normalize_union_messages(messages: DataFrame, body: str = "body", now: Colum
         F.coalesce(F.col("ml_prediction"), bare).alias("ml_prediction"),
         F.coalesce(r["pdf_content"], F.lit("")).alias("pdf_content"),
         F.when(scored, r["priority"]).otherwise("NORMAL").alias("priority"),
-        F.when(scored, F.translate(F.substring(r["timestamp"], 1, 19), "T", " ").try_cast("timestamp_ntz"))
+        F.when(scored, clean.utc_time(r["timestamp"]))
         .otherwise(stamp).alias("timestamp"),
     )
 

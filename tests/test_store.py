@@ -57,15 +57,17 @@ def test_anti_and_semi_give_the_batch_back(spark):
 
 def test_labels(spark):
     stored = notices(spark, [(1, "a", None, ""), (2, "b", 1, ""), (3, "c", 0, "")])
-    answers = spark.createDataFrame([(1, " Yes "), (2, "n"), (3, "perhaps"), (9, "y")], "resource_id long, answer string")
-    assert rows(upsert.apply_labels(stored, answers), "resource_id", "bid") == [(1, 1), (2, 0), (3, 0)]
+    answers = spark.createDataFrame(
+        [(1, " Yes ", 1), (2, "y", 1), (2, "n", 2), (2, "?", 3), (3, "perhaps", 1), (9, "y", 1)], "resource_id long, answer string, at int"
+    )
+    assert rows(upsert.apply_labels(stored, answers, "at"), "resource_id", "bid") == [(1, 1), (2, 0), (3, 0)]
     assert rows(upsert.unmatched_updates(stored, answers), "resource_id") == [(9,)]
 
 
 def test_predictions_are_written_back(spark):
     stored = notices(spark, [(1, "a", None, "pending"), (2, "b", None, "pending")])
     decided = spark.createDataFrame([(1, True, 0.25, "why", "bid")], "resource_id long, ml_bid boolean, ml_confidence double, ml_reasoning string, ml_status string")
-    one, two = upsert.update_predictions(stored, decided, now()).orderBy("resource_id").collect()
+    one, two = upsert.update_predictions(stored, decided.union(decided).withColumn("at", F.lit(1)), now(), "at").orderBy("resource_id").collect()
     assert (one["ml_status"], one["ml_processed"], float(one["ml_confidence"]), one["updated_at"]) == ("bid", True, 0.25, datetime(2025, 1, 1))
     assert (two["ml_status"], two["ml_processed"], two["updated_at"]) == ("pending", False, None)
 
@@ -74,11 +76,25 @@ def test_summaries_keep_their_birthday(spark):
     at = lambda day: F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp_ntz")
     old = spark.createDataFrame([(1, "old")], "resource_id long, ai_summary string").withColumns({"created_at": at(1), "updated_at": at(1)})
     new = spark.createDataFrame([(1, "new"), (2, "two")], "resource_id long, ai_summary string").withColumn("created_at", at(2))
-    got = {r["resource_id"]: r for r in upsert.upsert_summaries(old, new, now()).collect()}
+    got = {r["resource_id"]: r for r in upsert.upsert_summaries(old, new.union(new).withColumn("at", F.lit(1)), now(), "at").collect()}
     assert got[1]["created_at"] == datetime(2024, 1, 1) and got[1]["ai_summary"] == "new" and got[1]["updated_at"] == datetime(2025, 1, 1)
     assert got[2]["created_at"] == datetime(2024, 1, 2)
 
 
+def test_a_mark_sent_twice_repeats_nothing(spark):
+    stored = notices(spark, [(1, "a", None, ""), (2, "b", None, "")])
+    sent = spark.createDataFrame([(1,), (1,), (2,)], "resource_id long")
+    assert rows(upsert.mark_notified(stored, sent, now()), "resource_id", "notification_sent") == [(1, True), (2, True)]
+
+
+def test_keys_are_typed_before_they_are_compared(spark):
+    raw = spark.createDataFrame([("a", "7", 1), ("b", "007", 2), ("c", "x", 1), ("d", "y", 3)], "title string, resource_id string, arrival int")
+    for c in ("ca", "info", "published", "deadline", "procedure", "status", "pdf_url", "awarddate", "value", "cycle"):
+        raw = raw.withColumn(c, F.lit(""))
+    merged, _fresh = screening.ingest(raw, notices(spark, [(1, "old", 1, "bid")]), "arrival")
+    assert rows(merged, "resource_id", "title") == [(0, "d"), (1, "old"), (7, "b")]
+
+
 def test_ingest(spark):
     stored = notices(spark, [(1, "old", 1, "bid")])
     raw = spark.createDataFrame(
@@ -164,5 +180,5 @@ def test_versions_leave_the_old_one_readable(spark, tmp_path):
     first = spark.range(3).withColumnRenamed("id", "resource_id").withColumn("title", F.lit("a"))
     path = store.write_version(first, str(tmp_path), 1)
     current = spark.read.parquet(path)
-    newer = store.write_version(upsert.upsert(current, spark.createDataFrame([(2, "b")], "resource_id long, title string")), str(tmp_path), 2)
+    newer = store.write_version(upsert.upsert(current, spark.createDataFrame([(2, "b", 1)], "resource_id long, title string, at int"), "at"), str(tmp_path), 2)
     assert rows(spark.read.parquet(newer), "title") == [("a",), ("a",), ("b",)] and spark.read.parquet(path).count() == 3
