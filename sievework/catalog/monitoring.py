@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sievework.adapters import AS_OF, EVENTS_AS_OF
 from sievework.catalog.base import DOCS, HITS, NOTICES, query, with_
 from sievework.operators import joins, monitor, search
+from sievework.functions import text
 from sievework.functions.text import presence_flags, text_features, text_measures, word_tokens
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -227,7 +228,7 @@ flags AS (SELECT resource_id, """ + ", ".join(
 def _(t):
     codes = monitor.top_codes(t.coded)
     names = [f"code_{i}" for i in range(1, len(codes) + 1)]
-    return monitor.correlations(monitor.code_flags(t.coded, codes).select(*names), names, complete=True)
+    return monitor.correlations(monitor.code_flags(t.coded, codes).select(*names), names)
 
 
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -299,14 +300,14 @@ FEATURES = ["title_length", "title_word_count", "pdf_text_length", "pdf_text_wor
     for i, a in enumerate(FEATURES) for b in FEATURES[i + 1:]
 ) + ") WHERE corr IS NOT NULL AND NOT isnan(corr) AND abs(corr) > 0.8"))
 def _(t):
-    return monitor.high_correlations(_engineered(t), FEATURES, complete=True)
+    return monitor.high_correlations(_engineered(t), FEATURES)
 
 
 @query("feature_label_corr", with_(NOTICES, DOCS, HITS, ENGINEERED, select="SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{a}' AS feature, round(corr({a}, bid), 14) AS corr FROM engineered" for a in FEATURES
 ) + ") WHERE corr IS NOT NULL AND NOT isnan(corr) ORDER BY abs(corr) DESC, feature LIMIT 10"))
 def _(t):
-    return monitor.feature_label_corr(_engineered(t), FEATURES, complete=True)
+    return monitor.feature_label_corr(_engineered(t), FEATURES)
 
 
 @query("correlations_with_gaps", """
@@ -367,7 +368,7 @@ FROM (SELECT count(*) AS all_rows, count(bid) AS labelled,
  count(CASE WHEN bid IS NOT NULL AND length(trim(pdf_text)) > 0 AND length(pdf_text) >= 10 THEN 1 END) AS modelling
 FROM notices n LEFT JOIN doc_content d USING (resource_id))"""))
 def _(t):
-    return monitor.dataset_funnel(search.scan_notices_with_text(t.notices, t.doc_content))
+    return monitor.dataset_funnel(t.notices.join(text.text_sizes(t.doc_content), "resource_id", "left"))
 
 
 @query("ingest_counters", with_(NOTICES, DOCS, select="""

@@ -274,7 +274,6 @@ RESULTS: dict[str, str] = {
     "truncate_text": "doc_id bigint, cut string",
     "load_code_dictionary": "code string, code_pos bigint",
     "detect_codes": "resource_id bigint, detected_codes string, codes_count bigint",
-    "detect_codes_one_pass": "resource_id bigint, detected_codes string, codes_count bigint",
     "detect_codes_joined": "resource_id bigint, detected_codes string, codes_count bigint",
     "encode_authority": "resource_id bigint, ca string, ca_encoded double",
     "term_counts": (

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework.adapters import AS_OF
 from sievework.catalog.base import DOCS, HITS, NOTICES, RAW_NOTICES, query, with_
+from sievework.functions import text
 from sievework.operators import scoring, search
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -159,7 +160,7 @@ SELECT n.resource_id, d.pdf_text IS NOT NULL AND length(trim(d.pdf_text)) > 0 AS
  CASE WHEN d.pdf_text IS NULL OR length(trim(d.pdf_text)) = 0 THEN 0.0::DOUBLE END AS confidence
 FROM notices n LEFT JOIN doc_content d USING (resource_id)"""))
 def _(t):
-    rows = search.scan_notices_with_text(t.notices, t.coded)
+    rows = t.notices.join(text.text_sizes(t.doc_content), "resource_id", "left").withColumn("codes_count", F.lit(0))
     scored = scoring.decide(*_guarded(rows))
     guarded = F.col("ml_status") == "routing_error"
     return scored.select(

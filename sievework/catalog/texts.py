@@ -120,6 +120,11 @@ JOINED = """joined AS (SELECT n.*, coalesce(c.pdf_text, '') AS pdf_text, coalesc
  FROM notices n LEFT JOIN coded c USING (resource_id))"""
 
 
+def _with_sizes(t):
+    """Notices with the sizes of their text, taken where the text is read."""
+    return t.notices.join(text.text_sizes(t.doc_content), "resource_id", "left")
+
+
 def _joined(t):
     return search.scan_notices_with_text(t.notices, t.coded)
 
@@ -197,19 +202,11 @@ def _(t):
     return t.coded.select("resource_id", "detected_codes", "codes_count")
 
 
-@query("detect_codes_one_pass", with_(DOCS, HITS, select="""
-SELECT resource_id, array_to_string(detected_codes, '|') AS detected_codes, codes_count FROM coded"""))
-def _(t):
-    """The same through the matcher that serves lists too long for the plan."""
-    found = detect_codes(t.doc_content, t.dictionary, max_plan_codes=0)
-    return found.select("resource_id", "detected_codes", "codes_count")
-
-
 @query("detect_codes_joined", with_(DOCS, HITS, select="""
 SELECT resource_id, array_to_string(detected_codes, '|') AS detected_codes, codes_count FROM coded"""))
 def _(t):
     """The same through the join that serves dictionaries of any size."""
-    found = detect_codes(t.doc_content, t.dictionary, max_plan_codes=0, max_sent_codes=0)
+    found = detect_codes(t.doc_content, t.dictionary, max_plan_codes=0)
     return found.select("resource_id", "detected_codes", "codes_count")
 
 
@@ -355,9 +352,10 @@ def _(t):
 SELECT resource_id, CASE WHEN pdf_url = '' OR strlen(trim(pdf_text, E' \\t\\n\\r')) < 100 THEN 'ai_summary_title_only' ELSE 'ml_prediction' END AS stage,
  CASE WHEN pdf_url <> '' AND strlen(trim(pdf_text, E' \\t\\n\\r')) < 100 THEN 'ai_summary_title_only' ELSE 'ml_prediction' END AS strict_stage FROM joined"""))
 def _(t):
-    return _joined(t).select(
-        "resource_id", scoring.route_by_length("pdf_text", "pdf_url").alias("stage"),
-        scoring.route_by_length("pdf_text", "pdf_url", strict=True).alias("strict_stage"),
+    rows = _with_sizes(t)
+    return rows.select(
+        "resource_id", scoring.route_by_size("trimmed_bytes", "pdf_url").alias("stage"),
+        scoring.route_by_size("trimmed_bytes", "pdf_url", strict=True).alias("strict_stage"),
     )
 
 
@@ -417,7 +415,7 @@ def _(t):
 @query("summary_type", with_(NOTICES, DOCS, HITS, JOINED, select="""
 SELECT resource_id, CASE WHEN strlen(pdf_text) < 100 THEN 'TITLE_ONLY' ELSE 'FULL_PDF' END AS summary_type FROM joined"""))
 def _(t):
-    return _joined(t).select("resource_id", scoring.summary_type("pdf_text").alias("summary_type"))
+    return _with_sizes(t).select("resource_id", scoring.summary_type_of("text_bytes").alias("summary_type"))
 
 
 @query("title_only_message", with_(NOTICES, DOCS, HITS, JOINED, select="""
@@ -426,7 +424,7 @@ SELECT resource_id, concat('{"resource_id":"', resource_id, '","tender_title":"'
  '"title_length_score":0.0,"ca_score":0.0,"text_features_score":0.0,"total_score":0.0}},"pdf_content":"","priority":"NORMAL",',
  '"timestamp":"2001-08-01T00:00:00Z"}') AS body FROM joined WHERE pdf_url = '' OR pdf_text = ''"""))
 def _(t):
-    rows = _joined(t).where((F.col("pdf_url") == "") | (F.col("pdf_text") == "")).withColumn("pdf_text", F.lit(""))
+    rows = _with_sizes(t).where((F.col("pdf_url") == "") | (F.coalesce("text_bytes", F.lit(0)) == 0)).withColumn("pdf_text", F.lit(""))
     return messages.title_only_message(rows, F.lit(AS_OF).cast("timestamp_ntz")).select("resource_id", "body")
 
 

@@ -66,6 +66,15 @@ def text_measures(docs: DataFrame) -> DataFrame:
     }).drop("pdf_text")
 
 
+def text_sizes(docs: DataFrame) -> DataFrame:
+    """Key, bytes, characters, and trimmed bytes and characters of each text, without the text."""
+    text, trimmed = F.coalesce("pdf_text", F.lit("")), trim_all(F.coalesce("pdf_text", F.lit("")))
+    return docs.select(
+        "resource_id", F.octet_length(text).alias("text_bytes"), F.length(text).alias("pdf_text_length"),
+        F.octet_length(trimmed).alias("trimmed_bytes"), F.length(trimmed).alias("text_chars"),
+    )
+
+
 def text_features(df: DataFrame) -> DataFrame:
     """Lengths, word counts, their ratio and the code density.
 

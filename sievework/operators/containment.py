@@ -1,25 +1,22 @@
 """Which dictionary codes occur anywhere in a text: a substring join of texts and codes.
 
-Three exact ways, chosen by the checked size of the dictionary:
+Two exact ways, as for any join side that may be sent to the tasks:
 
-* a short list sits in the plan and is tested per row, without any shuffle; when all codes are
-  numbers only the digit runs of the text are searched;
-* a list of bounded bytes goes to the tasks once and is matched in one pass over each text;
+* a dictionary of checked size sits in the plan and is tested per row, without any shuffle; when all
+  codes are numbers only the digit runs of the text are searched;
 * a longer dictionary is joined: the opening characters of each code are looked up among the
   pieces of the text, and only the rows that meet are compared in full.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_PLAN_CODES = 64
-MAX_SENT_CODES = 200_000
-MAX_SENT_CHARS = 32 * 1024 * 1024
+MAX_PLAN_CODES, MAX_PLAN_CHARS = 2000, 1 << 20
 SEED_LENGTH = 16
 
 
@@ -34,26 +31,6 @@ def codes_in_text(text: Column, codes: list[str]) -> Column:
     return F.filter(found, lambda c: text.contains(c))
 
 
-def _matcher(codes: list[str]):
-    """Column function: all codes in one pass over each text. The text stays in its row."""
-
-    @F.pandas_udf("array<string>")
-    def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        machine = ahocorasick.Automaton()
-        for position, code in enumerate(codes):
-            machine.add_word(code, position)
-        machine.make_automaton()
-        for texts in batches:
-            yield pd.Series(
-                [[codes[p] for p in sorted({p for _, p in machine.iter(t)})] if t else [] for t in texts],
-                index=texts.index, dtype=object,
-            )
-
-    return match
-
-
 def _pieces(lengths: list[int]):
     """Column function: the distinct pieces of the given lengths at every position of a text."""
 
@@ -90,21 +67,19 @@ def code_detector(
     key: str = "resource_id",
     text: str = "pdf_text",
     max_plan_codes: int = MAX_PLAN_CODES,
-    max_sent_codes: int = MAX_SENT_CODES,
 ) -> Callable[[DataFrame], DataFrame]:
     """A function that adds ``detected_codes`` (dictionary order, each once) and ``codes_count``.
 
     ``dictionary`` has ``code`` and ``code_pos``; a repeated code counts at its first position.
-    It is measured, and if short enough read, once; a stream reuses the function for every batch.
+    It is measured, and if it fits the plan read, once; a stream reuses the function for every batch.
     """
     entries = dictionary.where(F.col("code") != "").groupBy("code").agg(F.min("code_pos").alias("code_pos"))
     size = entries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("code")), F.lit(0)).alias("chars")).first()
-    if size["n"] > max_sent_codes or size["chars"] > MAX_SENT_CHARS:
+    if size["n"] > max_plan_codes or size["chars"] > MAX_PLAN_CHARS:
         return lambda docs: _detect_by_join(docs, entries, key, text)
     rows = entries.collect()  # bounded by the check above
     codes = [r["code"] for r in sorted(rows, key=lambda r: r["code_pos"])]
-    match = _matcher(codes) if len(codes) > max_plan_codes else (lambda c: codes_in_text(c, codes))
-    return lambda docs: docs.withColumn("detected_codes", match(F.col(text))).withColumn(
+    return lambda docs: docs.withColumn("detected_codes", codes_in_text(F.col(text), codes)).withColumn(
         "codes_count", F.size("detected_codes")
     )
 

@@ -325,63 +325,41 @@ def quality_profile(df: DataFrame, columns: Sequence[str], zero_limit: float = 0
     return rows.withColumn("mostly_zero", F.col("zero_share") > zero_limit)
 
 
-def _pearson(pairs: Sequence[tuple[str, str, str]], df: DataFrame, label: str, complete: bool) -> DataFrame:
-    """Correlations of named column pairs from sums in one pass; a constant column gives no row.
+def _pearson(pairs: Sequence[tuple[str, str, str]], df: DataFrame, label: str) -> DataFrame:
+    """Correlations of named column pairs over the rows where both sides are present, in one pass.
 
-    Values are taken around each column's mean, so large ones do not cancel. ``complete`` says
-    that no value is missing: the sums of a column then serve all its pairs. Otherwise each pair
-    has sums of its own over the rows where both sides are present.
+    Covariance and deviations are stable aggregates; a constant column gives no row.
     """
-    names = sorted({c for _, a, b in pairs for c in (a, b)})
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).select(F.struct("*").alias("m")).scalar()
-    centred = df.withColumn("_m", means).select(*[
-        (F.col(c).cast("double") - F.coalesce(F.col("_m")[c], F.lit(0.0))).alias(c) for c in names
-    ])
-    sums: dict[str, Column] = {}
-    for name, a, b in pairs:
-        x, y = f"`{a}`", f"`{b}`"
-        both = "true" if complete else f"({x} IS NOT NULL AND {y} IS NOT NULL)"
-        terms = (f"count_if({both})", *(f"sum(CASE WHEN {both} THEN {e} END)" for e in (x, y, f"{x} * {x}", f"{y} * {y}", f"{x} * {y}")))
-        for key, term in zip(_sum_names(name, a, b, complete), terms):
-            sums.setdefault(key, F.expr(term).alias(key))
-    totals = centred.agg(*sums.values())
     results = []
     for name, a, b in pairs:
-        n, sx, sy, sxx, syy, sxy = (f"`{k}`" for k in _sum_names(name, a, b, complete))
-        n = f"nullif({n}, 0)"
-        vx, vy = f"({sxx} - {sx} * {sx} / {n})", f"({syy} - {sy} * {sy} / {n})"
-        # A constant column leaves only rounding dust of its squares.
-        moving = f"{vx} > {sxx} * 1e-12D AND {vy} > {syy} * 1e-12D"
-        results.append(F.expr(
-            f"CASE WHEN {moving} THEN ({sxy} - {sx} * {sy} / {n}) / sqrt({vx} * {vy}) END"
-        ).alias(f"corr__{name}"))
-    rows = unpivot_row(totals.select(*results), [name for name, _, _ in pairs], ["corr"], label)
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        spread = F.stddev_pop(x) * F.stddev_pop(y)
+        # A constant column may leave rounding dust of its size.
+        moving = (F.stddev_pop(x) > F.max(F.abs(x)) * 1e-12) & (F.stddev_pop(y) > F.max(F.abs(y)) * 1e-12)
+        results.append(F.when(moving, F.covar_pop(x, y) / spread).alias(f"corr__{name}"))
+    rows = unpivot_row(df.agg(*results), [name for name, _, _ in pairs], ["corr"], label)
     return rows.where(F.col("corr").isNotNull())
 
 
-def _sum_names(name: str, a: str, b: str, complete: bool) -> tuple[str, ...]:
-    if complete:
-        return ("n", f"s|{a}", f"s|{b}", f"q|{a}", f"q|{b}", f"p|{name}")
-    return tuple(f"{kind}|{name}" for kind in ("n", "sa", "sb", "qa", "qb", "p"))
-
-
-def correlations(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns."""
     pairs = [(f"{a}|{b}", a, b) for a, b in combinations(columns, 2)]
-    rows = _pearson(pairs, df, "pair", complete)
+    rows = _pearson(pairs, df, "pair")
     sides = F.split("pair", r"\|")
     return rows.select(sides[0].alias("a"), sides[1].alias("b"), "corr")
 
 
-def high_correlations(df: DataFrame, columns: Sequence[str], limit: float = 0.8, complete: bool = False) -> DataFrame:
-    return correlations(df, columns, complete).where(F.abs("corr") > limit)
+def high_correlations(df: DataFrame, columns: Sequence[str], limit: float = 0.8) -> DataFrame:
+    return correlations(df, columns).where(F.abs("corr") > limit)
 
 
 def feature_label_corr(
-    df: DataFrame, features: Sequence[str], label: str = "bid", k: int = 10, complete: bool = False
+    df: DataFrame, features: Sequence[str], label: str = "bid", k: int = 10
 ) -> DataFrame:
     """Features most correlated with the label."""
-    rows = _pearson([(f, f, label) for f in features], df, "feature", complete)
+    rows = _pearson([(f, f, label) for f in features], df, "feature")
     return rows.orderBy(F.desc(F.abs("corr")), "feature").limit(k)
 
 
@@ -436,10 +414,13 @@ def text_profile(df: DataFrame, column: str, phrase: str, approximate: bool = Fa
 
 
 def dataset_funnel(joined: DataFrame, min_text_length: int = 10) -> DataFrame:
-    """Sizes of the labelled, text-bearing and modelling sets and their ratios."""
+    """Sizes of the labelled, text-bearing and modelling sets and their ratios.
+
+    ``joined`` has the sizes of the texts (``text_sizes``) in place of the texts.
+    """
     labelled = F.col("bid").isNotNull()
-    text = labelled & ~is_blank("pdf_text")
-    modelling = text & (F.length("pdf_text") >= min_text_length) & ~is_blank("title")
+    text = labelled & (F.coalesce("text_chars", F.lit(0)) > 0)
+    modelling = text & (F.col("pdf_text_length") >= min_text_length) & ~is_blank("title")
     one = joined.agg(
         F.count(F.lit(1)).alias("all_rows"), F.count_if(labelled).alias("labelled"),
         F.count_if(text).alias("with_text"), F.count_if(modelling).alias("modelling"),

@@ -193,8 +193,15 @@ def route_by_length(
     ``strict`` sends records without URL to scoring too, which rejects them.
     """
     text = F.col(text) if isinstance(text, str) else text
-    size = F.octet_length(trim_all(F.coalesce(text, F.lit(""))))
-    short = size < limit
+    return route_by_size(F.octet_length(trim_all(text)), url, limit, strict)
+
+
+def route_by_size(
+    trimmed_bytes: Column | str, url: Column | str | None = None, limit: int = 100, strict: bool = False
+) -> Column:
+    """:func:`route_by_length` on rows that carry the size of their text in place of it."""
+    size = F.col(trimmed_bytes) if isinstance(trimmed_bytes, str) else trimmed_bytes
+    short = F.coalesce(size, F.lit(0)) < limit
     if url is not None:
         missing = F.coalesce(F.col(url) if isinstance(url, str) else url, F.lit("")) == ""
         short = (~missing & short) if strict else (missing | short)
@@ -238,5 +245,10 @@ def message_priority(should_bid: Column | str) -> Column:
 
 def summary_type(text: Column | str, limit: int = 100) -> Column:
     """Title-only for texts under ``limit`` bytes."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.when(F.octet_length(F.coalesce(text, F.lit(""))) < limit, "TITLE_ONLY").otherwise("FULL_PDF")
+    return summary_type_of(F.octet_length(F.col(text) if isinstance(text, str) else text), limit)
+
+
+def summary_type_of(size: Column | str, limit: int = 100) -> Column:
+    """:func:`summary_type` from the bytes of the text."""
+    size = F.col(size) if isinstance(size, str) else size
+    return F.when(F.coalesce(size, F.lit(0)) < limit, "TITLE_ONLY").otherwise("FULL_PDF")

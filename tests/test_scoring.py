@@ -99,7 +99,7 @@ def test_codes_in_the_sample(spark):
 
 
 @pytest.mark.parametrize("digits", [True, False])
-def test_three_ways_find_the_same_codes(spark, digits):
+def test_both_ways_find_the_same_codes(spark, digits):
     rng = random.Random(3)
     letters = "0123456789" if digits else "ab c"
     word = lambda k: "".join(rng.choice(letters) for _ in range(k))
@@ -111,7 +111,7 @@ def test_three_ways_find_the_same_codes(spark, digits):
     entries = [(c, i) for i, c in enumerate(codes)] + [(codes[0], 99), ("", 100)]
     dictionary = spark.createDataFrame(entries, "code string, code_pos int")
     want = {i: [c for c in codes if t and c in t] for i, t in enumerate(texts)}
-    for limits in ({}, {"max_plan_codes": 0}, {"max_plan_codes": 0, "max_sent_codes": 0}):
+    for limits in ({}, {"max_plan_codes": 0}):
         rows = detect_codes(docs, dictionary, **limits).collect()
         assert {r["resource_id"]: r["detected_codes"] for r in rows} == want
         assert all(r["codes_count"] == len(r["detected_codes"]) for r in rows)
