@@ -28,6 +28,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
 SPAN, GAP = 8 << 20, 64 << 10   # bytes of one read, and of unwanted records between two wanted ones
+TASK_SPANS = 2                  # stretches of SPAN bytes that a task reads, about
 LEVEL = 1                       # of compression
 INDEX = "page_id long, url string, archive string, offset long, length long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -175,10 +176,11 @@ RECORD_SCHEMA = pa.schema([(c.split()[0], pa.string() if c.endswith("string") el
 def read_records(folder: str, selected: DataFrame, bodies: bool = True) -> DataFrame:
     """The records of the selected index rows: page_id, url, sizes, digest, kind, refers_to and html.
 
-    Rows are dealt by archive and stretch of the archive, and sorted, so that reads coalesce. Each
-    response is checked against its digest. ``html`` is null on revisits (the page in ``refers_to`` has
+    Rows are dealt by archive and stretch of the archive, and sorted, so that reads coalesce; the number
+    of tasks follows the bytes of the archives, not those of the index. Each response is checked against its digest. ``html`` is null on revisits (the page in ``refers_to`` has
     it), and everywhere without ``bodies``.
     """
     placed = selected.select("archive", "offset", "length").withColumn("stretch", F.floor(F.col("offset") / SPAN))
-    dealt = placed.repartition(F.col("archive"), F.col("stretch")).sortWithinPartitions("archive", "offset")
+    total = placed.agg(F.sum("length")).first()[0] or 0
+    dealt = placed.repartition(total // (TASK_SPANS * SPAN) + 1, "archive", "stretch").sortWithinPartitions("archive", "offset")
     return dealt.select("archive", "offset", "length").mapInArrow(partial(read_back, folder=folder, bodies=bodies), RECORD)
