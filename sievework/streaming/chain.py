@@ -43,7 +43,10 @@ class Sinks:
         with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         try:
             return spark.read.schema(with_batch).parquet(self.path(name))
-        except AnalysisException:  # no batch has been written yet
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            # No batch has been written yet.
             return spark.createDataFrame([], with_batch)
 
 

@@ -128,3 +128,10 @@ def test_routes_partition_the_input(spark, tmp_path):
     store.write_routes(store.route_by_url(df), str(tmp_path / "out"))
     back = {r["resource_id"]: r["route"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert back == {1: "documents", 2: "direct", 3: "direct"}
+
+
+def test_times_keep_their_offset(spark):
+    texts = ["2025-06-13T10:00:00.5+02:00", "2025-06-13T10:00:00Z", "2025-06-13 10:00:00", "2025-06-13T00:30:00-0100", "1969-12-31T23:00:00+01:00", "no time", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [str(r["u"]) for r in df.select("i", clean.utc_time("t").alias("u")).orderBy("i").collect()]
+    assert got == ["2025-06-13 08:00:00.500000", "2025-06-13 10:00:00", "2025-06-13 10:00:00", "2025-06-13 01:30:00", "1969-12-31 22:00:00", "None", "None"]

@@ -133,3 +133,9 @@ def test_prompt_template(spark):
     df = spark.createDataFrame([("x", "y")], "a string, b string")
     got = df.select(reply.fill_template("{a}-{b}{a} {c}", {"a": F.col("a"), "b": F.col("b")}).alias("p")).first()["p"]
     assert got == "x-yx {c}"
+
+
+def test_the_last_of_repeated_fields_counts(spark):
+    df = spark.createDataFrame([('{"summary": "one", "summary": "two", "recommendation": "BID"}',)], "reply string")
+    row = reply.normalize_reply(df).first()
+    assert row["ai_summary"] == "two" and row["recommendation"] == "BID"
