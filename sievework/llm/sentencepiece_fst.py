@@ -32,7 +32,8 @@ PIECE, TRAINER, NORMALISER = 1, 2, 3
 TEXT, SCORE, KIND = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGES = 2
-REMEMBERED = 200_000            # stretches kept by a task; more are composed again
+# Stretches and pair weights kept by a task; more are worked out again.
+REMEMBERED, REMEMBERED_PAIRS = 200_000, 600_000
 
 
 def fields(data: bytes):
@@ -184,6 +185,8 @@ class Transducer:
         out.reverse()
         if len(self.known) >= REMEMBERED:
             self.known.clear()
+        if len(pairs) >= REMEMBERED_PAIRS:
+            pairs.clear()
         self.known[text] = out
         return out
 
