@@ -22,7 +22,7 @@ from sievework.llm.common import U64, Words, blocks, connected, mix, shingles, s
 VALUES, BITS, DISTANCE = 64, 16, 25
 CHUNKS = (DISTANCE + 2) // 2        # one chunk has at most one wrong value
 FIRST_CHUNKS = 3                    # chunks whose keys the first stars use
-ROUNDS, EASY = 3, 16                # star rounds at most before every pair left is compared; earlier if buckets are this small
+ROUNDS = 3                          # star rounds at most before every pair left is compared
 FILTER_BITS = 24                    # the scan filter holds 2^24 bits, whatever the data
 SEEDS = mix(np.arange(1, 2 * VALUES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 # Centres are the smallest members after a change of signs, another one each round.
@@ -190,6 +190,7 @@ class NearDuplicates:
         need no comparison. When little is left, all pairs of a bucket in different components are
         compared, so no link is lost, and groups of copies never make all their pairs.
         """
+        n_classes = self.classes.count()
         keys = self.keys(chunks=FIRST_CHUNKS)
         stars = keys.groupBy("key").agg(F.min("cls").alias("centre"), F.max("cls").alias("last")).where("centre <> last").select("key", "centre")
         tested = stored(keys.join(stars, "key").where("cls <> centre").select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
@@ -203,10 +204,11 @@ class NearDuplicates:
             ).where("low <> high").select("key", "n", F.col("centre").bitwiseXOR(order).alias("centre"))
             split = split.join(labels.select(F.col("cls").alias("centre"), F.col("comp").alias("centre_comp")), "centre", "left")
             rest = stored(keys.join(split, "key").where("comp <> coalesce(centre_comp, centre)").select("key", "cls", "comp", "centre", "n"), "rest")
-            work, rows = rest.agg(F.sum("n"), F.count("*")).first()
-            if not rows:
+            work = rest.agg(F.sum("n")).first()[0]
+            if not work:
                 break
-            last = turn == ROUNDS or work <= EASY * rows
+            # All pairs left are compared as soon as they are no more rows than the keys themselves.
+            last = turn == ROUNDS or work <= VALUES * n_classes
             if last:
                 other = keys.select("key", F.col("cls").alias("other"), F.col("comp").alias("comp_b"))
                 pairs = rest.select("key", "cls", "comp").join(other, "key").where("comp <> comp_b").select("cls", "other")
