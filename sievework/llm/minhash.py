@@ -251,5 +251,5 @@ def without_near_duplicates(documents: DataFrame, size: int = 5, percent: int =
     out = documents.join(gone, same, "left_anti")
     if marked.where("kept and n_shingles > 0").groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
         return out
-    whole = F.coalesce(F.octet_length("text"), F.lit(0)) > 0
+    whole = F.coalesce("text", F.lit("")).rlike("[^ \\x09-\\x0D]")
     return out.where(whole).dropDuplicates(["doc_id", "text"]).unionByName(out.where(~whole))
