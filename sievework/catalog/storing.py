@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievework import schemas
-from sievework.adapters import AS_OF, URL_BASE
+from sievework.adapters import URL_BASE
 from sievework.catalog.base import DOCS, HITS, NOTICES, RAW_NOTICES, query, with_
 from sievework.operators import monitor, search, upsert
 from sievework.plans import screening
