@@ -5,7 +5,8 @@ differ in ``DISTANCE`` of the values; the signature is split into chunks so that
 least they differ in one value or none (pigeonhole), and every chunk is looked up with each of its
 values left out in turn. So every pair within the distance meets under some key. Pairs at the
 similarity threshold differ in a fifth of the values on average and stay within the distance in all
-but one of some ten thousand cases; what meets is confirmed on the full sets.
+but one of some ten thousand cases. Classes that meet, directly or by others, form a family, and all
+of a family are compared on their full sets.
 """
 
 from __future__ import annotations
@@ -17,16 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import U64, Words, blocks, connected, mix, shingles, signed, stored
+from sievework.llm.common import U64, Words, blocks, connected, mix, on_tables, shingles, signed, stored
 
 VALUES, BITS, DISTANCE = 64, 16, 25
 CHUNKS = (DISTANCE + 2) // 2        # one chunk has at most one wrong value
 FIRST_CHUNKS = 3                    # chunks whose keys the first stars use
-ROUNDS = 3                          # star rounds at most before every pair left is compared
+BLOCK = 1024                        # classes of a family that one task compares with as many others
+COLUMNS = 4096                      # shingles of one matrix product
 FILTER_BITS = 24                    # the scan filter holds 2^24 bits, whatever the data
 SEEDS = mix(np.arange(1, 2 * VALUES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
-# Centres are the smallest members after a change of signs, another one each round.
-ORDERS = [int(x) for x in mix(np.arange(1, ROUNDS + 2, dtype=U64)).view(np.int64)]
 EDGES = np.linspace(0, VALUES, CHUNKS + 1).round().astype(int)
 
 
@@ -77,13 +77,6 @@ def chunk_keys(batches, chunks: int):
         yield pa.RecordBatch.from_arrays([signed(keys), *(pa.array(np.tile(batch.column(c).to_numpy(), len(keys) // n)) for c in ("cls", "comp"))], names=["key", "cls", "comp"])
 
 
-def near_signatures(batches):
-    for batch in blocks(batches):
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, VALUES) for c in ("sig_a", "sig_b"))
-        near = pa.array((a != b).sum(axis=1) <= DISTANCE)
-        yield batch.select(["a", "b"]).filter(near)
-
-
 def scan_place(cls: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
     return mix(cls.view(U64) ^ mix(doc_id.view(U64))) >> U64(64 - FILTER_BITS)
 
@@ -101,16 +94,53 @@ def wanted_sets(batches, size: int, bits):
             [signed(classes[take]), pa.array([sets[k].tobytes() for k in take], pa.binary())], names=["cls", "members"])
 
 
-def confirmed(batches, percent: int):
-    for batch in blocks(batches):
-        keep = []
-        for x, y in zip(batch.column("members_a"), batch.column("members_b")):
-            x, y = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, from products of incidence matrices over shingles that recur."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    recurs = counts > 1
+    place = np.cumsum(recurs) - 1
+    kept = recurs[column]
+    owner, column = owner[kept], place[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for at in range(0, int(recurs.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[a:b], column[a:b] - at] = 1
+        out += held @ held.T
+    return out
+
+
+def forest(linked: np.ndarray) -> np.ndarray:
+    """The first member that each member of a symmetric boolean matrix reaches."""
+    label = np.arange(len(linked))
+    while True:
+        low = np.minimum(np.where(linked, label[None], len(linked)).min(axis=1, initial=len(linked)), label)
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
+def compared(group: pa.Table, percent: int) -> pa.Table:
+    """Edges of a spanning forest of the links in the families of a group, or in two blocks of one."""
+    group = group.sort_by([("family", "ascending"), ("cls", "ascending")])
+    families, classes = group.column("family").to_numpy(), group.column("cls").to_numpy()
+    sets = [np.frombuffer(x, U64) for x in group.column("members").to_pylist()]
+    bounds = np.append(np.flatnonzero(np.append(True, families[1:] != families[:-1])), len(families))
+    nodes, lows = [], []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        if b - a > 1:
+            sizes = np.array([len(s) for s in sets[a:b]], np.float64)
+            both = common_counts(sets[a:b])
+            label = forest(100 * both >= percent * (sizes[:, None] + sizes[None] - both))
+            some = np.flatnonzero(label != np.arange(b - a))
+            nodes.append(classes[a:b][some])
+            lows.append(classes[a:b][label[some]])
+    none = [np.zeros(0, np.int64)]
+    return pa.table({"a": np.concatenate(nodes or none), "b": np.concatenate(lows or none)})
 
 
 def filter_bits(reps: DataFrame) -> bytes:
@@ -129,9 +159,9 @@ def filter_bits(reps: DataFrame) -> bytes:
 
 
 def known_groups(links: DataFrame) -> DataFrame:
-    """(cls, comp): a class that each class with links is known to belong with; two steps of pointers.
+    """(cls, comp): a smaller class that each class with edges belongs with, by two steps of pointers.
 
-    Equal labels mean one component; the reverse holds only at the end, of :func:`connected`.
+    Equal labels mean one component; the reverse need not hold.
     """
     up = links.select(F.greatest("a", "b").alias("cls"), F.least("a", "b").alias("comp")).groupBy("cls").agg(F.min("comp").alias("comp"))
     for _ in range(2):
@@ -164,65 +194,47 @@ class NearDuplicates:
         rows = rows.withColumn("comp", F.col("cls")) if labels is None else rows.join(labels, "cls", "left").select("cls", "sig", F.coalesce("comp", "cls").alias("comp"))
         return rows.mapInArrow(partial(chunk_keys, chunks=chunks), "key long, cls long, comp long")
 
-    def within_distance(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of classes whose sizes allow the similarity and whose signatures are near."""
-        a = self.classes.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a"), F.col("n").alias("n_a"))
-        b = self.classes.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b"), F.col("n").alias("n_b"))
-        sized = pairs.join(a, "a").join(b, "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
-        return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(near_signatures, "a long, b long")
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that the full sets confirm; only the sets of classes in pairs leave the scan."""
-        ids = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-        reps = self.classes.join(ids, "cls", "left_semi").select("cls", "rep")
+    def families(self) -> DataFrame:
+        """(cls, family) of the classes that share a bucket with another one, directly or by others.
+
+        The keys of a few chunks put most classes that belong together under one label. The keys of
+        all chunks then need to be looked at only where a bucket holds several labels, so a group of
+        copies never shows all its members under all its keys.
+        """
+        keys = self.keys(chunks=FIRST_CHUNKS)
+        stars = keys.groupBy("key").agg(F.min("cls").alias("centre"), F.max("cls").alias("last")).where("centre <> last").select("key", "centre")
+        edges = keys.join(stars, "key").where("cls <> centre").select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct()
+        labels = stored(known_groups(edges), "labels")
+        keys = self.keys(labels)
+        split = keys.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key", "low")
+        joined = keys.join(split, "key").where("comp <> low").select(F.col("comp").alias("a"), F.col("low").alias("b")).distinct()
+        every = stored(labels.select(F.col("cls").alias("a"), F.col("comp").alias("b")).union(joined), "family-edges")
+        return connected(every, "families").select(F.col("node").alias("cls"), F.col("component").alias("family"))
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """``wanted`` with the shingle sets of its classes; only they, and few others, leave the scan."""
+        reps = wanted.join(self.classes, "cls").select("cls", "rep")
         bits = self.spark.sparkContext.broadcast(filter_bits(reps))
-        sets = stored(self.documents.mapInArrow(partial(wanted_sets, size=self.size, bits=bits), "cls long, members binary")
-                      .join(ids, "cls", "left_semi").groupBy("cls").agg(F.first("members").alias("members")), "sets")
-        joined = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("members_a")), "a").join(
-            sets.select(F.col("cls").alias("b"), F.col("members").alias("members_b")), "b")
-        return joined.select("a", "b", "members_a", "members_b").mapInArrow(partial(confirmed, percent=self.percent), "a long, b long")
+        found = self.documents.mapInArrow(partial(wanted_sets, size=self.size, bits=bits), "cls long, members binary")
+        return found.join(wanted, "cls").groupBy("cls", *(c for c in wanted.columns if c != "cls")).agg(F.first("members").alias("members"))
 
     def components(self) -> DataFrame:
-        """(cls, component) of the classes that have links, named by the smallest class.
+        """(cls, comp) of the classes that have links, named by the smallest class.
 
-        In each bucket the members are compared with one centre, first under a few of the keys and
-        then under all, with another centre each time; members that are known to belong together
-        need no comparison. When little is left, all pairs of a bucket in different components are
-        compared, so no link is lost, and groups of copies never make all their pairs.
+        Within each family all classes are compared on their full sets, in pairs of blocks: a large
+        family becomes many tasks, and each gives a forest of what it has linked, not its pairs.
+        Small families share tasks.
         """
-        n_classes = self.classes.count()
-        keys = self.keys(chunks=FIRST_CHUNKS)
-        stars = keys.groupBy("key").agg(F.min("cls").alias("centre"), F.max("cls").alias("last")).where("centre <> last").select("key", "centre")
-        tested = stored(keys.join(stars, "key").where("cls <> centre").select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
-        links = stored(self.links(stored(self.within_distance(tested), "near")), "links")
-        for turn in range(ROUNDS + 1):
-            labels = stored(known_groups(links), "groups")
-            keys = self.keys(labels)
-            order = F.lit(ORDERS[turn])
-            split = keys.groupBy("key").agg(
-                F.min(F.col("cls").bitwiseXOR(order)).alias("centre"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"),
-            ).where("low <> high").select("key", "n", F.col("centre").bitwiseXOR(order).alias("centre"))
-            split = split.join(labels.select(F.col("cls").alias("centre"), F.col("comp").alias("centre_comp")), "centre", "left")
-            rest = stored(keys.join(split, "key").where("comp <> coalesce(centre_comp, centre)").select("key", "cls", "comp", "centre", "n"), "rest")
-            work = rest.agg(F.sum("n")).first()[0]
-            if not work:
-                break
-            # All pairs left are compared as soon as they are no more rows than the keys themselves.
-            last = turn == ROUNDS or work <= VALUES * n_classes
-            if last:
-                other = keys.select("key", F.col("cls").alias("other"), F.col("comp").alias("comp_b"))
-                pairs = rest.select("key", "cls", "comp").join(other, "key").where("comp <> comp_b").select("cls", "other")
-            else:
-                pairs = rest.select("cls", F.col("centre").alias("other"))
-            pairs = pairs.select(F.greatest("cls", "other").alias("a"), F.least("cls", "other").alias("b")).distinct()
-            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-            near = stored(self.within_distance(pairs), "near")
-            if not near.isEmpty():
-                links = stored(links.union(self.links(near)), "links")
-            if last:
-                break
-            tested = tested.union(pairs)
-        return connected(links, "stars").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+        families = stored(self.families(), "families")
+        sizes = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        placed = families.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("cls", F.lit(3)), "blocks"))
+        shared = families.count() // BLOCK + 1
+        packed = F.when(F.col("blocks") > 1, F.col("family")).otherwise(F.pmod(F.xxhash64("family", F.lit(5)), F.lit(shared)))
+        full = stored(self.sets(placed.withColumn("pack", packed)), "sets")
+        pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("x"), F.greatest("block", k).alias("y")))
+        dealt = full.select("cls", "family", "members", "pack", (F.col("blocks") > 1).alias("large"), F.explode(pairs).alias("p")).select("*", "p.x", "p.y").drop("p")
+        edges = dealt.groupBy("large", "pack", "x", "y").applyInArrow(on_tables(compared, percent=self.percent), "a long, b long")
+        return connected(edges, "links").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id (smallest doc_id), kept, one row for each row of documents."""
