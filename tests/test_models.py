@@ -54,8 +54,9 @@ def test_label_codes(spark, labelled):
     assert {r["value"]: r["code"] for r in codes.collect()}["big"] == 0
     other = spark.createDataFrame([("nobody",), ("big",)], "ca string")
     assert sorted(r["ca_encoded"] for r in encode.label_encode(other, "ca", codes, unseen=-1).collect()) == [-1, 0]
-    with pytest.raises(ValueError):
-        encode.label_codes(labelled, "ca", max_values=3)
+    # Numbered across ranges without gaps, in alphabetical order.
+    many = spark.range(5000).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("ca"))
+    assert all(int(r["value"][1:]) == r["code"] for r in encode.label_codes(many.union(many), "ca").collect())
 
 
 def test_rare_values_become_null(labelled):
