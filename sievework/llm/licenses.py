@@ -4,11 +4,14 @@ A text is cut into sentences, twice: by lines, and across line breaks for wrappe
 sentence in lower case without punctuation is looked up among the known licence sentences; what is
 found gives the text's sequence of sentence identifiers. A rule is an ordered list of identifiers, and
 a licence is recognised if its rule's identifiers occur in this order. Everything happens within the
-row, so nothing is shuffled.
+row, so nothing is shuffled. Comment marks at the start of lines are left out before the cuts, and cuts
+within a known sentence are undone.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +82,7 @@ CUT = "\x01"
 # Where sentences end: at line breaks, or at marks and empty lines only.
 BY_LINE, ACROSS_LINES = "[.!?;:]+[ \t\r\n]+|[\r\n]+", "[.!?;:]+[ \t\r\n]+|\r?\n[ \t]*\r?\n"
 NOISE = "[^a-z0-9\x01]+"
+COMMENT = "(^|[\r\n])[ \t]*(?:#+|//+|/?[*]+/?|<!--+|--+>?|;+|%+)[ \t]*"
 
 
 def plain(sentence: str) -> str:
@@ -86,10 +90,21 @@ def plain(sentence: str) -> str:
     return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower()).split())
 
 
+def inner_cuts() -> str:
+    """A pattern of the cuts that fall inside a known sentence, with the whole of it around them."""
+    places = set()
+    for sentence in SENTENCES.values():
+        pieces = [plain(p) for p in re.split(ACROSS_LINES, sentence)]
+        for k in range(1, len(pieces)):
+            before, behind = (f" ?{CUT} ?".join(x) for x in (pieces[:k], pieces[k:]))
+            places.add(f"(?={behind} ?(?:{CUT}|$))(?<=(?:^|{CUT}) ?{before} ?{CUT} ?)")
+    return f" ?{CUT} ?(?:{'|'.join(sorted(places))})"
+
+
 def found(text: Column, ends: str) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    cut = F.translate(F.regexp_replace(text, ends, CUT), UPPER, LOWER)
-    sentences = F.split(F.regexp_replace(cut, NOISE, " "), CUT)
+    cut = F.translate(F.regexp_replace(F.regexp_replace(text, COMMENT, "$1"), ends, CUT), UPPER, LOWER)
+    sentences = F.split(F.regexp_replace(F.regexp_replace(cut, NOISE, " "), inner_cuts(), " "), CUT)
     known = F.create_map(*(F.lit(x) for name, sentence in SENTENCES.items() for x in (plain(sentence), name)))
     return F.filter(F.transform(sentences, lambda s: F.try_element_at(known, F.trim(s))), lambda x: x.isNotNull())
 

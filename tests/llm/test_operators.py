@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -310,6 +311,28 @@ def test_licences(spark, odd, nothing):
     assert licenses.scan(odd).where("licenses <> ''").count() == 0 and licenses.scan(nothing).collect() == []
 
 
+def test_every_licence_sentence_and_rule_is_found_in_its_own_text(spark):
+    marks = ["", "# ", "// ", " * ", "-- ", ";; "]
+    texts = {}
+    for name, sentence in licenses.SENTENCES.items():
+        for mark in marks:
+            texts[f"{mark}{sentence}"] = name
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {list(texts)[r.doc_id]: r.sentence_ids for r in got} == texts
+    rules = []
+    for licence, names, kind in licenses.RULES:
+        for mark in marks:
+            for width in (45, 10_000):
+                blank = f"\n{mark.rstrip()}\n"
+                lines = blank.join("\n".join(mark + w for w in textwrap.wrap(licenses.SENTENCES[n] + ".", width, break_on_hyphens=False)) for n in names)
+                rules.append((f"{mark}Title{blank}{lines}{blank}{mark}More text.", licence, kind))
+    got = licenses.scan(spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(rules)], "doc_id long, text string")).collect()
+    assert [(rules[r.doc_id][0], r.licenses, r.kind) for r in got if (r.licenses, r.kind) != rules[r.doc_id][1:]] == []
+    apart = ["SPDX-License-Identifier: see below. MIT", "MIT: SPDX-License-Identifier", "Our SPDX-License-Identifier: MIT", "SPDX-License-Identifier: MIT License"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(apart)), "doc_id long, text string")).collect()
+    assert [(r.sentence_ids, r.licenses) for r in sorted(got)] == [("", "")] * 3 + [("mit.title", "")]
+
+
 def test_passages_of_the_benchmark(spark, odd, nothing):
     item = "A train leaves the old station with 120 passengers and travels 45 km while 120 people wait for Maria there."
     other = "Nothing of this long and plain sentence is ever repeated in another text."
