@@ -5,7 +5,8 @@ with a capital inside a sentence) become typed placeholders, and their values ar
 hash of each window of template words is joined with the windows of the benchmark. Windows that lie
 alike in both texts form an alignment; its slots must fit: one value of the item always becomes the
 same value of the document. So a question with other numbers or names is found, and windows that
-merely share a form are not.
+merely share a form are not. Where a value does not fit, the windows over it do not count; windows
+without it, or without any slot, still do.
 
 Names are typed in a second form of a window, beside the one with the name's own letters: a text in
 capitals only shows no names.
@@ -98,28 +99,42 @@ def windows(rows: DataFrame) -> DataFrame:
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """Windows of the items that have enough plain words; equal ones of an item and place once."""
-    rows = benchmark.select(F.col("item_id"), "text")
+    rows = benchmark.select("item_id", F.xxhash64("text").alias("item_row"), "text")
     plain_words = WINDOW - F.size(F.filter(F.coalesce("slots", F.array().cast("array<string>")), lambda s: s.isNotNull()))
     found = windows(rows).where(plain_words >= LEAST_PLAIN)
-    return found.select("item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots")).distinct()
+    return found.select("item_id", "item_row", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots")).distinct()
+
+
+def distinct_pairs(met: Column) -> Column:
+    """Pairs of an item's and a document's value under the windows of an alignment."""
+    return F.array_distinct(F.flatten(F.transform(met, lambda w: w["pairs"])))
+
+
+def clashing(pairs: Column) -> Column:
+    """Values of the item that meet more than one value of the document."""
+    values = F.transform(pairs, lambda p: p["item"])
+    return F.filter(F.array_distinct(values), lambda v: F.size(F.filter(pairs, lambda p: p["item"] == v)) > 1)
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, windows, exact) for each document that holds a passage of an item.
 
-    ``windows`` counts the item's windows in the best alignment; ``exact`` tells whether an alignment has
-    the item's own values. Documents and items of fewer than WINDOW words, null or empty ones among them,
-    never match. Rows that repeat a document or an item count once. A null id is an id of its own.
+    ``windows`` counts the item's windows in the best alignment, without those over a value that meets
+    several values there; ``exact`` tells whether an alignment has the item's own values. Documents and
+    items of fewer than WINDOW words, null or empty ones among them, never match. Rows that repeat a
+    document or an item count once; rows of one id with different texts are aligned each. A null id is
+    an id of its own.
     """
     items = item_windows(benchmark)
     if items.count() <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
-    met = windows(documents.select("doc_id", "text")).join(items, "hash")
+    met = windows(documents.select("doc_id", F.xxhash64("text").alias("doc_row"), "text")).join(items, "hash")
     values = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     pairs = F.filter(F.coalesce(values, F.array().cast("array<struct<item:string,doc:string>>")), lambda p: p["item"].isNotNull())
-    met = met.select("doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pairs.alias("pairs"))
-    aligned = met.groupBy("doc_id", "item_id", "shift").agg(
-        F.count_distinct("item_at").alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    fits = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
+    met = met.select("doc_id", "doc_row", "item_id", "item_row", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", pairs.alias("pairs")).alias("w"))
+    aligned = met.groupBy("doc_id", "doc_row", "item_id", "item_row", "shift").agg(F.collect_set("w").alias("met"))
+    aligned = aligned.withColumn("pairs", distinct_pairs(F.col("met"))).withColumn("clashing", clashing(F.col("pairs")))
+    fitting = F.filter("met", lambda w: ~F.arrays_overlap(F.transform(w["pairs"], lambda p: p["item"]), F.col("clashing")))
+    aligned = aligned.withColumn("windows", F.size(F.array_distinct(F.transform(fitting, lambda w: w["item_at"]))).cast("long"))
     exact = F.forall("pairs", lambda p: p["item"] == p["doc"])
-    return aligned.where(fits).groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.max(exact).alias("exact"))
+    return aligned.where("windows > 0").groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.max(exact).alias("exact"))

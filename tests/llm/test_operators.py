@@ -347,6 +347,29 @@ def test_passages_of_the_benchmark(spark, odd, nothing):
     assert decontaminate.contaminated(odd, bench.limit(0)).collect() == []
 
 
+def leaks(spark, docs, items):
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id): (r.windows, r.exact) for r in decontaminate.contaminated(*frames).collect()}
+
+
+def test_one_changed_value_does_not_clear_a_passage(spark):
+    filler = [f"plain{k}" for k in range(36)]
+    item = " ".join(["take", "2", "sacks", "of", "flour", *filler[:18], "and", "2", "loaves", *filler[18:], "home"])
+    named = "we asked Maria about the long way to the harbour and the old mill before noon and then Maria told us all of it again"
+    docs = [
+        (1, item), (2, item.replace("2 loaves", "3 loaves")), (3, named.replace("Maria told", "Peter told")),
+        (4, named.replace("Maria", "Peter")), (4, named.replace("Maria", "Paula")), (None, item.replace(" 2 ", " 4 ")), (None, item.replace(" 2 ", " 5 ")), (None, "nothing of it"),
+    ]
+    got = leaks(spark, docs, [(10, item), (11, named)])
+    n, m = len(item.split()) - 7, len(named.split()) - 7
+    assert set(got) == {(1, 10), (2, 10), (3, 11), (4, 11), (None, 10)}
+    assert got[1, 10] == (n, True) and got[4, 11] == (m, False) and got[None, 10] == (n, False)
+    without = lambda text, v: sum(v not in text.split()[k:k + 8] for k in range(len(text.split()) - 7))
+    assert got[2, 10] == (without(item, "2"), False) and got[3, 11][0] >= without(named, "Maria") > 0
+    two = leaks(spark, [(1, named)], [(11, named.replace("Maria", "Peter")), (11, named.replace("Maria", "Paula"))])
+    assert two == {(1, 11): (m, False)}
+
+
 # ---- archives
 
 
