@@ -9,7 +9,8 @@ merely share a form are not. Where a value does not fit, the windows over it do
 without it, or without any slot, still do.
 
 Names are typed in a second form of a window, beside the one with the name's own letters: a text in
-capitals only shows no names.
+capitals only shows no names. A capital at the start of a sentence may be a name or not; a third form
+takes it for one, and never makes a window of the other forms clash.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ UNITS = ("mm", "cm", "m", "km", "meter", "meters", "kilometers", "mile", "miles"
          "kilograms", "lb", "lbs", "pound", "pounds", "ounces", "oz", "l", "ml", "liter", "liters", "gallon", "gallons", "s", "sec", "second", "seconds", "min",
          "minute", "minutes", "h", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "percent", "degrees", "dollar",
          "dollars", "cents", "euro", "euros", "mph", "kmh", "kph", "v", "w", "kw", "hz", "khz", "mb", "gb")
-NUMBER, UNIT, NAME = "<num>", "<unit>", "<name>"
+NUMBER, UNIT, NAME, FIRST = "<num>", "<unit>", "<name>", "<first>"
+VALUES, NAMES, GUESSES = (NUMBER, UNIT), (NUMBER, UNIT, NAME), (NUMBER, UNIT, NAME, FIRST)
+CAPITALISED = f"^{START}?\\p{{Lu}}\\p{{Ll}}+$"
 
 
 def digit(word: Column) -> Column:
@@ -44,12 +47,13 @@ def with_words(rows: DataFrame) -> DataFrame:
     lower = F.lower(F.replace("marked", F.lit(START), F.lit("")))
     rows = rows.withColumn("words", F.filter(F.split(lower, " "), lambda w: w != ""))
     cased = F.filter(F.split("marked", " "), lambda w: w != "")
-    rows = rows.withColumn("cased", F.when(F.col("marked").rlike("[0-9]| [A-Z][a-z]+( |$)"), cased)).drop("marked")
+    rows = rows.withColumn("cased", F.when(F.col("marked").rlike(f"[0-9]|[ {START}]\\p{{Lu}}\\p{{Ll}}+( |$)"), cased)).drop("marked")
 
     def kind(word: Column, at: Column) -> Column:
         behind = (at > 0) & digit(F.get("words", at - 1))
-        name = F.ascii(F.get("cased", at)).between(65, 90) & F.get("cased", at).rlike("^[A-Z][a-z]+$")
-        return F.when(digit(word), NUMBER).when(behind & word.isin(*UNITS), UNIT).when(name, NAME)
+        own = F.get("cased", at)
+        name = (own != word) & own.rlike(CAPITALISED)
+        return F.when(digit(word), NUMBER).when(behind & word.isin(*UNITS), UNIT).when(name, F.when(own.startswith(START), FIRST).otherwise(NAME))
 
     return rows.withColumn("kinds", F.when(F.col("cased").isNotNull(), F.transform("words", kind))).drop("cased")
 
@@ -57,12 +61,14 @@ def with_words(rows: DataFrame) -> DataFrame:
 def hashed(rows: DataFrame, name: str, typed: tuple[str, ...]) -> DataFrame:
     """``name``: the hash of every window, words of the ``typed`` kinds as placeholders.
 
-    Windows come from joining neighbouring windows of half the size; the last ones, which would run
-    over the end, are cut off.
+    The forms with names are null for a text without a word of their last kind. Windows come from
+    joining neighbouring windows of half the size; the last ones, which would run over the end, are
+    cut off.
     """
-    template = F.zip_with("words", "kinds", lambda w, k: F.xxhash64(F.when(k.isin(*typed), k).otherwise(w)))
+    mark = lambda k: F.when(k == FIRST, NAME).otherwise(k)
+    template = F.zip_with("words", "kinds", lambda w, k: F.xxhash64(F.when(k.isin(*typed), mark(k)).otherwise(w)))
     if NAME in typed:
-        first = F.when(F.exists("kinds", lambda k: F.coalesce(k == NAME, F.lit(False))), template)
+        first = F.when(F.array_contains("kinds", typed[-1]), template)
     else:
         first = F.when(F.col("kinds").isNull(), F.transform("words", lambda w: F.xxhash64(w))).otherwise(template)
     rows = rows.withColumn(name, first)
@@ -74,26 +80,32 @@ def hashed(rows: DataFrame, name: str, typed: tuple[str, ...]) -> DataFrame:
 
 
 def windows(rows: DataFrame) -> DataFrame:
-    """One row for each window: its hash, place, and the values under its placeholders (null if none).
+    """One row for each window: its hash, place, the values under its placeholders (null if none), and
+    whether it takes the capital of a sentence for a name (``guess``).
 
-    Windows without a name come once; those with one come in both forms.
+    Windows come in each form that differs from the form before.
     """
-    rows = hashed(hashed(with_words(rows), "plain", (NUMBER, UNIT)), "named", (NUMBER, UNIT, NAME))
+    rows = with_words(rows)
+    for name, typed in (("plain", VALUES), ("named", NAMES), ("guessed", GUESSES)):
+        rows = hashed(rows, name, typed)
 
     def slots(at: Column, typed: tuple[str, ...]) -> Column:
         kinds, words = F.slice("kinds", at + 1, WINDOW), F.slice("words", at + 1, WINDOW)
         return F.zip_with(words, kinds, lambda w, k: F.when(k.isin(*typed), w))
 
-    def row(hash_: Column, at: Column, values: Column) -> Column:
-        return F.struct(hash_.alias("hash"), at.alias("at"), values.alias("slots"))
+    def row(hash_: Column, at: Column, values: Column, guess: bool = False) -> Column:
+        return F.struct(hash_.alias("hash"), at.alias("at"), values.alias("slots"), F.lit(guess).alias("guess"))
+
+    def others(name: str, typed: tuple[str, ...], before: Column, guess: bool = False) -> Column:
+        differing = F.transform(name, lambda h, i: F.when(h != F.get(before, i), row(h, i, slots(i, typed), guess)))
+        return F.coalesce(F.array_compact(differing), F.array().cast("array<struct<hash:bigint,at:int,slots:array<string>,guess:boolean>>"))
 
     nothing = F.lit(None).cast("array<string>")
     bare = F.transform("plain", lambda h, i: row(h, i, nothing))
-    plain = F.transform("plain", lambda h, i: row(h, i, slots(i, (NUMBER, UNIT))))
-    named = F.filter(F.transform("named", lambda h, i: row(h, i, slots(i, (NUMBER, UNIT, NAME)))),
-                     lambda w: F.exists(F.slice("kinds", w["at"] + 1, WINDOW), lambda k: F.coalesce(k == NAME, F.lit(False))))
-    every = F.when(F.col("kinds").isNull(), bare).otherwise(F.concat(plain, F.coalesce(named, F.array().cast("array<struct<hash:bigint,at:int,slots:array<string>>>"))))
-    keys = [c for c in rows.columns if c not in ("words", "kinds", "plain", "named")]
+    plain = F.transform("plain", lambda h, i: row(h, i, slots(i, VALUES)))
+    every = F.when(F.col("kinds").isNull(), bare).otherwise(F.concat(
+        plain, others("named", NAMES, F.col("plain")), others("guessed", GUESSES, F.coalesce("named", "plain"), True)))
+    keys = [c for c in rows.columns if c not in ("words", "kinds", "plain", "named", "guessed")]
     return rows.select(*keys, F.explode(every).alias("w")).select(*keys, "w.*")
 
 
@@ -102,7 +114,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     rows = benchmark.select("item_id", F.xxhash64("text").alias("item_row"), "text")
     plain_words = WINDOW - F.size(F.filter(F.coalesce("slots", F.array().cast("array<string>")), lambda s: s.isNotNull()))
     found = windows(rows).where(plain_words >= LEAST_PLAIN)
-    return found.select("item_id", "item_row", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots")).distinct()
+    return found.select("item_id", "item_row", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), F.col("guess").alias("item_guess")).distinct()
 
 
 def distinct_pairs(met: Column) -> Column:
@@ -131,10 +143,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = windows(documents.select("doc_id", F.xxhash64("text").alias("doc_row"), "text")).join(items, "hash")
     values = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     pairs = F.filter(F.coalesce(values, F.array().cast("array<struct<item:string,doc:string>>")), lambda p: p["item"].isNotNull())
-    met = met.select("doc_id", "doc_row", "item_id", "item_row", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", pairs.alias("pairs")).alias("w"))
+    met = met.select("doc_id", "doc_row", "item_id", "item_row", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", pairs.alias("pairs"), (F.col("guess") | F.col("item_guess")).alias("guess")).alias("w"))
     aligned = met.groupBy("doc_id", "doc_row", "item_id", "item_row", "shift").agg(F.collect_set("w").alias("met"))
-    aligned = aligned.withColumn("pairs", distinct_pairs(F.col("met"))).withColumn("clashing", clashing(F.col("pairs")))
-    fitting = F.filter("met", lambda w: ~F.arrays_overlap(F.transform(w["pairs"], lambda p: p["item"]), F.col("clashing")))
+    sure = F.filter("met", lambda w: ~w["guess"])
+    aligned = aligned.withColumn("pairs", distinct_pairs(sure)).withColumn("every", distinct_pairs(F.col("met")))
+    aligned = aligned.withColumn("clashing", clashing(F.col("pairs"))).withColumn("guesses", clashing(F.col("every")))
+    fitting = F.filter("met", lambda w: ~F.arrays_overlap(F.transform(w["pairs"], lambda p: p["item"]), F.when(w["guess"], F.col("guesses")).otherwise(F.col("clashing"))))
     aligned = aligned.withColumn("windows", F.size(F.array_distinct(F.transform(fitting, lambda w: w["item_at"]))).cast("long"))
-    exact = F.forall("pairs", lambda p: p["item"] == p["doc"])
+    exact = F.exists("met", lambda w: ~w["guess"]) & F.forall("pairs", lambda p: p["item"] == p["doc"])
     return aligned.where("windows > 0").groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.max(exact).alias("exact"))

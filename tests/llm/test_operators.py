@@ -370,6 +370,20 @@ def test_one_changed_value_does_not_clear_a_passage(spark):
     assert two == {(1, 11): (m, False)}
 
 
+def test_names_at_the_start_of_sentences_and_beyond_a_to_z(spark):
+    item = "Tom has 5 apples. Tom buys 3 more apples. Tom eats 2 apples. Tom now has how many apples?"
+    accents = "in the little town by the sea we met José and gave {} a book about the stars"
+    both = "the old ship left the harbour and Maria waved. Then the rain began and the gulls flew home."
+    docs = [
+        (1, item), (2, item.replace("Tom", "Anna")), (3, item.replace("Tom", "Łukasz")), (4, "So " + item.replace("Tom", "Émile")),
+        (5, "Anna has 5 apples. Peter buys 3 more apples. Émile eats 2 apples. Maria now has how many apples?"),
+        (6, accents.format("Łukasz").replace("José", "Émile")), (7, both.replace("Then", "Soon").replace("Maria", "Zoë")),
+    ]
+    got = leaks(spark, docs, [(10, item), (11, accents.format("Tom")), (12, both)])
+    n, m = len(item.split()) - 7, len(accents.split()) - 7
+    assert got == {(1, 10): (n, True), (2, 10): (n, False), (3, 10): (n, False), (4, 10): (n, False), (6, 11): (m, False), (7, 12): (len(both.split()) - 7, False)}
+
+
 # ---- archives
 
 
