@@ -10,7 +10,9 @@ without it, or without any slot, still do.
 
 Names are typed in a second form of a window, beside the one with the name's own letters: a text in
 capitals only shows no names. A capital at the start of a sentence may be a name or not; a third form
-takes it for one, and never makes a window of the other forms clash.
+takes it for one, and never makes a window of the other forms clash. Windows with too few plain words
+for placeholders are compared with their own numbers and units, and items shorter than a window as a
+whole.
 """
 
 from __future__ import annotations
@@ -58,63 +60,78 @@ def with_words(rows: DataFrame) -> DataFrame:
     return rows.withColumn("kinds", F.when(F.col("cased").isNotNull(), F.transform("words", kind))).drop("cased")
 
 
-def hashed(rows: DataFrame, name: str, typed: tuple[str, ...]) -> DataFrame:
+def hashed(rows: DataFrame, name: str, typed: tuple[str, ...], window: int) -> DataFrame:
     """``name``: the hash of every window, words of the ``typed`` kinds as placeholders.
 
-    The forms with names are null for a text without a word of their last kind. Windows come from
-    joining neighbouring windows of half the size; the last ones, which would run over the end, are
-    cut off.
+    The forms with placeholders are null for a text without a word of their own kinds. Windows come from
+    joining neighbouring windows, of half the size as long as that fits; the last ones, which would
+    run over the end, are cut off.
     """
     mark = lambda k: F.when(k == FIRST, NAME).otherwise(k)
     template = F.zip_with("words", "kinds", lambda w, k: F.xxhash64(F.when(k.isin(*typed), mark(k)).otherwise(w)))
-    if NAME in typed:
-        first = F.when(F.array_contains("kinds", typed[-1]), template)
-    else:
-        first = F.when(F.col("kinds").isNull(), F.transform("words", lambda w: F.xxhash64(w))).otherwise(template)
-    rows = rows.withColumn(name, first)
+    own = typed[2:][-1:] or typed
+    first = F.when(F.exists("kinds", lambda k: F.coalesce(k.isin(*own), F.lit(False))), template) if typed else F.transform("words", lambda w: F.xxhash64(w))
+    rows = rows.withColumn("one", first).withColumn(name, F.col("one"))
     size = 1
-    while size < WINDOW:
-        rows = rows.withColumn(name, F.zip_with(name, F.slice(name, size + 1, F.greatest(F.size(name), F.lit(0))), lambda a, b: F.xxhash64(a, b)))
-        size *= 2
-    return rows.withColumn(name, F.slice(name, 1, F.greatest(F.size("words") - (WINDOW - 1), F.lit(0))))
+    while size < window:
+        step = size if 2 * size <= window else 1
+        rows = rows.withColumn(name, F.zip_with(name, F.slice(name if step == size else "one", size + 1, F.greatest(F.size(name), F.lit(0))), lambda a, b: F.xxhash64(a, b)))
+        size += step
+    return rows.withColumn(name, F.slice(name, 1, F.greatest(F.size("words") - (window - 1), F.lit(0)))).drop("one")
 
 
-def windows(rows: DataFrame) -> DataFrame:
-    """One row for each window: its hash, place, the values under its placeholders (null if none), and
-    whether it takes the capital of a sentence for a name (``guess``).
+def windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """One row for each window: its hash, place, the values under its placeholders (null if none),
+    whether it takes the capital of a sentence for a name (``guess``), and whether it is a further form
+    with the words in place of the placeholders (``literal``).
 
-    Windows come in each form that differs from the form before.
+    Windows come in each form that differs from the form before. ``n_words`` is that of the text.
     """
     rows = with_words(rows)
-    for name, typed in (("plain", VALUES), ("named", NAMES), ("guessed", GUESSES)):
-        rows = hashed(rows, name, typed)
+    for name, typed in (("bare", ()), ("plain", VALUES), ("named", NAMES), ("guessed", GUESSES)):
+        rows = hashed(rows, name, typed, window)
 
     def slots(at: Column, typed: tuple[str, ...]) -> Column:
-        kinds, words = F.slice("kinds", at + 1, WINDOW), F.slice("words", at + 1, WINDOW)
+        kinds, words = F.slice("kinds", at + 1, window), F.slice("words", at + 1, window)
         return F.zip_with(words, kinds, lambda w, k: F.when(k.isin(*typed), w))
 
-    def row(hash_: Column, at: Column, values: Column, guess: bool = False) -> Column:
-        return F.struct(hash_.alias("hash"), at.alias("at"), values.alias("slots"), F.lit(guess).alias("guess"))
+    def row(hash_: Column, at: Column, values: Column, guess: bool = False, literal: bool = False) -> Column:
+        return F.struct(hash_.alias("hash"), at.alias("at"), values.alias("slots"), F.lit(guess).alias("guess"), F.lit(literal).alias("literal"))
 
-    def others(name: str, typed: tuple[str, ...], before: Column, guess: bool = False) -> Column:
-        differing = F.transform(name, lambda h, i: F.when(h != F.get(before, i), row(h, i, slots(i, typed), guess)))
-        return F.coalesce(F.array_compact(differing), F.array().cast("array<struct<hash:bigint,at:int,slots:array<string>,guess:boolean>>"))
+    def others(name: str, typed: tuple[str, ...], before: Column, **form: bool) -> Column:
+        differing = F.transform(name, lambda h, i: F.when(h != F.get(before, i), row(h, i, slots(i, typed), **form)))
+        return F.coalesce(F.array_compact(differing), F.array().cast("array<struct<hash:bigint,at:int,slots:array<string>,guess:boolean,literal:boolean>>"))
 
     nothing = F.lit(None).cast("array<string>")
-    bare = F.transform("plain", lambda h, i: row(h, i, nothing))
-    plain = F.transform("plain", lambda h, i: row(h, i, slots(i, VALUES)))
+    bare = F.transform("bare", lambda h, i: row(h, i, nothing))
+    plain = F.transform("plain", lambda h, i: row(h, i, F.when(h != F.get("bare", i), slots(i, VALUES))))
     every = F.when(F.col("kinds").isNull(), bare).otherwise(F.concat(
-        plain, others("named", NAMES, F.col("plain")), others("guessed", GUESSES, F.coalesce("named", "plain"), True)))
-    keys = [c for c in rows.columns if c not in ("words", "kinds", "plain", "named", "guessed")]
-    return rows.select(*keys, F.explode(every).alias("w")).select(*keys, "w.*")
+        F.coalesce(plain, bare), others("bare", VALUES, F.col("plain"), literal=True),
+        others("named", NAMES, F.coalesce("plain", "bare")), others("guessed", GUESSES, F.coalesce("named", "plain", "bare"), guess=True)))
+    keys = [c for c in rows.columns if c not in ("words", "kinds", "bare", "plain", "named", "guessed")]
+    return rows.select(*keys, F.size("words").alias("n_words"), F.explode(every).alias("w")).select(*keys, "n_words", "w.*")
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
-    """Windows of the items that have enough plain words; equal ones of an item and place once."""
+def short_sizes(benchmark: DataFrame) -> list[int]:
+    """Numbers of words of the items that are shorter than a window."""
+    sizes = with_words(benchmark.select("text")).select(F.size("words").alias("n")).where(F.col("n").between(1, WINDOW - 1))
+    return sorted(r.n for r in sizes.distinct().collect())
+
+
+def item_windows(benchmark: DataFrame, sizes: list[int]) -> DataFrame:
+    """Windows of the items, each once; those with too few plain words for placeholders literally.
+
+    Items of one of the ``sizes`` below WINDOW are one window each.
+    """
     rows = benchmark.select("item_id", F.xxhash64("text").alias("item_row"), "text")
-    plain_words = WINDOW - F.size(F.filter(F.coalesce("slots", F.array().cast("array<string>")), lambda s: s.isNotNull()))
-    found = windows(rows).where(plain_words >= LEAST_PLAIN)
-    return found.select("item_id", "item_row", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), F.col("guess").alias("item_guess")).distinct()
+    found = windows(rows).withColumn("size", F.lit(WINDOW))
+    for size in sizes:
+        found = found.union(windows(rows, size).where(F.col("n_words") == size).withColumn("size", F.lit(size)))
+    values = F.size(F.filter(F.coalesce("slots", F.array().cast("array<string>")), lambda s: s.isNotNull()))
+    typed = (values == 0) | (F.col("size") - values >= LEAST_PLAIN)
+    found = found.where(typed != F.col("literal"))
+    slots = F.when(~F.col("literal"), F.col("slots")).alias("item_slots")
+    return found.select("item_id", "item_row", F.col("at").alias("item_at"), "hash", slots, F.col("guess").alias("item_guess")).distinct()
 
 
 def distinct_pairs(met: Column) -> Column:
@@ -128,27 +145,46 @@ def clashing(pairs: Column) -> Column:
     return F.filter(F.array_distinct(values), lambda v: F.size(F.filter(pairs, lambda p: p["item"] == v)) > 1)
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value taken once, also where ``use`` needs it for every element."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def fitting(met: Column, sure: Column) -> Column:
+    """The number of an item's windows in an alignment, without those over a clashing value."""
+
+    def count(clash: Column, guesses: Column) -> Column:
+        fit = F.filter(met, lambda w: ~F.arrays_overlap(F.transform(w["pairs"], lambda p: p["item"]), F.when(w["guess"], guesses).otherwise(clash)))
+        return F.size(F.array_distinct(F.transform(fit, lambda w: w["item_at"]))).cast("long")
+
+    clashes = lambda windows, use: bound(distinct_pairs(windows), lambda pairs: bound(clashing(pairs), use))
+    return clashes(sure, lambda clash: clashes(met, lambda guesses: count(clash, guesses)))
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, windows, exact) for each document that holds a passage of an item.
 
     ``windows`` counts the item's windows in the best alignment, without those over a value that meets
-    several values there; ``exact`` tells whether an alignment has the item's own values. Documents and
-    items of fewer than WINDOW words, null or empty ones among them, never match. Rows that repeat a
+    several values there; ``exact`` tells whether an alignment has the item's own values. An item of
+    fewer than WINDOW words is one window; null and empty ones, or those without words, never match. Rows that repeat a
     document or an item count once; rows of one id with different texts are aligned each. A null id is
     an id of its own.
     """
-    items = item_windows(benchmark)
+    sizes = short_sizes(benchmark)
+    items = item_windows(benchmark, sizes)
     if items.count() <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
-    met = windows(documents.select("doc_id", F.xxhash64("text").alias("doc_row"), "text")).join(items, "hash")
+    rows = documents.select("doc_id", F.xxhash64("text").alias("doc_row"), "text")
+    found = windows(rows)
+    for size in sizes:
+        found = found.union(windows(rows, size))
+    met = found.join(items, "hash")
     values = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     pairs = F.filter(F.coalesce(values, F.array().cast("array<struct<item:string,doc:string>>")), lambda p: p["item"].isNotNull())
     met = met.select("doc_id", "doc_row", "item_id", "item_row", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", pairs.alias("pairs"), (F.col("guess") | F.col("item_guess")).alias("guess")).alias("w"))
     aligned = met.groupBy("doc_id", "doc_row", "item_id", "item_row", "shift").agg(F.collect_set("w").alias("met"))
     sure = F.filter("met", lambda w: ~w["guess"])
-    aligned = aligned.withColumn("pairs", distinct_pairs(sure)).withColumn("every", distinct_pairs(F.col("met")))
-    aligned = aligned.withColumn("clashing", clashing(F.col("pairs"))).withColumn("guesses", clashing(F.col("every")))
-    fitting = F.filter("met", lambda w: ~F.arrays_overlap(F.transform(w["pairs"], lambda p: p["item"]), F.when(w["guess"], F.col("guesses")).otherwise(F.col("clashing"))))
-    aligned = aligned.withColumn("windows", F.size(F.array_distinct(F.transform(fitting, lambda w: w["item_at"]))).cast("long"))
-    exact = F.exists("met", lambda w: ~w["guess"]) & F.forall("pairs", lambda p: p["item"] == p["doc"])
-    return aligned.where("windows > 0").groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.max(exact).alias("exact"))
+    exact = (F.size(sure) > 0) & F.forall(distinct_pairs(sure), lambda p: p["item"] == p["doc"])
+    aligned = aligned.select("doc_id", "item_id", fitting(F.col("met"), sure).alias("n"), exact.alias("own"))
+    found = aligned.groupBy("doc_id", "item_id").agg(F.max("n").alias("windows"), F.coalesce(F.max(F.when(F.col("n") > 0, F.col("own"))), F.lit(False)).alias("exact"))
+    return found.where("windows > 0")

@@ -384,6 +384,19 @@ def test_names_at_the_start_of_sentences_and_beyond_a_to_z(spark):
     assert got == {(1, 10): (n, True), (2, 10): (n, False), (3, 10): (n, False), (4, 10): (n, False), (6, 11): (m, False), (7, 12): (len(both.split()) - 7, False)}
 
 
+def test_short_items_and_tables_of_numbers_are_found(spark):
+    sums = "12 + 15 = 27 and 14 + 18 = 32 and 21 + 22 = 43 and 9 + 8 = 17"
+    figures = "1 2 3 5 8 13 21 34 55 89 144"
+    items = [(1, sums), (2, figures), (3, "Paris"), (4, "What is 7 km in miles?"), (5, "the sum of two odd numbers is"), (6, " ?! "), (7, None)]
+    docs = [
+        (1, f"See: {sums}, so."), (2, sums.replace("27", "28")), (3, f"x {figures} y"), (4, "2 3 4 6 9 14 22 35 56 90 145"), (5, "They met in PARIS."), (6, "Parisian"),
+        (7, "Again, what is 7 km in miles"), (8, "what is 8 km in miles"), (9, "The sum of two odd numbers is even."), (10, "the sum of two even numbers is"), (11, "paris"), (12, ""), (13, None),
+    ]
+    got = leaks(spark, docs, items)
+    n, m = 15 - 7, 11 - 7
+    assert got == {(1, 1): (n, True), (2, 1): (5, True), (3, 2): (m, True), (5, 3): (1, True), (7, 4): (1, True), (8, 4): (1, False), (9, 5): (1, True), (11, 3): (1, True)}
+
+
 # ---- archives
 
 
