@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
@@ -189,8 +190,19 @@ def model_score(df: DataFrame) -> Column:
     return vector_to_array("rawPrediction")[1]
 
 
+def without_summary(model):
+    """``model`` without its training summary.
+
+    The summary holds the session, which no task can receive once the session has observed a metric.
+    """
+    for stage in getattr(model, "stages", [model]):
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def fit(stages: Sequence, labelled: DataFrame) -> PipelineModel:
-    return Pipeline(stages=list(stages)).fit(class_weights(labelled, LABEL))
+    return without_summary(Pipeline(stages=list(stages)).fit(class_weights(labelled, LABEL)))
 
 
 def score(model, df: DataFrame) -> DataFrame:

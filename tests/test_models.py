@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sievework.operators import encode, metrics, ml
@@ -110,6 +111,14 @@ def test_saved_model_scores_the_same(spark, labelled, tmp_path):
     assert a == b
 
 
+def test_models_score_in_a_session_that_observes(spark, labelled):
+    seen = Observation()
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 10}
+    for stages in (STAGES(), SVM(), [*ml.feature_stages(min_df=2), ml.classifier("forest", trees=3, depth=2)]):
+        assert len(ml.score(ml.fit(stages, labelled), labelled).collect()) == 300
+
+
 def test_unseen_categories_do_not_fail(spark, labelled):
     model = ml.fit(STAGES(), labelled)
     strange = spark.createDataFrame([(1, "words never seen", "unknown ca", None)], "resource_id long, title string, ca string, procedure string")
