@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import decontaminate, langid, licenses, ngram_lm, pivot_index, sentencepiece_fst, token_counts, toxicity, warc
+from sievework.llm import decontaminate, langid, licenses, ngram_lm, pivot_index, sentencepiece_fst, token_counts, toxicity, warc, winnowing
 from sievework.llm.common import in_fold, table
 from sievework.llm.minhash import near_duplicates
 
@@ -93,3 +93,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_pivot_index")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return pivot_index.linked_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op13_winnowing")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.digests(table(spark, folder, "documents"))
