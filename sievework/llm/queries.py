@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import decontaminate, langid, licenses, ngram_lm, norm_search, pivot_index, sentencepiece_fst, token_counts, toxicity, warc, winnowing
+from sievework.llm import decontaminate, langid, licenses, ngram_lm, norm_search, pivot_index, sentencepiece_fst, token_align, token_counts, toxicity, warc, winnowing
 from sievework.llm.common import in_fold, table
 from sievework.llm.minhash import near_duplicates
 
@@ -103,3 +103,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_norm_search", norm_search.oracle())
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return norm_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return token_align.alignments(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
