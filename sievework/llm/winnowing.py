@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 K, WINDOW, PIECE = 16, 32, 1 << 14
-CUTS = 256                      # quantiles of the document order
+CUTS, PER_TASK = 256, 16        # quantiles of the document order, and buckets for each task
 LOW_31, LOW_32 = (1 << 31) - 1, (1 << 32) - 1
 
 
@@ -30,7 +30,7 @@ def minima(values: Column, window: int) -> Column:
         if size == window:
             return values
         step = min(size, window - size)
-        return let(values, lambda v: widened(F.transform(v, lambda x, i: F.least(x, F.get(v, i + step))), size + step))
+        return let(values, lambda v: widened(F.zip_with(v, F.slice(v, F.lit(step + 1), F.size(v)), lambda x, y: F.least(x, y)), size + step))
 
     return widened(values, 1)
 
@@ -38,19 +38,20 @@ def minima(values: Column, window: int) -> Column:
 def selected(piece: Column, start: Column, n_windows: Column, k: int, window: int) -> Column:
     """(pos, hash) of the hashes that the first ``n_windows`` windows of a piece of text select.
 
-    A window is decided by 31 bits of the hash and then by position, packed into one number; what is
-    kept is the whole hash.
+    Characters take four bytes each, so a run of them is a slice. A window is decided by 31 bits of the
+    hash and then by position, packed into one number; what is kept is the whole hash.
     """
-    runs = F.regexp_extract_all(piece, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))
-    runs = F.when(F.length(piece) >= k, runs).when(piece != "", F.array(piece)).otherwise(F.array().cast("array<string>"))
-    packed = lambda run, i: F.shiftleft(F.xxhash64(run).bitwiseAND(LOW_31), 32).bitwiseOR(F.lit(LOW_32) - i)
     place = lambda v: (F.lit(LOW_32) - v.bitwiseAND(LOW_32)).cast("int")
 
-    def kept(runs: Column) -> Column:
-        lowest = F.slice(minima(F.transform(runs, packed), window), F.lit(1), n_windows)
-        return F.transform(F.array_distinct(lowest), lambda v: F.struct((start + place(v)).alias("pos"), F.xxhash64(F.get(runs, place(v))).alias("hash")))
+    def kept(letters: Column) -> Column:
+        hashed = lambda i: F.xxhash64(F.substring(letters, i * 4 + 1, F.lit(4 * k)))
+        packed = lambda i: F.shiftleft(hashed(i).bitwiseAND(LOW_31), 32).bitwiseOR(F.lit(LOW_32) - i)
+        last = F.greatest((F.octet_length(letters) / 4).cast("int") - k, F.lit(0))
+        lowest = F.slice(minima(F.transform(F.sequence(F.lit(0), last), packed), window), F.lit(1), n_windows)
+        return F.transform(F.array_distinct(lowest), lambda v: F.struct((start + place(v)).alias("pos"), hashed(place(v)).alias("hash")))
 
-    return let(runs, kept)
+    nothing = F.array().cast("array<struct<pos:int,hash:bigint>>")
+    return F.when(piece == "", nothing).otherwise(let(F.encode(piece, "UTF-32"), kept))
 
 
 def fingerprint(text: Column, k: int = K, window: int = WINDOW, piece: int = PIECE) -> Column:
@@ -60,15 +61,38 @@ def fingerprint(text: Column, k: int = K, window: int = WINDOW, piece: int = PIE
     with fewer than ``window`` runs is one window.
     """
 
-    def of(text: Column) -> Column:
-        windows = F.greatest(F.length(text) - (k + window - 2), F.lit(1))
+    def of(text: Column, windows: Column) -> Column:
         starts = F.sequence(F.lit(0), F.floor((windows - 1) / piece).cast("int"))
         parts = F.transform(starts, lambda p: selected(
             F.substr(text, p * piece + 1, F.lit(piece + k + window - 2)), p * piece, F.least(windows - p * piece, F.lit(piece)), k, window))
         # Neighbouring pieces may select the same place.
         return let(F.flatten(parts), lambda all_: F.filter(all_, lambda x, i: (i == 0) | (x["pos"] != F.get(all_, i - 1)["pos"])))
 
-    return let(F.coalesce(text, F.lit("")), of)
+    return let(F.coalesce(text, F.lit("")), lambda t: let(F.greatest(F.length(t) - (k + window - 2), F.lit(1)), lambda windows: of(t, windows)))
+
+
+def spliced(prints: Column, shared: Column, text: Column, k: int = K, window: int = WINDOW, piece: int = PIECE) -> Column:
+    """The fingerprint of a ``text`` that begins with the first ``shared`` characters of one with these ``prints``.
+
+    Windows within these characters select what they did before, so only what lies behind is walked. A print was
+    first selected by the window that it entered, if its hash is not above the one before, or else by
+    the window that the one before has just left.
+    """
+    low = lambda x: x["hash"].bitwiseAND(LOW_31)
+
+    def first(x: Column, i: Column, every: Column) -> Column:
+        before = F.get(every, i - 1)
+        return F.when(i == 0, 0).when(low(x) <= low(before), F.greatest(x["pos"] - (window - 1), F.lit(0))).otherwise(before["pos"] + 1)
+
+    def both(inside: Column) -> Column:
+        kept = let(prints, lambda every: F.filter(every, lambda x, i: first(x, i, every) < inside))
+        # Without a window of its own the rest of the text selects nothing.
+        rest = F.when((inside > 0) & (F.length(text) - (k + window - 2) <= inside), F.lit("")).otherwise(F.substr(text, inside + 1, F.length(text)))
+        behind = F.transform(fingerprint(rest, k, window, piece), lambda x: F.struct((x["pos"] + inside).alias("pos"), x["hash"].alias("hash")))
+        return let(F.concat(kept, behind), lambda every: F.filter(every, lambda x, i: (i == 0) | (x["pos"] != F.get(every, i - 1)["pos"])))
+
+    # A column outside a lambda would be computed anew for every element within.
+    return let(F.greatest(shared - (k + window - 2), F.lit(0)), both)
 
 
 def as_text(prints: Column) -> Column:
@@ -104,7 +128,7 @@ def with_next(documents: DataFrame, add) -> DataFrame:
     place = F.col("doc_id").cast("double") + F.col("tie") / F.lit(2.0 ** 64)
     cuts = rows.agg(F.percentile_approx(place, [i / CUTS for i in range(CUTS + 1)], CUTS * 20)).first()[0] or [0.0]
     ends = F.array(*(F.lit(float(c)) for c in sorted(set(cuts))))
-    finer = -(-4 * parts // CUTS)
+    finer = -(-PER_TASK * parts // CUTS)
     number = let(F.size(F.filter(ends, lambda c: c < place)), lambda i: i.cast("long") * finer + F.coalesce(F.least(
         F.floor((place - F.get(ends, i - 1)) / (F.get(ends, i) - F.get(ends, i - 1)) * finer), F.lit(finer - 1)), F.lit(0)))
     rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(number))
@@ -123,11 +147,13 @@ def with_next(documents: DataFrame, add) -> DataFrame:
     return made.withColumn("next", F.lead(F.struct(*kept)).over(behind)).where(~F.col("guest")).select(*kept, "next")
 
 
+def third(text: Column) -> Column:
+    return F.floor(F.length(text) / 3).cast("int")
+
+
 def edited(text: Column, following: Column) -> Column:
     """``text`` with its last third replaced by the first characters of the text that follows."""
-    n = F.length(text)
-    third = F.floor(n / 3).cast("int")
-    return F.concat(F.substr(text, F.lit(1), n - third), F.substr(following, F.lit(1), third))
+    return F.concat(F.substr(text, F.lit(1), F.length(text) - third(text)), F.substr(following, F.lit(1), third(text)))
 
 
 def fingerprints(documents: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
@@ -141,7 +167,7 @@ def fingerprints(documents: DataFrame, k: int = K, window: int = WINDOW) -> Data
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("next.text")))
     return rows.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), "edited", "prints", F.col("next.prints").alias("next_prints"),
-        fingerprint(F.col("edited"), k, window).alias("edited_prints"))
+        spliced(F.col("prints"), F.length("text") - third(F.col("text")), F.col("edited"), k, window).alias("edited_prints"))
 
 
 def digests(documents: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:

@@ -13,15 +13,15 @@ from sievework.llm import winnowing
 FOLDER = "/root/testdata/sf0.001"
 
 
-def hash64(text):
-    x = xxhash.xxh64_intdigest(text.encode(), seed=42)
+def hash64(text, code="utf-8"):
+    x = xxhash.xxh64_intdigest(text.encode(code), seed=42)
     return x - (1 << 64) if x >> 63 else x
 
 
 def plain(text, k, window):
     """Selected (pos, hash) of a text, window by window."""
     runs = [text[i:i + k] for i in range(len(text) - k + 1)] or ([text] if text else [])
-    values = [hash64(r) for r in runs]
+    values = [hash64(r, "utf-32-be") for r in runs]
     out = []
     for a in range(max(len(values) - window + 1, 1) if values else 0):
         at = min(range(a, min(a + window, len(values))), key=lambda i: (values[i] & winnowing.LOW_31, -i))
@@ -62,6 +62,21 @@ def test_fingerprint_equals_every_window(spark, k, window, piece):
     assert got == {i: plain(t, k, window) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("k,window,piece", [(3, 4, 8), (2, 1, 5), (1, 6, 4), (4, 9, 1 << 14)])
+def test_spliced_equals_a_fresh_walk(spark, k, window, piece):
+    rng = random.Random(k)
+    make = lambda: "".join(rng.choice("ab é") for _ in range(rng.randrange(0, 70)))
+    rows = []
+    for n in range(300):
+        text = make()
+        shared = rng.randrange(0, len(text) + 1)
+        rows.append((n, text, shared, text[:shared] + make()[:rng.randrange(0, 70)]))
+    frame = spark.createDataFrame(rows, "n int, text string, shared int, other string")
+    frame = frame.withColumn("prints", winnowing.fingerprint(F.col("text"), k, window, piece))
+    got = frame.select("n", winnowing.spliced(F.col("prints"), F.col("shared"), F.col("other"), k, window, piece).alias("p")).collect()
+    assert {r.n: [tuple(x) for x in r.p] for r in got} == {n: plain(other, k, window) for n, _, _, other in rows}
+
+
 def test_shared_passages_share_a_print(spark):
     rng = random.Random(5)
     make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
