@@ -6,13 +6,13 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions.text import text_measures
-from sievework.operators.containment import detect_codes
+from sievework.operators.containment import CodeDetector, code_detector
 from sievework.operators.lexicon import Lexicon
 from sievework.operators.scoring import doc_features
 from sievework.session import allow_repeated_fields, spread_scan
@@ -113,20 +113,24 @@ class Tables:
     def dictionary(self) -> DataFrame:
         return self.raw("benchmark").select(F.col("text").alias("code"), F.col("item_id").alias("code_pos"))
 
+    @cached_property
+    def detector(self) -> CodeDetector:
+        return code_detector(self.dictionary)
+
     @cached_property
     def coded(self) -> DataFrame:
         """Document texts with their detected codes."""
-        return detect_codes(self.doc_content, self.dictionary)
+        return self.detector(self.doc_content)
 
     @cached_property
     def counted(self) -> DataFrame:
         """Codes and text counts of each document, without its text."""
-        return doc_features(self.coded, TEST_LEXICON)
+        return self.detector(self.doc_content, keep=partial(doc_features, lexicon=TEST_LEXICON))
 
     @cached_property
     def measured(self) -> DataFrame:
         """Notices with the measures of their text."""
-        return self.notices.join(text_measures(self.coded), "resource_id", "left")
+        return self.notices.join(self.detector(self.doc_content, keep=text_measures), "resource_id", "left")
 
     @cached_property
     def screened(self) -> DataFrame:

@@ -205,9 +205,8 @@ def _(t):
 @query("detect_codes_joined", with_(DOCS, HITS, select="""
 SELECT resource_id, array_to_string(detected_codes, '|') AS detected_codes, codes_count FROM coded"""))
 def _(t):
-    """The same through the join that serves dictionaries of any size."""
-    found = detect_codes(t.doc_content, t.dictionary, max_plan_codes=0)
-    return found.select("resource_id", "detected_codes", "codes_count")
+    """The same, with the texts left out of the join."""
+    return detect_codes(t.doc_content, t.dictionary, keep=lambda docs: docs.select("resource_id", "_text_key"))
 
 
 AUTH = """auth AS (SELECT n_name AS name, n_nationkey + 1 AS code FROM nation WHERE n_nationkey < 10),

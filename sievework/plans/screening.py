@@ -6,6 +6,7 @@ Batch runs and stream batches call the same functions.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from sievework.operators.lexicon import Lexicon
 from sievework.session import cut_lineage
 from sievework.sources import store
 
-Detector = Callable[[DataFrame], DataFrame]
+Detector = Callable[..., DataFrame]     # such as a CodeDetector
 
 
 def ingest(raw: DataFrame, stored: DataFrame, arrival: str) -> tuple[DataFrame, DataFrame]:
@@ -32,8 +33,8 @@ def ingest(raw: DataFrame, stored: DataFrame, arrival: str) -> tuple[DataFrame,
 
 
 def document_features(docs: DataFrame, detect: Detector, lexicon: Lexicon | None = None) -> DataFrame:
-    """Codes and counts of each text, without the text: one scan, no shuffle."""
-    return scoring.doc_features(detect(docs), lexicon)
+    """Codes and counts of each text, without the text, which stays in its scan."""
+    return detect(docs, keep=partial(scoring.doc_features, lexicon=lexicon))
 
 
 def screen(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework import fixed_values as fv
 from sievework.operators import lexicon, scoring
+from sievework.operators import containment
 from sievework.operators.containment import detect_codes
 
 
@@ -98,23 +99,35 @@ def test_codes_in_the_sample(spark):
     assert detect_codes(docs, codes).first()["detected_codes"] == ["72000000", "72200000", "72400000"]
 
 
-@pytest.mark.parametrize("digits", [True, False])
-def test_both_ways_find_the_same_codes(spark, digits):
+@pytest.mark.parametrize("letters", ["0123456789", "ab c", "aé日 🙂"])
+@pytest.mark.parametrize("hot", [False, True])
+def test_codes_equal_brute_force(spark, monkeypatch, letters, hot):
+    if hot:
+        monkeypatch.setattr(containment, "HOT_ROWS", 3)
+        monkeypatch.setattr(containment, "HOT_SHARE", 50)
     rng = random.Random(3)
-    letters = "0123456789" if digits else "ab c"
     word = lambda k: "".join(rng.choice(letters) for _ in range(k))
-    codes = list(dict.fromkeys([word(rng.randrange(2, 25)) for _ in range(40)]))
-    texts = [word(rng.randrange(200)) + rng.choice(codes) + " x " + rng.choice(codes) for _ in range(60)] + ["", None]
-    # One text in three is the same.
+    codes = list(dict.fromkeys([word(rng.randrange(1, 40)) for _ in range(60)] + ["a", letters, letters * 3]))
+    texts = [word(rng.randrange(200)) + rng.choice(codes) + " x " + rng.choice(codes) for _ in range(60)] + ["", None, codes[0], codes[5][1:], word(5) * 4000]
+    # One text in three is the same, and some ids hold several texts.
     texts += [texts[0]] * 30
-    docs = spark.createDataFrame(list(enumerate(texts)), "resource_id long, pdf_text string")
-    entries = [(c, i) for i, c in enumerate(codes)] + [(codes[0], 99), ("", 100)]
-    dictionary = spark.createDataFrame(entries, "code string, code_pos int")
+    keys = [k % 80 if k % 7 else None for k in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(keys, range(len(texts)), texts)), "resource_id long, n int, pdf_text string")
+    entries = [(c, i) for i, c in enumerate(codes)] + [(codes[0], 99), ("", 100), (None, 101)]
+    detect = containment.code_detector(spark.createDataFrame(entries, "code string, code_pos int"))
     want = {i: [c for c in codes if t and c in t] for i, t in enumerate(texts)}
-    for limits in ({}, {"max_plan_codes": 0}):
-        rows = detect_codes(docs, dictionary, **limits).collect()
-        assert {r["resource_id"]: r["detected_codes"] for r in rows} == want
+    for keep in (None, lambda d: d.drop("pdf_text")):
+        rows = detect(docs, keep).collect()
+        assert {r["n"]: r["detected_codes"] for r in rows} == want and len(rows) == len(texts)
         assert all(r["codes_count"] == len(r["detected_codes"]) for r in rows)
+    assert detect(docs.limit(0)).collect() == []
+
+
+def test_no_codes_at_all(spark):
+    docs = spark.createDataFrame([(1, "some text"), (2, None)], "resource_id long, pdf_text string")
+    for entries in ([], [("", 1)], [("never there", 1)]):
+        rows = detect_codes(docs, spark.createDataFrame(entries, "code string, code_pos int")).collect()
+        assert [(r["detected_codes"], r["codes_count"]) for r in rows] == [([], 0)] * 2
 
 
 NAMES = scoring.feature_names(lexicon.Lexicon())
