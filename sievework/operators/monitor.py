@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from sievework import fixed_values as fv
 from sievework.functions.clean import is_blank
 from sievework.operators.joins import has_url, mark_processed
-from sievework.operators.running import exact_quantiles
+from sievework.operators.running import bracketed_quantiles
 
 # The words of the store for a finished and a failed text.
 STATUS_WORDS = {"success": "COMPLETED", "failed": "failed"}
@@ -272,18 +272,12 @@ def code_flags(df: DataFrame, codes: Sequence[str]) -> DataFrame:
 QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
 
 
-def quantile_columns(df: DataFrame, columns: Sequence[str], fractions: Mapping[float, str], approximate: bool) -> DataFrame:
-    """One row per column with its quantiles, exact or from a sketch."""
-    if approximate:
-        aggs = [
-            F.percentile_approx(F.col(c).cast("double"), f).alias(f"{name}__{c}")
-            for c in columns for f, name in fractions.items()
-        ]
-        return unpivot_row(df.agg(*aggs), columns, list(fractions.values()))
-    found = exact_quantiles(df, columns, list(fractions))
+def quantile_columns(df: DataFrame, columns: Sequence[str], fractions: Mapping[float, str], aggregates: Sequence[Column] = ()) -> tuple[DataFrame, DataFrame]:
+    """One row per column with its exact quantiles, and one row of ``aggregates``, from the same passes."""
+    found, one = bracketed_quantiles(df, columns, list(fractions), aggregates)
     return found.groupBy("column").agg(*[
         F.max(F.when(F.col("fraction") == f, F.col("value"))).alias(name) for f, name in fractions.items()
-    ])
+    ]), one
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
@@ -292,9 +286,14 @@ def describe_columns(df: DataFrame, columns: Sequence[str], approximate: bool =
     for c in columns:
         x = F.col(c).cast("double")
         measures = {"n": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
+        if approximate:
+            measures |= {name: F.percentile_approx(x, f) for f, name in QUARTILES.items()}
         aggs += [m.alias(f"{name}__{c}") for name, m in measures.items()]
-    simple = unpivot_row(df.agg(*aggs), columns, ["n", "mean", "std", "min", "max"])
-    return simple.join(quantile_columns(df, columns, QUARTILES, approximate), "column", "left")
+    names = ["n", "mean", "std", "min", "max"]
+    if approximate:
+        return unpivot_row(df.agg(*aggs), columns, [*names, *QUARTILES.values()])
+    quartiles, one = quantile_columns(df, columns, QUARTILES, aggs)
+    return unpivot_row(one, columns, names).join(quartiles, "column", "left")
 
 
 def length_buckets(df: DataFrame, column: str, bounds: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -404,13 +403,15 @@ def class_balance(df: DataFrame, label: str = "bid") -> DataFrame:
 def text_profile(df: DataFrame, column: str, phrase: str, approximate: bool = False) -> DataFrame:
     """Length statistics of a text column and how many rows hold a phrase."""
     size = F.length(column)
-    one = df.agg(
-        F.min(size).alias("min_length"), F.max(size).alias("max_length"), F.avg(size).alias("mean_length"),
-        F.count_if(F.lower(column).contains(phrase.lower())).alias("with_phrase"),
-    )
-    sizes = df.select(size.alias("size"))
-    median = quantile_columns(sizes, ["size"], {0.5: "median"}, approximate).agg(F.max("median").alias("m")).scalar()
-    return one.withColumn("median_length", median)
+    aggs = [
+        F.min("size").alias("min_length"), F.max("size").alias("max_length"), F.avg("size").alias("mean_length"),
+        F.count_if("phrase").alias("with_phrase"),
+    ]
+    sizes = df.select(size.alias("size"), F.lower(column).contains(phrase.lower()).alias("phrase"))
+    if approximate:
+        return sizes.agg(*aggs, F.percentile_approx(F.col("size").cast("double"), 0.5).alias("median_length"))
+    medians, one = quantile_columns(sizes, ["size"], {0.5: "median"}, aggs)
+    return one.withColumn("median_length", medians.agg(F.max("median").alias("m")).scalar())
 
 
 def dataset_funnel(joined: DataFrame, min_text_length: int = 10) -> DataFrame:

@@ -164,10 +164,14 @@ def test_quantiles(spark):
     data = {"a": rng.normal(size=1001), "b": np.where(rng.random(1001) < 0.4, 3.0, rng.random(1001))}
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(data["a"], data["b"])] + [(None, None)], "a double, b double")
     fractions = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {(r["column"], r["fraction"]): r["value"] for r in exact_quantiles(df, ["a", "b"], fractions).collect()}
-    assert len(got) == 12
-    for (c, f), v in got.items():
-        assert abs(v - np.quantile(data[c], f)) < 1e-12
+    # A rough sketch and a low limit make it narrow its brackets.
+    for limits in ({}, {"accuracy": 20, "most": 8}, {"accuracy": 200, "most": 0}):
+        got = {(r["column"], r["fraction"]): r["value"] for r in exact_quantiles(df, ["a", "b"], fractions, **limits).collect()}
+        assert len(got) == 12
+        for (c, f), v in got.items():
+            assert abs(v - np.quantile(data[c], f)) < 1e-12
+    assert exact_quantiles(df.where("a is null"), ["a", "b"], fractions).collect() == []
+    assert [r["value"] for r in exact_quantiles(df.limit(1), ["a"], [0.5, 1.0]).collect()] == [data["a"][0]] * 2
 
 
 def test_bands_and_buckets(spark):
