@@ -5,13 +5,13 @@ from __future__ import annotations
 import uuid
 from functools import partial
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sievework.adapters import TEST_LEXICON
 from sievework.catalog.base import DOCS, HITS, NOTICES, query, with_
 from sievework.catalog.texts import JOINED
 from sievework.operators import encode, lexicon, ml, search
+from sievework.operators.linear import sparse_rows
 from sievework.session import cut_lineage, shared_folder
 
 TERMS = list(TEST_LEXICON.key_terms)
@@ -134,10 +134,10 @@ def _labelled(t, text: bool = False):
     return cut_lineage(search.modeling_dataset(t.notices, t.coded, section_only=False, min_text_length=50))
 
 
-TITLE = partial(ml.feature_stages, text=("title",), categories=("ca", "procedure"), min_df=3)
+TITLE = partial(ml.feature_stages, text=("title",), categories=("ca", "procedure"), min_df=3, vocab_size=20_000)
 ENRICHED = partial(
     ml.feature_stages, text=("title", "pdf_text"), categories=("ca",), numbers=("codes_count", "pdf_text_length"),
-    codes="detected_codes", vocab_size=3000, bigrams=False,
+    codes="detected_codes", min_df=3, vocab_size={"title": 20_000, "pdf_text": 30_000},
 )
 
 
@@ -145,16 +145,23 @@ def _with(stages, kind: str, **options):
     return lambda: [*stages(), ml.classifier(kind, **options)]
 
 
-LOGREG = _with(TITLE, "logreg", max_iter=30)
-SVM = _with(TITLE, "svm", max_iter=20)
-LOGREG_TEXT = _with(ENRICHED, "logreg", max_iter=30)
+LOGREG = _with(TITLE, "logreg")
+SVM = _with(TITLE, "svm")
+LOGREG_TEXT = _with(ENRICHED, "logreg")
+SVM_TEXT = _with(ENRICHED, "svm")
+SIZES = (0.2, 0.36, 0.52, 0.68, 0.84, 1.0)
+
+
+def _entries(vectors):
+    """The entries of the sparse vectors, one row each."""
+    rows = sparse_rows(vectors, "features", ["resource_id"])
+    return rows.select("resource_id", F.explode(F.arrays_zip("places", "x")).alias("e")).select("resource_id", "e.places", "e.x").withColumnRenamed("places", "place")
 
 
 @query("feature_blocks")
 def _(t):
     df = _labelled(t, text=True)
-    vectors = ml.fit(ENRICHED(), df).transform(df)
-    return vectors.select("resource_id", F.size(vector_to_array("features")).alias("width"))
+    return _entries(ml.fit(ENRICHED(), df).transform(df))
 
 
 @query("count_vectors", with_(NOTICES, r"""
@@ -166,15 +173,15 @@ def _(t):
     df = _labelled(t)
     stages = ml.text_stages("title", "features", kind="count", bigrams=False, stop_words=("urgent",))
     vectors = ml.fit(stages, df).transform(df)
-    return vectors.select("resource_id", F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).alias("n_terms"))
+    rows = sparse_rows(vectors, "features", ["resource_id"])
+    return rows.select("resource_id", F.aggregate("x", F.lit(0.0), lambda a, x: a + x).alias("n_terms"))
 
 
 @query("hash_vectors")
 def _(t):
     df = _labelled(t)
     stages = ml.text_stages("title", "features", kind="hash", bigrams=False, hash_size=1 << 18)
-    vectors = ml.fit(stages, df).transform(df)
-    return vectors.select("resource_id", F.size(vector_to_array("features")).alias("width"))
+    return _entries(ml.fit(stages, df).transform(df))
 
 
 @query("train_logreg")
@@ -191,15 +198,16 @@ def _(t):
 
 @query("train_forest")
 def _(t):
-    df = _labelled(t, text=True)
-    stages = [*ENRICHED(), ml.classifier("forest", trees=20, depth=6)]
-    return ml.score(ml.fit(stages, df), df)
+    df = _matrix(t)
+    names = [c for c in df.columns if c not in ("resource_id", "bid")]
+    return ml.score(ml.fit(_forest_stages(names, trees=100, depth=10), df), df)
 
 
 @query("train_tree")
 def _(t):
-    df = _labelled(t, text=True)
-    return ml.score(ml.fit([*ENRICHED(), ml.classifier("tree")], df), df)
+    """A tree on the latent dimensions of the title, its length, and the categories."""
+    df = _labelled(t).withColumn("title_length", F.length("title").cast("double"))
+    return ml.score(ml.fit(ml.projected_tree_stages(stop_words=STOP), df), df)
 
 
 @query("train_dense")
@@ -208,13 +216,13 @@ def _(t):
         F.col("vec_id").alias("resource_id"), "embedding", (F.col("label") == 0).cast("int").alias("bid")
     )
     df = cut_lineage(vectors)
-    return ml.score(ml.fit([*ml.dense_stages(), ml.classifier("logreg", max_iter=30)], df), df)
+    return ml.score(ml.fit([*ml.dense_stages(), ml.classifier("logreg")], df), df)
 
 
 @query("calibrate")
 def _(t):
     df = _labelled(t)
-    return ml.calibrate(SVM(), df).score(df)
+    return ml.calibrate(SVM, df).score(df)
 
 
 @query("oof_predictions")
@@ -224,22 +232,22 @@ def _(t):
 
 @query("cv_scores")
 def _(t):
-    return ml.cv_scores(ml.trainer(LOGREG), _labelled(t), folds=3)
+    return ml.cv_scores(ml.trainer(LOGREG), _labelled(t))
 
 
 @query("learning_curve")
 def _(t):
-    return ml.learning_curve(ml.trainer(LOGREG), _labelled(t), (0.5, 1.0), folds=2)
+    return ml.learning_curve(ml.trainer(LOGREG), _labelled(t), SIZES)
 
 
 @query("evaluate_model")
 def _(t):
-    return ml.evaluate_model(ml.trainer(LOGREG), _labelled(t), 0.85, folds=3)
+    return ml.evaluate_model(ml.trainer(LOGREG, calibrated=True), _labelled(t), 0.85)
 
 
 @query("compare_models")
 def _(t):
-    return ml.compare_models(ml.trainer(LOGREG), ml.trainer(LOGREG_TEXT), _labelled(t, text=True), 0.85, folds=2)
+    return ml.compare_models(ml.trainer(SVM, calibrated=True), ml.trainer(SVM_TEXT, calibrated=True), _labelled(t, text=True), 0.85)
 
 
 def _matrix(t):
@@ -248,12 +256,12 @@ def _matrix(t):
     return cut_lineage(encode.feature_matrix(labelled, t.coded, TERMS, encode.label_codes(t.notices, "ca")))
 
 
-def _forest_stages(names):
+def _forest_stages(names, trees: int = 50, depth: int = 8):
     from pyspark.ml.feature import VectorAssembler
 
     return [
         VectorAssembler(inputCols=names, outputCol="raw"), ml.PopulationScaler("raw", "features"),
-        ml.classifier("forest", trees=50, depth=8),
+        ml.classifier("forest", trees=trees, depth=depth),
     ]
 
 
@@ -286,7 +294,7 @@ def _(t):
 @query("block_ablation")
 def _(t):
     df = _labelled(t, text=True)
-    blocks = {"no text": ["title", "pdf_text"], "no category": ["ca"], "no codes": ["detected_codes", "codes_count"]}
+    blocks = {"no text": ["title_vector", "pdf_text_vector"], "no category": ["ca_onehot"], "no codes": ["codes_vector", "numbers_vector"]}
     return ml.block_ablation(ml.fit(LOGREG_TEXT(), df), df, blocks)
 
 
@@ -299,7 +307,7 @@ def _(t):
 @query("svd_project")
 def _(t):
     df = t.raw("documents").select(F.col("doc_id").alias("resource_id"), F.col("text").alias("title"), F.lit(0).alias("bid"))
-    stages = ml.text_stages("title", "features", vocab_size=300, bigrams=False)
+    stages = ml.text_stages("title", "features", vocab_size=40_000, stop_words=STOP)
     vectors = cut_lineage(ml.Pipeline(stages=stages).fit(df).transform(df).select("resource_id", "features"))
     projected, _values = ml.svd_project(vectors, "features", 2)
     return projected.select("resource_id", F.col("projected")[0].alias("x"), F.col("projected")[1].alias("y"))

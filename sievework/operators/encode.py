@@ -11,39 +11,74 @@ from pyspark.sql.window import Window
 
 from sievework.functions.text import word_tokens
 from sievework.operators.lexicon import tfidf_from_counts, vocabulary_counts
-from sievework.operators.running import running_totals
 from sievework.session import cut_lineage
 
 # -- repeatable splits ----------------------------------------------------------------------------
 
-def class_ranks(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
-    """(key, label, rank, n): the place of each row within its class in seeded hash order.
+def rank_cuts(df: DataFrame, key: str, label: str, ranks, seed: int = 42, bits: int = 16, most: int = 1 << 20) -> DataFrame:
+    """(label, cuts): where each class has its wanted ranks, as structs (h, key) in seeded hash order.
 
-    Only keys and labels take part. The order is total (hash, then key), so a lost task that is
-    run again gives the same places.
+    ``ranks`` makes columns of ranks from 0 out of the size of a class. A histogram over the first ``bits`` of the
+    hash tells which cell holds a rank; cells of more than ``most`` rows are split by the next bits, and
+    the others sorted. Only keys and labels are read, and one row a class, cell and rank is kept. A rank
+    beyond the class has no cut. The order is total (hash, then key), so it never depends on the run.
     """
-    hashed = df.select(key, label, F.xxhash64(F.col(key), F.lit(seed)).alias("_hash"))
-    per_hash = hashed.groupBy(label, "_hash").agg(F.count(F.lit(1)).alias("_one"))
-    ranked = running_totals(per_hash, "_hash", ["_one"], by=label)
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # Equal hashes are a handful of rows at most; the key orders them.
-    within = F.row_number().over(Window.partitionBy(label, "_hash").orderBy(key))
-    placed = hashed.withColumn("_place", within).join(ranked, [label, "_hash"]).join(F.broadcast(sizes), label)
-    return placed.select(key, label, (F.col("cum__one") - F.col("_one") + F.col("_place") - 1).alias("rank"), "n")
+    spark = df.sparkSession
+    rows = df.select(F.col(label).alias("label"), F.col(key).alias("key"), F.xxhash64(F.col(key), F.lit(seed)).alias("h"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def placed(counted: DataFrame, within: list[str], order: list[str]) -> DataFrame:
+        """The rows of ``counted`` that hold wanted ranks, and these ranks within them."""
+        before = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        inside = F.filter("wanted", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
+        return counted.withColumn("wanted", F.transform(inside, lambda r: r - F.col("start"))).where(F.size("wanted") > 0)
+
+    cell = lambda used: F.shiftright("h", 64 - used)
+    first = cut_lineage(rows.groupBy("label", cell(bits).alias("cell")).agg(F.count(F.lit(1)).alias("n")))
+    size = F.sum("n").over(Window.partitionBy("label"))
+    cells = placed(first.withColumn("size", size).withColumn("wanted", F.array(*(r.cast("long") for r in ranks(F.col("size"))))), ["label"], ["cell"])
+    used = bits
+    while True:
+        held = cells.select("label", "cell", "wanted", "n").collect()        # a class has as many as it has ranks
+        cells = spark.createDataFrame(held, f"label {kinds['label']}, cell long, wanted array<long>, n long").drop("n")
+        here = rows.withColumn("cell", cell(used)).join(
+            F.broadcast(cells.withColumnsRenamed({"label": "_label", "cell": "_cell"})), F.col("label").eqNullSafe(F.col("_label")) & (F.col("cell") == F.col("_cell")))
+        here = here.drop("_label", "_cell")
+        if used + bits > 64 or max((r.n for r in held), default=0) <= most:
+            break
+        used += bits
+        counted = here.groupBy("label", "cell", "wanted", cell(used).alias("finer")).agg(F.count(F.lit(1)).alias("n"))
+        cells = placed(counted, ["label", "cell"], ["finer"]).drop("cell").withColumnRenamed("finer", "cell")
+    counted = here.groupBy("label", "cell", "wanted", "h", "key").agg(F.count(F.lit(1)).alias("n"))
+    exact = placed(counted, ["label", "cell"], ["h", "key"])
+    # A row stands for as many cuts as it holds ranks.
+    cut = F.explode(F.transform("wanted", lambda _: F.struct("h", "key"))).alias("cut")
+    found = exact.select("label", cut).groupBy("label").agg(F.array_sort(F.collect_list("cut")).alias("cuts")).collect()
+    return spark.createDataFrame(found, f"label {kinds['label']}, cuts array<struct<h:bigint,key:{kinds['key']}>>")
+
+
+def below_cuts(df: DataFrame, key: str, label: str, cuts: DataFrame, seed: int) -> DataFrame:
+    """``df`` plus ``_below``: how many cuts of its class a row has reached, by comparison where it is read."""
+    own = cuts.withColumnsRenamed({"label": "_label", "cuts": "_cuts"})      # made of what the driver held, one row a class
+    joined = df.join(F.broadcast(own), F.col(label).eqNullSafe(F.col("_label")), "left")
+    here = F.struct(F.xxhash64(F.col(key), F.lit(seed)).alias("h"), F.col(key).alias("key"))
+    return joined.withColumn("_below", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= here)), F.lit(0))).drop("_label", "_cuts")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """``df`` plus ``fold`` 0..k-1; the sizes of a class in the folds differ by at most one."""
-    ranks = class_ranks(df, key, label, seed)
-    folds = ranks.select(key, F.floor(F.col("rank") * k / F.col("n")).cast("int").alias("fold"))
-    return df.join(folds, key)
+    """``df`` plus ``fold`` 0..k-1; the sizes of a class in the folds differ by at most one.
+
+    Rows that repeat a key and label stay together, so a fold may then be larger by as many. Null labels are a class.
+    """
+    cuts = rank_cuts(df, key, label, lambda n: [F.ceil(n * j / k) for j in range(1, k)], seed)
+    return below_cuts(df, key, label, cuts, seed).withColumnRenamed("_below", "fold")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """``df`` plus ``is_test``: the given share of every class."""
-    ranks = class_ranks(df, key, label, seed)
-    test = ranks.select(key, (F.col("rank") < F.round(F.col("n") * test_size)).alias("is_test"))
-    return df.join(test, key)
+    """``df`` plus ``is_test``: the given share of every class; rows that repeat a key stay together."""
+    cuts = rank_cuts(df, key, label, lambda n: [F.round(n * test_size)], seed)
+    return below_cuts(df, key, label, cuts, seed).withColumn("is_test", F.col("_below") == 0).drop("_below")
 
 
 # -- encoders -------------------------------------------------------------------------------------

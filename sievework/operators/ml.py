@@ -7,18 +7,16 @@ many fits share are written once (:func:`cut_lineage`), and only metric rows rea
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import (
     CountVectorizer, ElementwiseProduct, HashingTF, IDF, NGram, Normalizer, OneHotEncoder, RegexTokenizer,
     SQLTransformer, StandardScaler, StopWordsRemover, StringIndexer, VectorAssembler,
@@ -31,6 +29,8 @@ from pyspark.sql import functions as F
 from sievework import fixed_values as fv
 from sievework.operators import metrics
 from sievework.operators.encode import accents, class_weights, stratified_folds, stratified_split
+from sievework.operators.latent import LatentProjection
+from sievework.operators.linear import LOGISTIC, SQUARED_HINGE, NewtonClassifier, lists, sparse_rows
 from sievework.session import cut_lineage
 
 KEY, LABEL = "resource_id", "bid"
@@ -125,10 +125,15 @@ def feature_stages(
     text: Sequence[str] = ("title",), categories: Sequence[str] = ("ca", "procedure"), numbers: Sequence[str] = (),
     codes: str | None = None, **text_options,
 ) -> list:
-    """Text, category, number and code blocks side by side in ``features``."""
+    """Text, category, number and code blocks side by side in ``features``.
+
+    ``vocab_size`` is one size or one for each text column.
+    """
     stages, blocks = [], []
     for column in text:
-        stages += text_stages(column, f"{column}_vector", **text_options)
+        size = text_options.get("vocab_size", 40_000)
+        own = text_options | {"vocab_size": size[column] if isinstance(size, Mapping) else size}
+        stages += text_stages(column, f"{column}_vector", **own)
         blocks.append(f"{column}_vector")
     for column in categories:
         stages += category_stages(column, f"{column}_onehot")
@@ -145,13 +150,25 @@ def feature_stages(
     return [*stages, VectorAssembler(inputCols=blocks, outputCol="features")]
 
 
+def projected_tree_stages(dimensions: int = 120, vocab_size: int = 3000, stop_words: Sequence[str] = (), categories: Sequence[str] = ("ca", "procedure")) -> list:
+    """A tree on the title's latent dimensions, ``title_length`` and one-hot categories."""
+    stages = [
+        *text_stages("title", "title_vector", vocab_size=vocab_size, min_df=1, stop_words=stop_words),
+        LatentProjection("title_vector", "title_latent", dimensions),
+    ]
+    for column in categories:
+        stages += category_stages(column, f"{column}_onehot")
+    blocks = ["title_latent", "title_length", *(f"{c}_onehot" for c in categories)]
+    return [*stages, VectorAssembler(inputCols=blocks, outputCol="features"), classifier("tree")]
+
+
 def classifier(kind: str, features: str = "features", **options):
     """The classifiers in use, weighted by ``weight``."""
     common = {"featuresCol": features, "labelCol": LABEL, "weightCol": "weight"}
     if kind == "logreg":
-        return LogisticRegression(**common, maxIter=options.get("max_iter", 100), regParam=options.get("reg", 0.01))
+        return NewtonClassifier(LOGISTIC, options.get("c", 1.0), features, LABEL)
     if kind == "svm":
-        return LinearSVC(**common, maxIter=options.get("max_iter", 100), regParam=options.get("reg", 0.01))
+        return NewtonClassifier(SQUARED_HINGE, options.get("c", 1.0), features, LABEL)
     if kind == "forest":
         return RandomForestClassifier(
             **common, numTrees=options.get("trees", 50), maxDepth=options.get("depth", 8),
@@ -205,6 +222,18 @@ def fit(stages: Sequence, labelled: DataFrame) -> PipelineModel:
     return without_summary(Pipeline(stages=list(stages)).fit(class_weights(labelled, LABEL)))
 
 
+def fit_many(stages: Callable[[], Sequence], frames: Sequence[DataFrame], parallelism: int = 4) -> list[PipelineModel]:
+    """A model for each frame; the stages are made anew for each, and linear classifiers fitted in the same scans."""
+    weighted = [class_weights(f, LABEL) for f in frames]
+    each = [list(stages()) for _ in frames]
+    last = each[0][-1]
+    if not isinstance(last, NewtonClassifier):
+        return _each([lambda s=s, f=f: without_summary(Pipeline(stages=s).fit(f)) for s, f in zip(each, weighted)], parallelism)
+    prepared = _each([lambda s=s, f=f: Pipeline(stages=s[:-1]).fit(f) for s, f in zip(each, weighted)], parallelism)
+    found = last.fit_many([m.transform(f) for m, f in zip(prepared, weighted)])
+    return [PipelineModel([*m.stages, c]) for m, c in zip(prepared, found)]
+
+
 def score(model, df: DataFrame) -> DataFrame:
     """(resource_id, bid if known, score)."""
     if isinstance(model, CalibratedModel):
@@ -227,28 +256,68 @@ class CalibratedModel:
     sigmoids: list[tuple[float, float]]
 
     def score(self, df: DataFrame) -> DataFrame:
-        known = [LABEL] if LABEL in df.columns else []
-        parts = []
+        """All models pass over the same rows, each with a column of its own."""
+        own, done = [F.col(f"`{c}`") for c in df.columns], []
         for i, (model, (a, b)) in enumerate(zip(self.models, self.sigmoids)):
             raw = model.transform(df)
             p = 1.0 / (1.0 + F.exp(-(F.lit(a) * model_score(raw) + F.lit(b))))
-            parts.append(raw.select(KEY, *known, p.alias("p")))
-        rows = reduce(lambda x, y: x.unionByName(y), parts)
-        return rows.groupBy(KEY, *known).agg(F.avg("p").alias("score"))
+            df = raw.select(*own, *done, p.alias(f"_p{i}"))
+            done.append(F.col(f"_p{i}"))
+        known = [LABEL] if LABEL in df.columns else []
+        return df.select(KEY, *known, (reduce(lambda x, y: x + y, done) / len(done)).alias("score"))
 
 
-def calibrate(stages: Sequence, labelled: DataFrame, folds: int = 3, seed: int = 42) -> CalibratedModel:
+def sigmoids(margins: DataFrame, n: int, steps: int = 30) -> list[tuple[float, float]]:
+    """Slope and offset of the logistic curve over (model, score, bid) for each of ``n`` models.
+
+    Newton's method on smoothed targets; a step is one aggregation of five sums a model, for all models at once.
+    """
+    sizes = {r["model"]: r for r in margins.groupBy("model").agg(F.count_if(F.col(LABEL) == 1).alias("p"), F.count_if(F.col(LABEL) == 0).alias("q")).collect()}
+    p, q = (np.array([float(sizes[i][c]) if i in sizes else 0.0 for i in range(n)]) for c in ("p", "q"))
+    high, low = (p + 1) / (p + 2), 1 / (q + 2)
+    a, b = np.zeros(n), np.log((p + 1) / (q + 1))
+    pick = lambda values: F.get(F.array(*(F.lit(float(v)) for v in values)), F.col("model"))
+
+    def sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x, z = F.col("score"), pick(a) * F.col("score") + pick(b)
+        t = F.when(F.col(LABEL) == 1, pick(high)).otherwise(pick(low))
+        s = 1.0 / (1.0 + F.exp(-z))
+        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - t * z
+        parts = [loss, (s - t) * x, s - t, s * (1 - s) * x * x, s * (1 - s) * x, s * (1 - s)]
+        out = np.zeros((n, len(parts)))
+        for r in margins.groupBy("model").agg(*[F.sum(e).alias(f"s{k}") for k, e in enumerate(parts)]).collect():
+            out[r["model"]] = [r[f"s{k}"] for k in range(len(parts))]
+        return out
+
+    now, size = sums(a, b), np.ones(n)
+    for _ in range(steps):
+        _, ga, gb, haa, hab, hbb = now.T
+        haa, hbb = haa + 1e-12, hbb + 1e-12
+        det = haa * hbb - hab * hab + 1e-300
+        da, db = (ga * hbb - gb * hab) / det, (gb * haa - ga * hab) / det
+        if np.max(np.abs(ga) + np.abs(gb)) < 1e-8:
+            break
+        trial = sums(a - size * da, b - size * db)
+        better = trial[:, 0] <= now[:, 0] + 1e-12
+        a, b = np.where(better, a - size * da, a), np.where(better, b - size * db, b)
+        now, size = np.where(better[:, None], trial, now), np.where(better, 1.0, size / 2)
+        if not better.any() and size.max() < 1e-6:
+            break
+    return list(zip(a.tolist(), b.tolist()))
+
+
+def calibrate_many(stages: Callable[[], Sequence], frames: Sequence[DataFrame], folds: int = 3, seed: int = 42) -> list[CalibratedModel]:
+    """A calibrated model for each frame; the fits of all folds of all frames share their scans."""
+    parts = [cut_lineage(stratified_folds(f, KEY, LABEL, folds, seed)) for f in frames]
+    models = fit_many(stages, [p.where(F.col("fold") != i) for p in parts for i in range(folds)])
+    held = [score(models[k * folds + i], p.where(F.col("fold") == i)).select(F.lit(k * folds + i).alias("model"), "score", LABEL) for k, p in enumerate(parts) for i in range(folds)]
+    curves = sigmoids(cut_lineage(reduce(DataFrame.unionByName, held)), len(models))
+    return [CalibratedModel(models[k:k + folds], curves[k:k + folds]) for k in range(0, len(models), folds)]
+
+
+def calibrate(stages: Sequence | Callable[[], Sequence], labelled: DataFrame, folds: int = 3, seed: int = 42) -> CalibratedModel:
     """Sigmoid calibration: each fold's model is calibrated on the part it has not seen."""
-    parts = cut_lineage(stratified_folds(labelled, KEY, LABEL, folds, seed))
-    models, sigmoids = [], []
-    for i in range(folds):
-        model = fit(stages, parts.where(F.col("fold") != i))
-        held = score(model, parts.where(F.col("fold") == i))
-        margins = held.withColumn("features", array_to_vector(F.array("score")))
-        sigmoid = LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=100).fit(margins)
-        models.append(model)
-        sigmoids.append((float(sigmoid.coefficients[0]), float(sigmoid.intercept)))
-    return CalibratedModel(models, sigmoids)
+    return calibrate_many(stages if callable(stages) else lambda: stages, [labelled], folds, seed)[0]
 
 
 def _each(jobs: Sequence[Callable], parallelism: int) -> list:
@@ -256,41 +325,45 @@ def _each(jobs: Sequence[Callable], parallelism: int) -> list:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
-Trainer = Callable[[DataFrame], object]
+@dataclass
+class Trainer:
+    """From labelled frames to models, as many as there are frames in the scans of one."""
+
+    stages: Callable[[], Sequence]
+    calibrated: bool = False
+
+    def many(self, frames: Sequence[DataFrame]) -> list:
+        return calibrate_many(self.stages, frames) if self.calibrated else fit_many(self.stages, frames)
+
+    def __call__(self, labelled: DataFrame):
+        return self.many([labelled])[0]
 
 
 def trainer(stages: Callable[[], Sequence], calibrated: bool = False) -> Trainer:
-    """A function from a labelled frame to a model; the stages are made anew for every fit."""
-    return (lambda df: calibrate(stages(), df)) if calibrated else (lambda df: fit(stages(), df))
+    return Trainer(stages, calibrated)
 
 
-def oof_predictions(
-    train: Trainer, labelled: DataFrame, folds: int = 5, seed: int = 42, parallelism: int = 2
-) -> DataFrame:
+def oof_predictions(train: Trainer, labelled: DataFrame, folds: int = 5, seed: int = 42) -> DataFrame:
     """Every row scored by the model that has not seen it."""
     parts = cut_lineage(stratified_folds(labelled, KEY, LABEL, folds, seed))
-
-    def job(i: int):
-        model = train(parts.where(F.col("fold") != i).drop("fold"))
-        return score(model, parts.where(F.col("fold") == i)).withColumn("fold", F.lit(i))
-
-    frames = _each([lambda i=i: job(i) for i in range(folds)], parallelism)
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    models = train.many([parts.where(F.col("fold") != i).drop("fold") for i in range(folds)])
+    frames = [score(m, parts.where(F.col("fold") == i)).withColumn("fold", F.lit(i)) for i, m in enumerate(models)]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def as_scored(oof: DataFrame) -> DataFrame:
     return oof.select("score", F.col(LABEL).alias("y"))
 
 
-def fold_metrics(oof: DataFrame, threshold: float) -> DataFrame:
+def fold_metrics(oof: DataFrame, threshold: float, by: Sequence[str] = ("fold",)) -> DataFrame:
     """Accuracy and F1 per fold."""
     p, y = F.col("score") >= threshold, F.col(LABEL) == 1
-    counted = oof.groupBy("fold").agg(
+    counted = oof.groupBy(*by).agg(
         F.count_if(p & y).alias("tp"), F.count_if(p & ~y).alias("fp"), F.count_if(~p & y).alias("fn"), F.count_if(~p & ~y).alias("tn")
     )
     tp, fp, fn, tn = (F.col(c) for c in metrics.COUNTS)
     return counted.select(
-        "fold", metrics.ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"), metrics.ratio(2 * tp, 2 * tp + fp + fn).alias("f1")
+        *by, metrics.ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"), metrics.ratio(2 * tp, 2 * tp + fp + fn).alias("f1")
     )
 
 
@@ -305,26 +378,18 @@ def cv_scores(train: Trainer, labelled: DataFrame, folds: int = 5, threshold: fl
 
 def learning_curve(
     train: Trainer, labelled: DataFrame, sizes: Sequence[float], folds: int = 5, threshold: float = 0.5, seed: int = 42,
-    parallelism: int = 2,
 ) -> DataFrame:
     """Train and test F1 for growing shares of the training part, nested by hash."""
     parts = cut_lineage(stratified_folds(labelled, KEY, LABEL, folds, seed).withColumn(
         "_u", (F.pmod(F.xxhash64(F.col(KEY), F.lit(seed + 1)), F.lit(1_000_000)) + 1) / F.lit(1_000_000.0)
     ))
-
-    def job(size: float, i: int):
-        used = parts.where((F.col("fold") != i) & (F.col("_u") <= size)).drop("fold", "_u")
-        model = train(used)
-        rows = []
-        for name, frame in (("train", used), ("test", parts.where(F.col("fold") == i).drop("fold", "_u"))):
-            scored = score(model, frame).withColumn("fold", F.lit(i))
-            rows.append(fold_metrics(scored, threshold).select(
-                F.lit(float(size)).alias("size"), "fold", F.lit(name).alias("part"), "f1", "accuracy"
-            ))
-        return rows[0].unionByName(rows[1])
-
-    jobs = [lambda s=s, i=i: job(s, i) for s in sizes for i in range(folds)]
-    each = reduce(lambda a, b: a.unionByName(b), _each(jobs, parallelism))
+    jobs = [(size, i) for size in sizes for i in range(folds)]
+    used = [parts.where((F.col("fold") != i) & (F.col("_u") <= size)).drop("fold", "_u") for size, i in jobs]
+    scored = []
+    for (size, i), frame, model in zip(jobs, used, train.many(used)):
+        for name, rows in (("train", frame), ("test", parts.where(F.col("fold") == i).drop("fold", "_u"))):
+            scored.append(score(model, rows).select(F.lit(float(size)).alias("size"), F.lit(i).alias("fold"), F.lit(name).alias("part"), "score", LABEL))
+    each = fold_metrics(reduce(DataFrame.unionByName, scored), threshold, ("size", "part", "fold"))
     return each.groupBy("size", "part").agg(F.avg("f1").alias("f1"), F.stddev_pop("f1").alias("f1_std"), F.avg("accuracy").alias("accuracy"))
 
 
@@ -404,39 +469,54 @@ def coef_report(model: PipelineModel, df: DataFrame, k: int = 10) -> DataFrame:
     ).unionByName(pick(F.asc("weight"), "negative"))
 
 
-def block_ablation(
-    model, df: DataFrame, blocks: dict[str, Sequence[str]], threshold: float = 0.5
-) -> DataFrame:
-    """Accuracy with each block of columns blanked, and what it costs against the full frame."""
-    kinds = dict(df.dtypes)
-    blank = lambda c: F.array().cast(kinds[c]) if kinds[c].startswith("array") else F.lit("" if kinds[c] == "string" else 0).cast(kinds[c])
-    frames = {"full": df} | {name: df.withColumns({c: blank(c) for c in cols}) for name, cols in blocks.items()}
-    scored = [score(model, f).withColumn("variant", F.lit(name)) for name, f in frames.items()]
-    rows = reduce(lambda a, b: a.unionByName(b), scored)
-    right = (F.col("score") >= threshold) == (F.col(LABEL) == 1)
-    accuracy = rows.groupBy("variant").agg(F.avg(right.cast("double")).alias("accuracy"))
-    full = accuracy.where("variant = 'full'").select("accuracy").scalar()
-    return accuracy.withColumn("drop", full - F.col("accuracy"))
-
-
-def svd_project(vectors: DataFrame, column: str, k: int, key: str = KEY, output: str = "projected") -> tuple[DataFrame, list[float]]:
-    """Rows in the first ``k`` latent dimensions, and the singular values.
-
-    The terms are capped by the vocabulary, so the right vectors (terms x k) are small; the rows
-    are projected where they are.
-    """
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    rows = vectors.select(column).rdd.map(lambda r: OldVectors.fromML(r[0]))
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    axes = svd.V.toArray()
-
-    @F.pandas_udf("array<double>")
-    def project(rows: pd.Series) -> pd.Series:
-        return pd.Series(list(np.stack(rows.to_list()) @ axes)) if len(rows) else rows
-
-    return vectors.withColumn(output, project(vector_to_array(column))), [float(s) for s in svd.s]
+def block_margins(model: PipelineModel, df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(key, label, parts): what each block of features adds to the margin of a linear model, and the blocks' names."""
+    names = block_names(model, df)
+    blocks = list(dict.fromkeys(b for b, _ in names))
+    place = {b: k for k, b in enumerate(blocks)}
+    owner, weights = np.array([place[b] for b, _ in names]), model.stages[-1].coefficients.toArray()
+    held = df.sparkSession.sparkContext.broadcast((owner, weights))
+    vectors = PipelineModel(model.stages[:-1]).transform(df)
+
+    def sums(batches):
+        owner, weights = held.value
+        n = len(blocks)
+        for batch in batches:
+            places, x, row = lists(batch)
+            parts = np.bincount(row * n + owner[places], x * weights[places], batch.num_rows * n)
+            bounds = pa.array(np.arange(batch.num_rows + 1) * n, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(KEY), batch.column(LABEL), pa.ListArray.from_arrays(bounds, pa.array(parts))], names=[KEY, LABEL, "parts"])
+
+    rows = sparse_rows(vectors, model.stages[-1].getFeaturesCol(), [KEY, LABEL])
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(sums, f"{KEY} {kinds[KEY]}, {LABEL} {kinds[LABEL]}, parts array<double>"), blocks
+
+
+def ablation_rows(margins: DataFrame, blocks: Sequence[str], intercept: float, variants: dict[str, Sequence[str]], limit: float = 0.0) -> DataFrame:
+    """(variant, accuracy, drop) from the parts of the margins, in one pass; a row is positive from ``limit`` on."""
+    total = F.aggregate("parts", F.lit(float(intercept)), lambda a, x: a + x)
+
+    def right(omitted: Sequence[str]) -> Column:
+        left_out = reduce(lambda a, b: a + b, [F.get("parts", F.lit(blocks.index(b))) for b in omitted], F.lit(0.0))
+        return ((total - left_out >= limit) == (F.col(LABEL) == 1)).cast("double")
+
+    every = {"full": (), **variants}
+    one = margins.agg(*[F.avg(right(v)).alias(f"v{k}") for k, v in enumerate(every.values())])
+    rows = F.array(*[F.struct(F.lit(name).alias("variant"), F.col(f"v{k}").alias("accuracy"), (F.col("v0") - F.col(f"v{k}")).alias("drop")) for k, name in enumerate(every)])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def block_ablation(model: PipelineModel, df: DataFrame, variants: dict[str, Sequence[str]]) -> DataFrame:
+    """Accuracy of a linear model with blocks of features left out, and what it costs against the full margin."""
+    margins, blocks = block_margins(model, df)
+    return ablation_rows(margins, blocks, model.stages[-1].intercept, variants)
+
+
+def svd_project(vectors: DataFrame, column: str, k: int, output: str = "projected") -> tuple[DataFrame, list[float]]:
+    """Rows in the first ``k`` latent dimensions as an array, and the singular values."""
+    model = LatentProjection(column, "_latent", k).fit(vectors)
+    projected = model.transform(vectors).withColumn(output, vector_to_array("_latent")).drop("_latent")
+    return projected, [float(v) for v in model.singular_values]
 
 
 # -- keeping a model ------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -25,8 +26,8 @@ def labelled(spark):
     ).cache()
 
 
-STAGES = lambda: [*ml.feature_stages(min_df=2), ml.classifier("logreg", max_iter=20)]
-SVM = lambda: [*ml.feature_stages(min_df=2), ml.classifier("svm", max_iter=10)]
+STAGES = lambda: [*ml.feature_stages(min_df=2), ml.classifier("logreg")]
+SVM = lambda: [*ml.feature_stages(min_df=2), ml.classifier("svm")]
 
 
 def test_folds_cover_and_balance(labelled):
@@ -39,6 +40,32 @@ def test_folds_cover_and_balance(labelled):
     assert folds.join(again, ["resource_id", "fold"], "left_semi").count() == 300
 
 
+@pytest.mark.parametrize("bits,most", [(16, 1 << 20), (2, 3), (16, 0)])
+def test_cuts_are_exact_ranks(spark, bits, most):
+    rows = [(k % 37 if k < 100 else k, (None, "a", "b")[k % 3] if k > 20 else "c") for k in range(400)]
+    df = spark.createDataFrame(rows, "key long, label string")
+    hashed = df.select("label", F.xxhash64("key", F.lit(42)).alias("h"), "key").collect()
+    ranks = lambda n: [F.ceil(n / 3), F.ceil(n * 2 / 3), n]
+    got = {r["label"]: [tuple(c) for c in r["cuts"]] for r in encode.rank_cuts(df, "key", "label", ranks, bits=bits, most=most).collect()}
+    for label in (None, "a", "b", "c"):
+        own = sorted((r["h"], r["key"]) for r in hashed if r["label"] == label)
+        n = len(own)
+        assert got[label] == [own[-(-n // 3)], own[-(-2 * n // 3)]]
+
+
+def test_repeated_keys_keep_their_number(spark):
+    df = spark.createDataFrame([(1, 0), (1, 0), (2, 0), (3, 1), (None, 1), (4, None)], "key long, label int")
+    for split in (encode.stratified_folds(df, "key", "label", 2), encode.stratified_split(df, "key", "label", 0.5)):
+        assert sorted((str(r["key"]), str(r["label"])) for r in split.collect()) == sorted((str(a), str(b)) for a, b in df.collect())
+    assert encode.stratified_folds(df.limit(0), "key", "label").collect() == []
+
+
+def test_folds_read_keys_only(labelled):
+    """The frame itself passes no exchange."""
+    folds = encode.stratified_folds(labelled, "resource_id", "bid", 5)
+    assert "Exchange hashpartitioning" not in folds._jdf.queryExecution().executedPlan().toString()
+
+
 def test_split_shares(labelled):
     got = {(r["bid"], r["is_test"]): r["n"] for r in encode.stratified_split(labelled, "resource_id", "bid").groupBy("bid", "is_test").agg(
         F.count(F.lit(1)).alias("n")).collect()}
@@ -95,12 +122,37 @@ def test_out_of_fold_scores(labelled):
 
 
 def test_calibration_keeps_the_order(labelled):
-    model = ml.calibrate(SVM(), labelled)
+    model = ml.calibrate(SVM, labelled)
     assert len(model.models) == 3 and all(a > 0 for a, _ in model.sigmoids)
     scores = model.score(labelled)
     assert scores.count() == 300 and scores.where("score <= 0 OR score >= 1").count() == 0
 
 
+def test_sigmoids_are_optimal(spark):
+    rng = np.random.default_rng(0)
+    rows = [(m, float(x), int(rng.random() < 1 / (1 + math.exp(-(2 * x - m))))) for m in range(3) for x in rng.normal(size=200)]
+    for m, (a, b) in enumerate(ml.sigmoids(spark.createDataFrame(rows, "model int, score double, bid int"), 3)):
+        x, y = np.array([r[1] for r in rows if r[0] == m]), np.array([r[2] for r in rows if r[0] == m])
+        t = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+        slope = 1 / (1 + np.exp(-(a * x + b))) - t
+        assert abs((slope * x).sum()) < 1e-6 and abs(slope.sum()) < 1e-6 and a > 0
+
+
+def test_calibrated_scores_keep_repeated_keys(spark, labelled):
+    model = ml.calibrate(SVM, labelled)
+    twice = labelled.limit(5).union(labelled.limit(5))
+    assert model.score(twice).count() == 10
+
+
+def test_tree_on_projected_titles(spark, labelled, tmp_path):
+    df = labelled.withColumn("title_length", F.length("title").cast("double"))
+    model = ml.fit(ml.projected_tree_stages(dimensions=4), df)
+    ml.save_model(spark, model, str(tmp_path / "tree"), 0.5, ["title"])
+    loaded = ml.load_model(spark, str(tmp_path / "tree")).model
+    a, b = ({r["resource_id"]: r["score"] for r in ml.score(m, df).collect()} for m in (model, loaded))
+    assert a == b and metrics.roc_auc(ml.score(model, df).select("score", F.col("bid").alias("y"))).first()["auc"] > 0.8
+
+
 def test_saved_model_scores_the_same(spark, labelled, tmp_path):
     model = ml.fit(STAGES(), labelled)
     ml.save_model(spark, model, str(tmp_path / "m"), 0.3, ["title"])
@@ -127,8 +179,14 @@ def test_unseen_categories_do_not_fail(spark, labelled):
 
 def test_ablation_and_coefficients(labelled):
     model = ml.fit(STAGES(), labelled)
-    rows = {r["variant"]: r for r in ml.block_ablation(model, labelled, {"no text": ["title"]}).collect()}
-    assert rows["full"]["drop"] == 0 and rows["no text"]["drop"] > 0
+    rows = {r["variant"]: r for r in ml.block_ablation(model, labelled, {"no text": ["title_vector"], "nothing": []}).collect()}
+    assert rows["full"]["drop"] == rows["nothing"]["drop"] == 0 and rows["no text"]["drop"] > 0
+    scored = ml.score(model, labelled)
+    right = scored.where((F.col("score") >= 0.5) == (F.col("bid") == 1)).count() / 300
+    assert abs(rows["full"]["accuracy"] - right) < 1e-12
+    margins, blocks = ml.block_margins(model, labelled)
+    total = {r["resource_id"]: sum(r["parts"]) + model.stages[-1].intercept for r in margins.collect()}
+    assert all(abs(1 / (1 + math.exp(-total[r["resource_id"]])) - r["score"]) < 1e-9 for r in scored.collect()) and len(blocks) == 3
     report = ml.coef_report(model, labelled, k=3).collect()
     assert {r["block"] for r in report if r["kind"] == "norm"} == {"title_vector", "ca_onehot", "procedure_onehot"}
     assert {"software", "support", "software support"} & {r["feature"] for r in report if r["kind"] == "positive"}
@@ -141,8 +199,14 @@ def test_train_and_choose(labelled):
 
 
 def test_projection(spark):
-    rows = [(i, Vectors.sparse(4, {0: float(i), 1: 1.0})) for i in range(1, 9)]
+    rng = np.random.default_rng(3)
+    dense = rng.normal(size=(60, 5)) @ rng.normal(size=(5, 30)) * (rng.random((60, 30)) < 0.4)
+    rows = [(i, Vectors.sparse(30, [(j, v) for j, v in enumerate(r) if v]) if i % 2 else Vectors.dense(r)) for i, r in enumerate(dense)]
     df = spark.createDataFrame(rows, ["resource_id", "features"])
-    out, singular = ml.svd_project(df, "features", 2)
-    lengths = [sum(x * x for x in r["projected"]) for r in out.collect()]
-    assert abs(sum(lengths) - sum(s * s for s in singular)) < 1e-6 and out.count() == 8
+    out, singular = ml.svd_project(df, "features", 3)
+    _, want, axes = np.linalg.svd(dense)
+    assert np.allclose(singular, want[:3], rtol=1e-4)
+    got = np.array([r["projected"] for r in out.orderBy("resource_id").collect()])
+    assert np.allclose(np.abs(got), np.abs(dense @ axes[:3].T), atol=1e-2 * want[0])
+    model = ml.LatentProjection("features", "p", 3).fit(df)
+    assert np.allclose(model.pc.toArray().T @ model.pc.toArray(), np.eye(3), atol=1e-9)
