@@ -372,6 +372,7 @@ RESULTS: dict[str, str] = {
         "resource_id bigint, processing_stage string, decision string, ml_status string, "
         "ml_confidence double, ml_reasoning string, category string"
     ),
+    "redrive_quarantine": "sink string, status string, n bigint",
     "stream_chain": "sink string, status string, n bigint",
     "stream_hourly": "hour string, processed bigint, successful bigint, failed bigint",
     "stream_dedupe": "event_id bigint, event_type string, value double",

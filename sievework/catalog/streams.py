@@ -73,6 +73,31 @@ def _(t):
     return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
 
 
+@query("redrive_quarantine", with_(*BASE, SCORES, STAGES, select="""
+SELECT 'notices' AS sink, 'stored' AS status, count(*) AS n FROM staged WHERE resource_id % 100 <> 50
+UNION ALL SELECT 'dead_letters', 'not parseable', count(*) FROM staged WHERE resource_id % 100 = 50
+UNION ALL SELECT 'scored', ml_status, count(*) FROM staged WHERE resource_id % 100 = 0 AND stage = 'ml_prediction' GROUP BY 2"""))
+def _(t):
+    """Bodies without their end are held, tried again, and mended at the second try; those cut in half never are."""
+    folder, spark, key = _folder(t), t.spark, F.col("resource_id")
+    sinks = chain.Sinks(f"{folder}/out")
+    body = t.notices.select("resource_id", F.to_json(F.struct(*FIELDS)).alias("body"))
+    cut = F.when(key % 100 == 50, F.expr("substring(body, 1, length(body) div 2)")).when(key % 100 == 0, F.expr("substring(body, 1, length(body) - 1)"))
+    chain.ingest_batch(body.select(F.coalesce(cut, "body").alias("body")), 0, sinks, RECORD)
+    for mend in (None, lambda bodies: bodies.withColumn("body", F.concat("body", F.lit("}")))):
+        chain.run_to_end(lambda: chain.start_redrive(
+            spark, sinks.root, f"{folder}/checkpoint", RECORD, t.doc_content, t.detector,
+            F.lit(AS_OF).cast("timestamp_ntz"), TEST_LEXICON, t.authorities, mend=mend))
+    count = F.count(F.lit(1)).alias("n")
+    read = lambda name, fields: sinks.read(spark, name, T._parse_datatype_string(fields))
+    parts = [
+        read("notices", "resource_id bigint").select(F.lit("notices").alias("sink"), F.lit("stored").alias("status")),
+        read("dead_letters", "reason string").select(F.lit("dead_letters").alias("sink"), F.col("reason").alias("status")),
+        read("scored", "ml_status string").select(F.lit("scored").alias("sink"), F.col("ml_status").alias("status")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("sink", "status").agg(count)
+
+
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
 

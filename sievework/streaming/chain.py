@@ -53,20 +53,26 @@ class Sinks:
 def read_bodies(spark: SparkSession, folder: str, files_per_batch: int = 10) -> DataFrame:
     """Message bodies, one per line, a bounded number of files at a time."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
-    return lines.select(F.col("value").alias("body"))
+    came = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
+    return lines.select(F.col("value").alias("body"), came.alias("arrival"))
 
 
 def ingest_batch(
     bodies: DataFrame, batch_id: int, sinks: Sinks, schema: T.StructType, max_attempts: int = 3
 ) -> DataFrame:
-    """Parse, set bad bodies aside, drop known keys, store the rest; returns the new notices."""
+    """Parse, set bad bodies aside, drop known keys, store the rest; returns the new notices.
+
+    Of several bodies with one key the last counts: by ``arrival``, where the bodies have it, and by their order.
+    Bodies with an ``attempt`` were tried as often before.
+    """
     spark = bodies.sparkSession
     parsed = messages.parse_messages(bodies, schema)
     held = messages.quarantined(parsed)
     again, dead = messages.retry_candidates(held, max_attempts)
     sinks.write(again, "quarantine", batch_id)
     sinks.write(dead, "dead_letters", batch_id)
-    good = messages.good_records(parsed).withColumn("_arrival", F.monotonically_increasing_id())
+    order = F.struct(*(["arrival"] if "arrival" in parsed.columns else []), F.monotonically_increasing_id())
+    good = messages.good_records(parsed.withColumn("record", F.col("record").withField("_arrival", order)))
     single = upsert.latest_by_key(good, "resource_id", "_arrival").drop("_arrival")
     stored = sinks.read(spark, "notices", single.schema).where(F.col("batch") != batch_id)
     fresh = upsert.filter_new_records(single, stored)
@@ -111,6 +117,32 @@ def start_chain(
     return bodies.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+HELD = "body string, reason string, attempt int, batch long"
+
+
+def start_redrive(
+    spark: SparkSession, root: str, checkpoint: str, schema: T.StructType, docs: DataFrame, detect: screening.Detector,
+    now: Column, lexicon: Lexicon | None = None, authorities: Mapping[str, int] | None = None,
+    mend: Callable[[DataFrame], DataFrame] | None = None, max_attempts: int = 3, trigger: Mapping = DAILY,
+) -> StreamingQuery:
+    """Try the held messages of the chain at ``root`` again.
+
+    Each run takes what has come into the quarantine since the last one, so the time between runs is the
+    delay between tries. A message that can be read now goes on like any other, one that cannot returns
+    to the quarantine with one try more, and after ``max_attempts`` to the dead letters. ``mend`` may repair bodies
+    or change how they are read; batches have negative numbers, apart from those of the chain.
+    """
+    sinks = Sinks(root)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        bodies = batch.select("body", "attempt")
+        fresh = ingest_batch(mend(bodies) if mend else bodies, -1 - batch_id, sinks, schema, max_attempts)
+        score_batch(fresh, -1 - batch_id, sinks, docs, detect, now, lexicon, authorities)
+
+    held = spark.readStream.schema(HELD).parquet(sinks.path("quarantine"))
+    return held.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def hourly_stream(events: DataFrame, ts: str, success: Column, failed: Column, lateness: str = "1 hour") -> DataFrame:
     """Hourly counts on a stream; the watermark bounds the hours kept open."""
     timed = events.withColumn(ts, F.col(ts).cast("timestamp"))  # a watermark needs an instant

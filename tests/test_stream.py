@@ -62,6 +62,43 @@ def test_chain_runs_and_resumes(spark, tmp_path, tables):
     assert spark.read.parquet(sinks.path("notices")).count() == 5
 
 
+def test_held_messages_are_tried_again(spark, tmp_path, tables):
+    docs, detect = tables
+    sinks = chain.Sinks(str(tmp_path / "out"))
+    chain.ingest_batch(spark.createDataFrame([(body(1),), (body(3)[:-1],), ("no json",)], "body string"), 0, sinks, SCHEMA)
+    close = lambda bodies: bodies.withColumn("body", F.concat("body", F.lit("}")))
+
+    def redrive(mend=None):
+        chain.run_to_end(lambda: chain.start_redrive(spark, sinks.root, str(tmp_path / "again"), SCHEMA, docs, detect, now(), mend=mend))
+        read = lambda name, kind: spark.read.schema(kind).parquet(sinks.path(name)).collect()
+        held = {(r["body"], r["attempt"]) for r in read("quarantine", chain.HELD)}
+        dead = {r["body"] for r in read("dead_letters", chain.HELD)}
+        return held, dead, sorted(r["resource_id"] for r in sinks.read(spark, "notices", SCHEMA).collect())
+
+    bad = {body(3)[:-1], "no json"}
+    held, dead, known = redrive()
+    assert held == {(b, n) for b in bad for n in (1, 2)} and not dead and known == [1]
+    held, dead, known = redrive(close)
+    assert dead == {"no json}"} and known == [1, 3]
+    assert redrive(close)[1:] == (dead, known)            # nothing is left
+    assert {r["resource_id"] for r in spark.read.parquet(sinks.path("scored")).collect()} == {3}
+
+
+def test_the_last_file_counts(spark, tmp_path):
+    """Of two bodies with one key the one in the later file counts, however files are packed."""
+    import os
+    (tmp_path / "in").mkdir()
+    for name, title, at in (("a.txt", "late", 2_000_000_000), ("b.txt", "early", 1_900_000_000)):
+        (tmp_path / "in" / name).write_text(body(1, title))
+        os.utime(tmp_path / "in" / name, (at, at))
+    sinks = chain.Sinks(str(tmp_path / "out"))
+    stream = chain.read_bodies(spark, str(tmp_path / "in"))
+    query = stream.writeStream.foreachBatch(lambda b, i: chain.ingest_batch(b, i, sinks, SCHEMA)).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    assert query.awaitTermination(120)
+    assert [r["title"] for r in sinks.read(spark, "notices", SCHEMA).collect()] == ["late"]
+
+
 def test_hourly_stream_equals_the_batch(spark, tmp_path):
     events = spark.range(500).select(
         (F.lit("2025-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") * 7).cast("int"))).alias("ts"),
