@@ -17,12 +17,16 @@ whole.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.llm.common import stored
+
 WINDOW = 8                      # words, a power of two
 LEAST_PLAIN = 4                 # words of a window that are no placeholders
-BROADCAST_WINDOWS = 200_000     # benchmark windows that are sent to all tasks; more are joined by shuffle
+BLOCK_WINDOWS = 200_000         # benchmark windows that are sent to all tasks at once; whole items make a block
 
 START = "\ue002"                # marks the first word of a sentence
 SENTENCE_END = "[.!?:]+[\"')]*[ \t\r\n]+[^\\p{L}\\p{N}]*"
@@ -80,36 +84,45 @@ def hashed(rows: DataFrame, name: str, typed: tuple[str, ...], window: int) -> D
     return rows.withColumn(name, F.slice(name, 1, F.greatest(F.size("words") - (window - 1), F.lit(0)))).drop("one")
 
 
-def windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row for each window: its hash, place, the values under its placeholders (null if none),
-    whether it takes the capital of a sentence for a name (``guess``), and whether it is a further form
-    with the words in place of the placeholders (``literal``).
+FORMS = {"bare": (), "plain": VALUES, "named": NAMES, "guessed": GUESSES}
+
+
+def hashed_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """One row for each window and form that differs from the form before: ``hash``, place (``at``) and ``form``.
 
-    Windows come in each form that differs from the form before. ``n_words`` is that of the text.
+    Only bare numbers are spread, so what stays together with them, the words and the hashes of each form, is
+    not copied unless a row goes on; :func:`described` needs it. ``n_words`` is that of the text.
     """
+    keys = [c for c in rows.columns if c != "text"]
     rows = with_words(rows)
-    for name, typed in (("bare", ()), ("plain", VALUES), ("named", NAMES), ("guessed", GUESSES)):
+    for name, typed in FORMS.items():
         rows = hashed(rows, name, typed, window)
+    nothing = F.array_repeat(F.lit(None).cast("bigint"), F.size("bare"))
+    every = F.concat(*(F.coalesce(name, nothing) for name in FORMS))
+    rows = rows.select(*keys, F.size("words").alias("n_words"), "words", "kinds", *FORMS, F.posexplode(every).alias("place", "hash"))
+    rows = rows.where("hash is not null").withColumns({"form": (F.col("place") / F.size("bare")).cast("int"), "at": (F.col("place") % F.size("bare")).cast("int")})
+    same = lambda *before: F.coalesce(F.get(F.coalesce(*before), "at") == F.col("hash"), F.lit(False))
+    again = F.when(F.col("form") == 0, same("plain")).when(F.col("form") == 2, same("plain", "bare")).when(F.col("form") == 3, same("named", "plain", "bare"))
+    return rows.where(~F.coalesce(again, F.lit(False))).drop("place")
+
+
+def described(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The windows with the values under their placeholders (``slots``, null if none), whether they take the
+    capital of a sentence for a name (``guess``), and whether they are a further form with the words in
+    place of the placeholders (``literal``).
+    """
+    kinds, words = F.slice("kinds", F.col("at") + 1, F.lit(window)), F.slice("words", F.col("at") + 1, F.lit(window))
+    slots = lambda typed: F.zip_with(words, kinds, lambda w, k: F.when(k.isin(*typed), w))
+    form = F.col("form")
+    literal = (form == 0) & F.col("plain").isNotNull()
+    values = F.when(literal | ((form == 1) & (F.col("hash") != F.get("bare", "at"))), slots(VALUES)).when(form == 2, slots(NAMES)).when(form == 3, slots(GUESSES))
+    rows = rows.withColumns({"slots": values, "guess": form == 3, "literal": literal})
+    return rows.drop("words", "kinds", "form", *FORMS)
 
-    def slots(at: Column, typed: tuple[str, ...]) -> Column:
-        kinds, words = F.slice("kinds", at + 1, window), F.slice("words", at + 1, window)
-        return F.zip_with(words, kinds, lambda w, k: F.when(k.isin(*typed), w))
-
-    def row(hash_: Column, at: Column, values: Column, guess: bool = False, literal: bool = False) -> Column:
-        return F.struct(hash_.alias("hash"), at.alias("at"), values.alias("slots"), F.lit(guess).alias("guess"), F.lit(literal).alias("literal"))
-
-    def others(name: str, typed: tuple[str, ...], before: Column, **form: bool) -> Column:
-        differing = F.transform(name, lambda h, i: F.when(h != F.get(before, i), row(h, i, slots(i, typed), **form)))
-        return F.coalesce(F.array_compact(differing), F.array().cast("array<struct<hash:bigint,at:int,slots:array<string>,guess:boolean,literal:boolean>>"))
 
-    nothing = F.lit(None).cast("array<string>")
-    bare = F.transform("bare", lambda h, i: row(h, i, nothing))
-    plain = F.transform("plain", lambda h, i: row(h, i, F.when(h != F.get("bare", i), slots(i, VALUES))))
-    every = F.when(F.col("kinds").isNull(), bare).otherwise(F.concat(
-        F.coalesce(plain, bare), others("bare", VALUES, F.col("plain"), literal=True),
-        others("named", NAMES, F.coalesce("plain", "bare")), others("guessed", GUESSES, F.coalesce("named", "plain", "bare"), guess=True)))
-    keys = [c for c in rows.columns if c not in ("words", "kinds", "bare", "plain", "named", "guessed")]
-    return rows.select(*keys, F.size("words").alias("n_words"), F.explode(every).alias("w")).select(*keys, "n_words", "w.*")
+def windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """One row for each window of the texts; see :func:`hashed_windows` and :func:`described`."""
+    return described(hashed_windows(rows, window), window)
 
 
 def short_sizes(benchmark: DataFrame) -> list[int]:
@@ -131,7 +144,7 @@ def item_windows(benchmark: DataFrame, sizes: list[int]) -> DataFrame:
     typed = (values == 0) | (F.col("size") - values >= LEAST_PLAIN)
     found = found.where(typed != F.col("literal"))
     slots = F.when(~F.col("literal"), F.col("slots")).alias("item_slots")
-    return found.select("item_id", "item_row", F.col("at").alias("item_at"), "hash", slots, F.col("guess").alias("item_guess")).distinct()
+    return found.select("item_id", "item_row", "size", F.col("at").alias("item_at"), "hash", slots, F.col("guess").alias("item_guess")).distinct()
 
 
 def distinct_pairs(met: Column) -> Column:
@@ -171,14 +184,16 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     an id of its own.
     """
     sizes = short_sizes(benchmark)
-    items = item_windows(benchmark, sizes)
-    if items.count() <= BROADCAST_WINDOWS:
-        items = F.broadcast(items)
+    items = stored(item_windows(benchmark, sizes), "item-windows")
+    n_blocks = -(-items.count() // BLOCK_WINDOWS)
     rows = documents.select("doc_id", F.xxhash64("text").alias("doc_row"), "text")
-    found = windows(rows)
-    for size in sizes:
-        found = found.union(windows(rows, size))
-    met = found.join(items, "hash")
+    found = []
+    for block in range(max(n_blocks, 1)):
+        own = items.where(F.pmod(F.xxhash64("item_id", "item_row"), F.lit(max(n_blocks, 1))) == block)
+        for size in (WINDOW, *sizes):
+            met = hashed_windows(rows, size).join(F.broadcast(own.where(F.col("size") == size).drop("size")), "hash")
+            found.append(described(met, size))
+    met = reduce(DataFrame.unionByName, found)
     values = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     pairs = F.filter(F.coalesce(values, F.array().cast("array<struct<item:string,doc:string>>")), lambda p: p["item"].isNotNull())
     met = met.select("doc_id", "doc_row", "item_id", "item_row", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", pairs.alias("pairs"), (F.col("guess") | F.col("item_guess")).alias("guess")).alias("w"))
