@@ -266,6 +266,40 @@ def test_toxicity_finds_planted_words(spark, nothing, odd):
     assert toxicity.score(nothing, toxicity.fit(nothing, marks)).collect() == []
 
 
+def test_toxicity_learns_nothing_from_other_labels(spark, monkeypatch):
+    """Labels of rows outside ``documents`` change no score, also where only a share of the rows is drawn."""
+    monkeypatch.setattr(toxicity, "SAMPLE_POSITIVE", 40)
+    monkeypatch.setattr(toxicity, "SAMPLE_NEGATIVE", 60)
+    monkeypatch.setattr(toxicity, "STEPS", 20)
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choices(["ab", "cd", "ef", "zorkle" if i % 4 == 0 else "gh"], k=12)), "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    own = [(i, int(i % 4 == 0)) for i in range(400)]
+    others = [(i, i % 2) for i in range(1000, 3000)]
+    a, b = (toxicity.fit(docs.union(docs.limit(20)), spark.createDataFrame(labels, "doc_id long, toxic int")) for labels in (own, own + others))
+    assert (a.table == b.table).all() and (a.scale, a.offset, a.thresholds) == (b.scale, b.offset, b.thresholds)
+
+
+def test_toxicity_equals_plain_filters(texts):
+    """Scores against loops over places, filters and words."""
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    net = toxicity.Trainer(pa.array([t for _, t, _ in texts[:20]]), np.arange(20) % 2).net
+    net.table[:] = rng.normal(0, 0.3, net.table.shape)
+    net.weights, net.bias, net.scale, net.offset = rng.random(len(net.weights)), -0.2, 1.3, 0.1
+    sample = ["", "one", "two words", *(t[:600] for _, t, _ in texts[:8])]
+    got = net.scores(net.logits(common.Words(pa.array(sample))))
+    for text, score in zip(sample, got):
+        vectors = [np.array(toxicity.embedded(pa.array([w]), net.table)[0], np.float64) for w in words(text)] or [np.zeros(toxicity.WIDTH)]
+        vectors += [np.zeros(toxicity.WIDTH)] * toxicity.PAD
+        best = []
+        for span, weight, shift in zip(toxicity.SPANS, net.filters, net.shifts):
+            at = [sum(vectors[i + j] @ weight[j] for j in range(span)) + shift for i in range(len(vectors) - toxicity.PAD)]
+            best.append(np.maximum(np.max(at, axis=0), 0))
+        logit = np.concatenate(best) @ net.weights + net.bias
+        assert score == pytest.approx(1 / (1 + math.exp(-(1.3 * logit + 0.1))), abs=1e-4)
+
+
 def test_filters_do_not_cross_texts():
     import pyarrow as pa
     net = toxicity.Trainer(pa.array(["alpha beta gamma delta"] * 4), np.array([0, 1, 0, 1])).net
