@@ -222,7 +222,7 @@ def fit(stages: Sequence, labelled: DataFrame) -> PipelineModel:
     return without_summary(Pipeline(stages=list(stages)).fit(class_weights(labelled, LABEL)))
 
 
-def fit_many(stages: Callable[[], Sequence], frames: Sequence[DataFrame], parallelism: int = 4) -> list[PipelineModel]:
+def fit_many(stages: Callable[[], Sequence], frames: Sequence[DataFrame], parallelism: int = 8) -> list[PipelineModel]:
     """A model for each frame; the stages are made anew for each, and linear classifiers fitted in the same scans."""
     weighted = [class_weights(f, LABEL) for f in frames]
     each = [list(stages()) for _ in frames]
