@@ -14,6 +14,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Estimator
 from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel
 from pyspark.ml.common import _py2java
@@ -47,14 +48,16 @@ def _sparse(batches, kept: list[str]):
     for batch in batches:
         places, values, bounds = flat_vectors(batch.column("features"))
         lists = lambda v, kind: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v, kind))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists(places, pa.int32()), lists(values, pa.float64())], names=[*kept, "places", "x"])
+        vectors = batch.column("features")
+        width = pc.coalesce(vectors.field("size"), pc.list_value_length(vectors.field("values")))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists(places, pa.int32()), lists(values, pa.float64()), width], names=[*kept, "places", "x", "width"])
 
 
 def sparse_rows(df: DataFrame, features: str, kept: Sequence[str]) -> DataFrame:
-    """``kept`` columns and the vectors as arrays ``places`` and ``x``."""
+    """``kept`` columns, and the vectors as arrays ``places`` and ``x`` and their ``width``."""
     rows = df.select(*kept, F.col(features).alias("features"))
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("features").schema.fields]
-    return rows.mapInArrow(partial(_sparse, kept=list(kept)), ", ".join([*kinds, "places array<int>", "x array<double>"]))
+    return rows.mapInArrow(partial(_sparse, kept=list(kept)), ", ".join([*kinds, "places array<int>", "x array<double>", "width int"]))
 
 
 def kept_for_scans(rows: DataFrame) -> DataFrame:
@@ -217,14 +220,14 @@ class NewtonClassifier(Estimator):
 
     def fit_many(self, frames: Sequence[DataFrame]) -> list:
         """The models of several frames, fitted in the same scans."""
-        parts, widths = [], []
+        parts = []
         for k, frame in enumerate(frames):
             y = F.when(F.col(self.label) == 1, 1.0).otherwise(-1.0).alias("y")
-            rows = frame.select(F.lit(k).alias("problem"), y, (F.col(self.weight) * self.c).alias("weight"), F.col(self.features).alias("features"))
-            first = rows.select("features").first()
-            widths.append(first["features"].size if first else 0)
-            parts.append(rows)
+            parts.append(frame.select(F.lit(k).alias("problem"), y, (F.col(self.weight) * self.c).alias("weight"), F.col(self.features).alias("features")))
         rows = kept_for_scans(sparse_rows(reduce(DataFrame.unionByName, parts), "features", ["problem", "y", "weight"]))
+        found = {r["problem"]: r["width"] for r in rows.groupBy("problem").agg(F.max("width").alias("width")).collect()}
+        widths = [found.get(k, 0) for k in range(len(frames))]
+        rows = rows.drop("width")
         bounds = np.append(0, np.cumsum(np.array(widths) + 1)).astype(np.int64)
         penalty = np.ones(int(bounds[-1]))
         if self.loss == LOGISTIC:
