@@ -59,3 +59,31 @@ def test_flat_vectors():
     rows = [{"type": 0, "size": 5, "indices": [1, 4], "values": [2.0, 0.0]}, {"type": 1, "size": None, "indices": None, "values": [0.0, 3.0]}, {"type": 0, "size": 5, "indices": [], "values": []}]
     places, values, bounds = linear.flat_vectors(pa.array(rows, kind))
     assert places.tolist() == [1, 1] and values.tolist() == [2.0, 3.0] and bounds.tolist() == [0, 1, 2, 2]
+
+
+def test_scans_read_packed_batches_on_every_core(spark):
+    """The rows of a fit are packed once, bounded in entries and dealt over the cores; a scan adds them all up."""
+    rows = spark.range(400).selectExpr("0 problem", "1.0D y", "1.0D weight", "array(int(id % 7), 8) places", "array(1.0D, double(id)) x", "9 width")
+    kept = linear.kept_for_scans(rows)
+    sizes = kept.mapPartitions(lambda parts: [sum(b.num_rows for b in linear.opened(parts))]).collect()
+    assert sum(sizes) == 400 and sum(s > 0 for s in sizes) >= min(2, spark.sparkContext.defaultParallelism)
+
+    def dense(parts):
+        out = np.zeros(9)
+        for batch in linear.opened(parts):
+            places, x, _owner = linear.lists(batch)
+            out += np.bincount(places, x, 9)
+        yield from linear.chunked(out)
+
+    total = linear.summed(kept.mapPartitions(dense), 9)
+    assert total[8] == sum(range(400)) and total[:7].sum() == 400
+    kept.unpersist()
+
+
+def test_packed_batches_are_bounded(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(linear, "ENTRIES", 5)
+    batch = pa.RecordBatch.from_pydict({"places": [[0]] * 3, "x": [[1.0]] * 3}).slice(1)
+    long = pa.RecordBatch.from_pydict({"places": [list(range(9)), [1, 2], [3, 4], [5, 6]], "x": [[1.0] * 9, [1.0] * 2, [1.0] * 2, [1.0] * 2]})
+    parts = [b.as_py() for out in linear._packed([batch, long]) for b in out.column("batch")]
+    assert [b.num_rows for b in linear.opened(parts)] == [2, 1, 2, 1]
