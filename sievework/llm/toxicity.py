@@ -2,8 +2,11 @@
 
 A word's embedding is the sum of the embeddings of its letter runs and of itself, found by hash.
 Filters of one, two and three words slide over the whole text, the maximum of each over all places
-is kept, and a logistic layer scores the maxima. Training runs in numpy on a bounded sample of
-labelled rows; its maxima pass gradients to a few words per text only. Scoring is a map over all
+is kept, and a logistic layer scores the maxima. Its maxima pass gradients to a few words per text
+only. A bounded sample of labelled rows gives the network that training begins with. Then every labelled row
+that does not calibrate trains it: the rows are dealt into parts, each part goes on from there in
+a task that reads its rows block by block, and the parts' moves are averaged in Spark. All calibration
+rows are scored for the curve and the thresholds, whose sums Spark adds up. Scoring is a map over all
 texts: a filter's response is a sum of per-word values, so a block of texts costs one product over
 its distinct words and one lookup per word and filter.
 
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 import pickle
 from dataclasses import dataclass, field
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +29,17 @@ from pyspark.sql import types as T
 
 from sievework.llm.common import U64, WORD_1, Words, blocks, hash_strings, mix, powers, stored, string_parts
 
-# Bounds of the training sample: expected rows and bytes of each label.
+# Bounds of the sample that training begins with: expected rows and bytes of each label.
 SAMPLE_POSITIVE, SAMPLE_NEGATIVE, SAMPLE_BYTES = 1500, 2500, 16 << 20
 BUCKET_BITS, WIDTH, FILTERS = 18, 8, 8
 RUNS = (3, 4, 5, 6)             # bytes of a letter run
 SPANS = (1, 2, 3)               # words under a filter
 PAD = SPANS[-1]
 STEPS, BATCH, RATE, DECAY, KEEP, LEFT_OUT = 800, 32, 0.08, 1e-4, 0.7, 0.5
-LEAST_SEEN = 4                  # sample texts that hold a letter run
-CALIBRATION = 4                 # every so many sample rows only calibrate
+LEAST_SEEN = 4                  # texts that hold a letter run
+CALIBRATION = 4                 # one of so many labelled rows only calibrates
+PART_RATE = 0.04                # a part trains at this rate
+CHUNK = 256                     # buckets whose moves travel in one row
 THRESHOLD, LEAST, MOST, LEAST_POSITIVE = 0.3, 0.1, 0.9, 20
 EDGE_MARKS = ".,;:!?%*&$#|\"'()[]{}<>-_"
 
@@ -136,11 +141,17 @@ class Constant:
         return np.full(len(logits), self.share)
 
 
+@lru_cache(1)
+def first_values() -> np.ndarray:
+    """What a bucket begins with that a part of the rows is the first to know; the same in every part."""
+    return np.random.default_rng(1).normal(0, 0.02, (1 << BUCKET_BITS, WIDTH)).astype(np.float32)
+
+
 class Trainer:
-    """Adagrad on balanced batches; only words at a maximum get gradients."""
+    """Adagrad on balanced batches; only words at a maximum get gradients. ``before`` is a trainer to go on from."""
 
-    def __init__(self, texts: pa.Array, labels: np.ndarray, seed: int = 0):
-        self.rng = np.random.default_rng(seed)
+    def __init__(self, texts: pa.Array, labels: np.ndarray, seed: int = 0, before: Trainer | None = None):
+        self.rng = before.rng if before else np.random.default_rng(seed)
         self.words, self.labels = Words(texts), labels
         ids, owner = [], []
         for found, counts in word_runs(self.words.vocabulary):
@@ -151,17 +162,25 @@ class Trainer:
         self.runs = np.concatenate(ids)[order]
         self.run_counts = np.bincount(owner, minlength=len(self.words.vocabulary))
         self.run_starts = np.cumsum(self.run_counts) - self.run_counts
-        table = np.zeros((1 << BUCKET_BITS, WIDTH), np.float32)
         # Runs of a few texts tell single texts apart and nothing else; they stay at zero, as unseen ones do.
         met = np.unique(self.words.owners() * len(self.words.vocabulary) + self.words.codes) % max(len(self.words.vocabulary), 1)
         in_texts = np.bincount(met, minlength=len(self.words.vocabulary))
-        seen = np.flatnonzero(np.bincount(self.runs, np.repeat(in_texts, self.run_counts), 1 << BUCKET_BITS) >= LEAST_SEEN)
-        self.learned = np.zeros(1 << BUCKET_BITS, bool)
-        self.learned[seen] = True
+        self.in_texts = np.bincount(self.runs, np.repeat(in_texts, self.run_counts), 1 << BUCKET_BITS).astype(np.float32)
+        if before:
+            self.in_texts += before.in_texts
+        self.learned = self.in_texts >= LEAST_SEEN
+        if before:
+            self.net, self.squares, self.moved, self.steps = before.net, before.squares, before.moved, before.steps
+            new = self.learned & (before.in_texts < LEAST_SEEN)
+            self.net.table[new] = first_values()[new]
+            return
+        seen = np.flatnonzero(self.learned)
+        table = np.zeros((1 << BUCKET_BITS, WIDTH), np.float32)
         table[seen] = self.rng.normal(0, 0.02, (len(seen), WIDTH))
         self.net = Network(table, [self.rng.normal(0, 0.4, (s, WIDTH, FILTERS)).astype(np.float32) for s in SPANS],
                            [np.zeros(FILTERS, np.float32) for _ in SPANS], np.full(FILTERS * len(SPANS), 0.4, np.float32), -1.0)
         self.squares = {"table": np.full(table.shape[0], 1e-3, np.float32)}
+        self.moved, self.steps = np.zeros(table.shape[0], np.int32), 0     # steps that moved each bucket, and all steps
 
     def runs_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = self.run_counts[words]
@@ -191,7 +210,7 @@ class Trainer:
         kept = (self.rng.random(FILTERS * len(SPANS)) < KEEP) / KEEP
         hidden = np.maximum(np.concatenate(best, 1), 0) * kept.astype(np.float32)
         p = 1 / (1 + np.exp(-np.clip(hidden @ net.weights + net.bias, -30, 30)))
-        error = ((p - self.labels[rows]) / len(rows)).astype(np.float32)
+        error = ((p - self.labels[rows]) / BATCH).astype(np.float32)
         down = error[:, None] * net.weights * (hidden > 0) * kept.astype(np.float32)
         self.move("weights", net.weights, hidden.T @ error + DECAY * net.weights, rate)
         np.maximum(net.weights, 0, out=net.weights)      # a maximum is evidence for, its absence is not evidence against
@@ -216,6 +235,8 @@ class Trainer:
             total = np.stack([np.bincount(at, gradient[:, d], len(known)) for d in range(WIDTH)], 1).astype(np.float32)
             self.squares["table"][known] += (total * total).mean(1)
             net.table[known] -= rate * total / np.sqrt(self.squares["table"][known])[:, None]
+            self.moved[known] += 1
+        self.steps += 1
 
     def train(self, rows: np.ndarray) -> Network:
         positive, negative = rows[self.labels[rows] == 1], rows[self.labels[rows] == 0]
@@ -224,19 +245,15 @@ class Trainer:
             self.step(np.concatenate([self.rng.choice(positive, BATCH // 2), self.rng.choice(negative, BATCH // 2)]), rate)
         return self.net
 
+    def once(self) -> None:
+        """Every row at least once; those of the rarer label are taken again until the others are through."""
+        sides = [self.rng.permutation(np.flatnonzero(self.labels == y)) for y in (1, 0)]
+        half = BATCH // 2
+        for at in range(0, max(map(len, sides)), half):
+            self.step(np.concatenate([np.resize(x, max(len(x), at + half))[at:at + half] if len(x) else x for x in sides]), PART_RATE)
 
-def calibrate(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
-    """Scale and offset of a logistic curve, by damped Newton steps with a weak pull to (1, 0)."""
-    a, b = 1.0, 0.0
-    x = np.stack([logits, np.ones_like(logits)], 1).astype(np.float64)
-    pull = 1e-2 * np.eye(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ [a, b], -30, 30)))
-        slope = x.T @ (weights * (p - labels)) + pull @ [a - 1, b]
-        curve = (x * (weights * p * (1 - p))[:, None]).T @ x + pull
-        move = np.clip(np.linalg.solve(curve, slope), -1, 1)
-        a, b = a - move[0], b - move[1]
-    return max(a, 1e-3), b
+    def state(self) -> bytes:
+        return pickle.dumps({"net": vars(self.net), "squares": self.squares, "in_texts": self.in_texts})
 
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
@@ -248,65 +265,187 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray)
     return float(np.median(grid[f1 >= f1.max() - 1e-9]))
 
 
-def sample(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, float, float]:
-    """Sample rows (doc_id, text, lang, y) and the weights of a positive and a negative row in all labelled rows.
+def labelled(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict]:
+    """Rows (doc_id, text, lang, y, held, part) of all labelled documents, and (rows, bytes) of each (y, held).
 
-    Whole texts, chosen by a hash of their id, so that about SAMPLE_POSITIVE and SAMPLE_NEGATIVE rows and
-    SAMPLE_BYTES of either label come at most, however many are labelled and however long they are. Only
-    labels of ``documents`` count. An id that repeats there is one row, with the text of the smallest
-    hash; ids labelled twice take the larger label; null ids and labels are left out.
+    Only labels of ``documents`` count. An id that repeats there is one row, with the text of the smallest
+    hash; ids labelled twice take the larger label; null ids and labels are left out. ``held`` rows only
+    calibrate; a ``part`` is one task's rows, in one file and in order of ids.
     """
     known = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").alias("y"))
     sized = documents.select("doc_id", F.xxhash64("text").alias("key"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
-    own = stored(sized.join(known, "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min(F.struct("key", "bytes")).alias("r")).select("doc_id", "y", "r.*"), "labelled")
-    sums = {r.y: r for r in own.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).collect()}
-    share = {y: min(1.0, rows / sums[y].n, SAMPLE_BYTES / max(sums[y].bytes, 1)) if y in sums else 1.0 for y, rows in ((1, SAMPLE_POSITIVE), (0, SAMPLE_NEGATIVE))}
+    own = sized.join(known, "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min(F.struct("key", "bytes")).alias("r"))
+    held = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(CALIBRATION)) == CALIBRATION - 1
+    own = stored(own.select("doc_id", "y", held.alias("held"), "r.*"), "labelled")
+    sums = {(r.y, r.held): (r.n, r.bytes) for r in own.groupBy("y", "held").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).collect()}
+    texts = documents.select("doc_id", "text", "lang", F.xxhash64("text").alias("own_key")).where("doc_id is not null")
+    # Joined by the id alone (an equality would become a key), so that the texts travel once for the join and for the single row of each id.
+    rows = texts.join(own.drop("bytes").hint("merge"), "doc_id").where("(own_key ^ key) = 0")
+    rows = rows.select("doc_id", "text", "lang", "y", "held").dropDuplicates(["doc_id"]).sortWithinPartitions("doc_id")
+    return stored(rows.withColumn("part", F.spark_partition_id()), "labelled-texts"), sums
+
+
+def begun(batches):
+    """The state of a trainer after the rows of one task, all of the sample; without rows of both labels, of an untrained one."""
+    rows = pa.Table.from_batches(batches, pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("y", pa.int32())]))
+    rows = rows.sort_by("doc_id").combine_chunks()
+    y = rows.column("y").to_numpy().astype(np.int64)
+    trainer = Trainer(rows.column("text").combine_chunks() if len(y) else pa.array([""]), y)
+    if 0 < y.sum() < len(y):
+        trainer.train(np.arange(len(y)))
+    yield pa.RecordBatch.from_arrays([pa.array([trainer.state()], pa.binary())], names=["state"])
+
+
+def begin(rows: DataFrame, sums: dict) -> bytes:
+    """The state of a trainer after a sample of ``rows``: whole texts, chosen by a hash of their id.
+
+    About SAMPLE_POSITIVE and SAMPLE_NEGATIVE rows and SAMPLE_BYTES of either label come at most, so that one
+    task may hold them.
+    """
+    share = [min(1.0, most / sums[y, False][0], SAMPLE_BYTES / max(sums[y, False][1], 1)) for y, most in ((0, SAMPLE_NEGATIVE), (1, SAMPLE_POSITIVE))]
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30))
-    chosen = own.where(draw < F.when(F.col("y") == 1, share[1] * (1 << 30)).otherwise(share[0] * (1 << 30))).drop("bytes")
-    texts = documents.select("doc_id", "text", "lang", F.xxhash64("text").alias("key")).join(F.broadcast(chosen), ["doc_id", "key"])
-    return texts.drop("key").dropDuplicates(["doc_id"]), 1 / share[1], 1 / share[0]
+    chosen = rows.where(~F.col("held") & (draw < F.when(F.col("y") == 1, share[1] * (1 << 30)).otherwise(share[0] * (1 << 30))))
+    chosen = chosen.select(F.col("doc_id").cast("long"), "text", F.col("y").cast("int"))
+    found = chosen.repartition(1).mapInArrow(begun, "state binary").first()
+    return found.state if found else next(begun([])).column(0)[0].as_py()
 
 
-def trained(batches, weight_1: float, weight_0: float):
-    """The fields of the network of one task's rows, all of the sample, as bytes; nothing without rows."""
-    batches = [b for b in batches if b.num_rows]
-    if not batches:
-        return
-    rows = pa.Table.from_batches(batches).sort_by("doc_id").combine_chunks()
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(vars(learn(rows, weight_1, weight_0)))], pa.binary())], names=["net"])
+def trainer_from(state: bytes, seed: int) -> Trainer:
+    """A trainer without rows of its own, which goes on from a state."""
+    fields = pickle.loads(state)
+    out = Trainer(pa.array([""]), np.zeros(1, np.int64), seed)
+    out.net, out.squares, out.in_texts = Network(**fields["net"]), fields["squares"], fields["in_texts"]
+    return out
 
 
-def learn(rows: pa.Table, weight_1: float, weight_0: float) -> Network | Constant:
-    """A network trained on three of four rows and calibrated on the others."""
-    y = rows.column("y").to_numpy().astype(np.int64)
-    weights = np.where(y == 1, weight_1, weight_0)
-    at = np.arange(len(y))
-    held = at % CALIBRATION == CALIBRATION - 1
-    if min((y[~held] == 1).sum(), (y[~held] == 0).sum()) == 0:
-        return Constant(float((weights * y).sum() / max(weights.sum(), 1)))
-    trainer = Trainer(rows.column("text").combine_chunks(), y)
-    net = trainer.train(at[~held])
-    checked = net.logits(Words(rows.column("text").combine_chunks().take(pa.array(at[held]))))
-    net.scale, net.offset = calibrate(checked, y[held], weights[held])
-    scores = net.scores(checked)
-    langs = np.array(rows.column("lang").fill_null("").to_pylist(), dtype=object)[held]
-    for lang in set(langs) - {""}:
-        own = langs == lang
-        if y[held][own].sum() >= LEAST_POSITIVE:
-            net.thresholds[lang] = best_threshold(scores[own], y[held][own], weights[held][own])
+def dense(net: Network) -> list[np.ndarray]:
+    return [*net.filters, *net.shifts, net.weights, np.array([net.bias], np.float32)]
+
+
+def moves(trainer: Trainer, start: Network, part: int) -> pa.RecordBatch:
+    """By chunk of buckets, and for all else as chunk -1, how far a part went from the start and in how many steps."""
+    delta = (trainer.net.table - start.table).reshape(-1, CHUNK * WIDTH)
+    steps = trainer.moved.reshape(-1, CHUNK)
+    some = np.flatnonzero(steps.any(1))
+    other = np.concatenate([(x - y).ravel() for x, y in zip(dense(trainer.net), dense(start))]).astype(np.float32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([-1, *some.tolist()], pa.int32()), pa.array([part] * (len(some) + 1), pa.int32()),
+         pa.array([np.int32([trainer.steps]).tobytes(), *(steps[k].tobytes() for k in some)], pa.binary()),
+         pa.array([other.tobytes(), *(delta[k].tobytes() for k in some)], pa.binary())],
+        names=["chunk", "part", "steps", "delta"])
+
+
+def continued(batches, state):
+    """The moves of each part of the rows, which all begin with the same state; a part's rows follow each other."""
+    start, trainer, now = Network(**pickle.loads(state.value)["net"]), None, None
+    for batch in batches:
+        parts = batch.column("part").to_numpy()
+        turns = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(turns[:-1], turns[1:]):
+            if a == b:
+                continue
+            if now != parts[a]:
+                if trainer:
+                    yield moves(trainer, start, now)
+                now = int(parts[a])
+                trainer = trainer_from(state.value, now + 1)
+            for block in blocks([batch.slice(a, b - a)]):
+                trainer = Trainer(block.column("text"), block.column("y").to_numpy().astype(np.int64), before=trainer)
+                trainer.once()
+    if trainer:
+        yield moves(trainer, start, now)
+
+
+def averaged(moved: pa.Table) -> pa.Table:
+    """The mean move of one chunk over all parts, weighted by the steps that made it."""
+    moved = moved.sort_by("part")
+    total, many = 0.0, 0
+    for steps, delta in zip(moved.column("steps").to_pylist(), moved.column("delta").to_pylist()):
+        steps = np.frombuffer(steps, np.int32).astype(np.float64)
+        total = total + steps[:, None] * np.frombuffer(delta, np.float32).reshape(len(steps), -1)
+        many = many + steps
+    mean = (total / np.maximum(many, 1)[:, None]).astype(np.float32)
+    return pa.table({"chunk": moved.column("chunk").slice(0, 1), "delta": pa.array([mean.tobytes()], pa.binary())})
+
+
+def train(rows: DataFrame, state: bytes) -> Network:
+    """The network of a state, moved by all ``rows``: the mean of what their parts learn from there."""
+    shared = rows.sparkSession.sparkContext.broadcast(state)
+    moved = rows.select("part", "text", "y").mapInArrow(partial(continued, state=shared), "chunk int, part int, steps binary, delta binary")
+    net = Network(**pickle.loads(state)["net"])
+    for chunk, delta in moved.groupBy("chunk").applyInArrow(averaged, "chunk int, delta binary").collect():
+        delta = np.frombuffer(delta, np.float32)
+        if chunk >= 0:
+            net.table[chunk * CHUNK:(chunk + 1) * CHUNK] += delta.reshape(CHUNK, WIDTH)
+            continue
+        for values in (*net.filters, *net.shifts, net.weights):
+            values += delta[:values.size].reshape(values.shape)
+            delta = delta[values.size:]
+        net.bias += float(delta[0])
+        np.maximum(net.weights, 0, out=net.weights)
     return net
 
 
+def with_logits(batches, model):
+    for batch in blocks(batches):
+        logits = model.value.logits(Words(batch.column("text"))).astype(np.float64)
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("y"), pa.array(logits, pa.float64())], names=["lang", "y", "logit"])
+
+
+def curve(rows: DataFrame, scale, offset) -> DataFrame:
+    """``rows`` with a column p, the logistic curve of their logits."""
+    z = F.col("logit") * F.lit(float(scale)) + F.lit(float(offset))
+    return rows.withColumn("p", 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-50.0)), F.lit(50.0)))))
+
+
+def calibrate(rows: DataFrame) -> tuple[float, float]:
+    """Scale and offset of a logistic curve, by damped Newton steps over all (logit, y) with a weak pull to (1, 0).
+
+    The sums are decimals, so they do not depend on the order of the rows.
+    """
+    a, b, pull = 1.0, 0.0, 1e-2 * np.eye(2)
+    for _ in range(50):
+        x, p = F.col("logit"), F.col("p")
+        terms = ((p - F.col("y")) * x, p - F.col("y"), p * (1 - p) * x * x, p * (1 - p) * x, p * (1 - p))
+        s = [float(v or 0) for v in curve(rows, a, b).agg(*(F.sum(t.cast("decimal(28,12)")) for t in terms)).first()]
+        move = np.clip(np.linalg.solve(np.array([[s[2], s[3]], [s[3], s[4]]]) + pull, np.array(s[:2]) + pull @ [a - 1, b]), -1, 1)
+        a, b = a - float(move[0]), b - float(move[1])
+        if np.abs(move).max() < 1e-7:
+            break
+    return max(a, 1e-3), b
+
+
+def thresholds(rows: DataFrame) -> dict[str, float]:
+    """The best threshold of each language with enough positive rows (lang, y, p), from counts between those to choose from."""
+    grid = np.linspace(LEAST, MOST, 81)
+    cell = F.size(F.filter(F.array(*(F.lit(float(g)) for g in grid)), lambda g: g <= F.col("p")))
+    counts = rows.where("lang is not null and lang <> ''").groupBy("lang", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positive"))
+    cells = F.collect_list(F.struct("cell", "n", "positive")).alias("cells")
+    found = counts.groupBy("lang").agg(cells, F.sum("positive").alias("positive")).where(F.col("positive") >= LEAST_POSITIVE).collect()
+    out = {}
+    for lang, own, _ in found:
+        at, n, positive = np.array(sorted(own), np.float64).T
+        out[lang] = best_threshold(np.append(-1.0, grid)[at.astype(int)], positive / n, n)
+    return out
+
+
 def fit(documents: DataFrame, labels: DataFrame) -> Network | Constant:
     """A network trained on labelled rows, its scores calibrated on rows that it has not seen.
 
-    The sample goes to one task, which its bounds allow; the driver sees the finished network alone. Without
-    rows of both labels the score is the share of positive ones.
+    All labelled rows take part, either in training or in calibration. The driver sees the network and
+    sums alone. Without training rows of both labels the score is the share of positive ones.
     """
-    rows, weight_1, weight_0 = sample(documents, labels)
-    found = rows.repartition(1).mapInArrow(partial(trained, weight_1=weight_1, weight_0=weight_0), "net binary").first()
-    fields = pickle.loads(found.net) if found else {"share": 0.0}
-    return Constant(**fields) if "share" in fields else Network(**fields)
+    rows, sums = labelled(documents, labels)
+    if (0, False) not in sums or (1, False) not in sums:
+        many = {y: sum(n for (label, _), (n, _) in sums.items() if label == y) for y in (0, 1)}
+        return Constant(many[1] / max(many[0] + many[1], 1))
+    net = train(rows.where("not held"), begin(rows, sums))
+    model = rows.sparkSession.sparkContext.broadcast(net)
+    checked = rows.where("held").select("lang", "y", "text").mapInArrow(partial(with_logits, model=model), f"lang string, y {rows.schema['y'].dataType.simpleString()}, logit double")
+    checked = stored(checked, "logits")
+    net.scale, net.offset = calibrate(checked)
+    net.thresholds = thresholds(curve(checked, net.scale, net.offset))
+    return net
 
 
 def scored(batches, model, kept: list[str]):
