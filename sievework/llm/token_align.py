@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from functools import partial
+from functools import lru_cache, partial
 from itertools import chain
 
 import numpy as np
@@ -200,9 +200,15 @@ class Aligner:
                 "links": np.bincount(a.owner[left], minlength=n), "pairs": a.ids[left] * self.names.most + b.ids[other]}
 
 
+@lru_cache(1)
+def aligner_of(path_a: str, path_b: str) -> Aligner:
+    """One aligner for all tasks of a worker; loading one in each task leaves the worker's memory in pieces."""
+    return Aligner(path_a, path_b)
+
+
 def aligned(batches, path_a: str, path_b: str):
     """Per text: counts, the digest of its groups, and its distinct linked id pairs with their numbers."""
-    aligner = Aligner(path_a, path_b)
+    aligner = aligner_of(path_a, path_b)
     most = aligner.names.most
     for batch in blocks(batches, size=BLOCK_BYTES):
         texts = whole(batch.column("text"))
