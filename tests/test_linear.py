@@ -87,3 +87,18 @@ def test_packed_batches_are_bounded(monkeypatch):
     long = pa.RecordBatch.from_pydict({"places": [list(range(9)), [1, 2], [3, 4], [5, 6]], "x": [[1.0] * 9, [1.0] * 2, [1.0] * 2, [1.0] * 2]})
     parts = [b.as_py() for out in linear._packed([batch, long]) for b in out.column("batch")]
     assert [b.num_rows for b in linear.opened(parts)] == [2, 1, 2, 1]
+
+
+@pytest.mark.parametrize("loss", [linear.LOGISTIC, linear.SQUARED_HINGE])
+def test_frequent_and_rare_features_need_few_scans(spark, loss):
+    """Scans do not multiply where some features are in every row, always together, and others in a few."""
+    rng = np.random.default_rng(8)
+    n, rare = 1500, 100
+    group, odd = rng.integers(0, 4, n), rng.integers(0, rare, n)
+    y = rng.random(n) < 0.15 + 0.1 * group + 0.3 * (odd % 3 == 0)
+    rows = [
+        (int(b), 300.0, Vectors.sparse(6 + rare, (0, 1, 2 + g, 6 + k), (1.0, 0.9 + 0.2 * u, 1.0, 0.5)))
+        for b, g, k, u in zip(y.tolist(), group.tolist(), odd.tolist(), rng.random(n).tolist())
+    ]
+    model = linear.NewtonClassifier(loss).fit_many([spark.createDataFrame(rows, ["bid", "weight", "features"])])[0]
+    assert model.residual < 2e-4 and model.scans <= 25
