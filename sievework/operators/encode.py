@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Sequence
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +17,8 @@ from sievework.functions.text import word_tokens
 from sievework.operators.lexicon import tfidf_from_counts, vocabulary_counts
 from sievework.session import cut_lineage
 
+BLOCK_WORDS = 1 << 20           # words that a task counts at once, or one text
+
 # -- repeatable splits ----------------------------------------------------------------------------
 
 def rank_cuts(df: DataFrame, key: str, label: str, ranks, seed: int = 42, bits: int = 16, most: int = 1 << 20) -> DataFrame:
@@ -221,25 +227,46 @@ def analyze(text: Column, bigrams: bool = True, min_length: int = 2) -> Column:
     return F.concat(words, pairs)
 
 
+def _counts(terms: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms, how often each occurs, and how many owners have it."""
+    known, at, tf = np.unique(terms, return_inverse=True, return_counts=True)
+    held = np.unique(owner * max(len(known), 1) + at) % max(len(known), 1)
+    return known, tf, np.bincount(held, minlength=len(known))
+
+
+def _term_counts(batches, bigrams: bool):
+    """(term, tf, df) of each block of word lists; a block has BLOCK_WORDS words at most, or one list."""
+    for batch in batches:
+        lists, at = batch.column("words"), 0
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        while at < len(lists):
+            to = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_WORDS, "right")), at + 1)
+            part, at = lists.slice(at, to - at), to
+            coded = part.flatten().dictionary_encode()
+            codes, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+            owner = np.repeat(np.arange(len(part)), pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False))
+            known, tf, df = _counts(codes, owner)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(known)), pa.array(tf), pa.array(df)], names=["term", "tf", "df"])
+            if bigrams and len(codes) > 1:
+                same = owner[1:] == owner[:-1]
+                known, tf, df = _counts((codes[:-1] * len(names) + codes[1:])[same], owner[1:][same])
+                pairs = pc.binary_join_element_wise(names.take(pa.array(known // len(names))), names.take(pa.array(known % len(names))), " ")
+                yield pa.RecordBatch.from_arrays([pairs, pa.array(tf), pa.array(df)], names=["term", "tf", "df"])
+
+
 def tfidf_terms(
     df: DataFrame, text: Column, min_df: int = 3, max_df: float = 1.0, max_features: int | None = None,
     bigrams: bool = True,
 ) -> DataFrame:
     """Vocabulary table: term without accents, frequency, document frequency and smooth idf + 1.
 
-    Every occurrence counts for the frequency and the first one in a text for the document
-    frequency; both are plain sums per term, so a task sends one partial row per term and not one
-    per text and term.
+    Tasks count the terms of a block of texts at once, each distinct word a number, so a task sends one row per
+    term and block and not one per occurrence.
     """
     n_docs = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    analyzed = df.select(F.explode(F.array(analyze(strip_accents(text), bigrams))).alias("terms"))
-    marked = F.concat(
-        F.transform("terms", lambda w: F.struct(w.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(F.array_distinct("terms"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))),
-    )
-    table = analyzed.select(F.explode(marked).alias("r")).groupBy(F.col("r.term").alias("term")).agg(
-        F.sum("r.tf").alias("tf"), F.sum("r.df").alias("df")
-    )
+    words = df.select(analyze(strip_accents(text), bigrams=False).alias("words"))
+    counted = words.mapInArrow(partial(_term_counts, bigrams=bigrams), "term string, tf long, df long")
+    table = counted.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     kept = table.withColumn("_n", n_docs).where((F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * max_df))
     scored = kept.withColumn("idf", F.log((F.col("_n") + 1.0) / (F.col("df") + 1.0)) + 1.0).drop("_n")
     return scored if max_features is None else scored.orderBy(F.desc("tf"), "term").limit(max_features)
