@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-K, WINDOW, PIECE = 16, 32, 1 << 14
+K, WINDOW, PIECE, BLOCK = 16, 32, 1 << 14, 4
 CUTS, PER_TASK = 256, 16        # quantiles of the document order, and buckets for each task
 LOW_31, LOW_32 = (1 << 31) - 1, (1 << 32) - 1
 
@@ -30,25 +30,59 @@ def minima(values: Column, window: int) -> Column:
         if size == window:
             return values
         step = min(size, window - size)
-        return let(values, lambda v: widened(F.zip_with(v, F.slice(v, F.lit(step + 1), F.size(v)), lambda x, y: F.least(x, y)), size + step))
+        # By place, without a shifted copy; behind the end there is null, which least() skips.
+        return let(values, lambda v: widened(F.transform(v, lambda x, i: F.least(x, F.get(v, i + step))), size + step))
 
     return widened(values, 1)
 
 
+def lowest(values: Column, n_windows: Column, window: int) -> Column:
+    """The minimum of each of the first ``n_windows`` runs of ``window`` values, in order; runs behind each other with one minimum may share an entry.
+
+    Runs that begin in one block of ``BLOCK`` values share the blocks between; mostly the minimum lies in these and is
+    that of all of them.
+    """
+    if window % BLOCK or window < 2 * BLOCK:
+        return F.slice(minima(values, window), F.lit(1), n_windows)
+    inner = window // BLOCK - 1
+
+    def found(at: Column) -> Column:
+        values, blocks, between = at["values"], at["blocks"], at["between"]
+
+        def one(own: Column, i: Column) -> Column:
+            shared = F.get(between, i + 1)
+            value = lambda j: F.get(values, i * BLOCK + j)
+            each = F.array(*(F.least(shared, *(value(j + (0 if j >= first else window)) for j in range(BLOCK))) for first in range(BLOCK)))
+            alike = F.least(own, F.get(blocks, i + (inner + 1))) > shared
+            return F.when(alike, F.array(shared)).otherwise(F.slice(each, F.lit(1), F.least(at["n"] - i * BLOCK, F.lit(BLOCK))))
+
+        return F.flatten(F.transform(F.slice(blocks, F.lit(1), F.ceil(at["n"] / BLOCK).cast("int")), one))
+
+    def blocked(values: Column) -> Column:
+        block = lambda p: F.least(*(F.get(values, p + j) for j in range(BLOCK)))
+        blocks = F.transform(F.sequence(F.lit(0), F.size(values) - 1, F.lit(BLOCK)), block)
+        return let(blocks, lambda blocks: let(F.struct(
+            values.alias("values"), blocks.alias("blocks"), minima(blocks, inner).alias("between"), n_windows.alias("n")), found))
+
+    return let(values, blocked)
+
+
 def selected(piece: Column, start: Column, n_windows: Column, k: int, window: int) -> Column:
     """(pos, hash) of the hashes that the first ``n_windows`` windows of a piece of text select.
 
     Characters take four bytes each, so a run of them is a slice. A window is decided by 31 bits of the
-    hash and then by position, packed into one number; what is kept is the whole hash.
+    hash and then by the place of the run's first byte, counted from 1 and packed with them into one number; what is
+    kept is the whole hash.
     """
-    place = lambda v: (F.lit(LOW_32) - v.bitwiseAND(LOW_32)).cast("int")
+    byte = lambda v: F.negative(v).bitwiseAND(LOW_32).cast("int")
 
     def kept(letters: Column) -> Column:
-        hashed = lambda i: F.xxhash64(F.substring(letters, i * 4 + 1, F.lit(4 * k)))
-        packed = lambda i: F.shiftleft(hashed(i).bitwiseAND(LOW_31), 32).bitwiseOR(F.lit(LOW_32) - i)
-        last = F.greatest((F.octet_length(letters) / 4).cast("int") - k, F.lit(0))
-        lowest = F.slice(minima(F.transform(F.sequence(F.lit(0), last), packed), window), F.lit(1), n_windows)
-        return F.transform(F.array_distinct(lowest), lambda v: F.struct((start + place(v)).alias("pos"), hashed(place(v)).alias("hash")))
+        hashed = lambda b: F.xxhash64(F.substring(letters, b, F.lit(4 * k)))
+        packed = lambda b: F.shiftleft(hashed(b).bitwiseAND(LOW_31), 32) - b
+        last = F.greatest(F.octet_length(letters) - 4 * k, F.lit(0)) + 1
+        found = lowest(F.transform(F.sequence(F.lit(1), last, F.lit(4)), packed), n_windows, window)
+        return F.transform(F.array_distinct(found), lambda v: F.struct(
+            (start + F.shiftright(byte(v) - 1, 2)).alias("pos"), hashed(byte(v)).alias("hash")))
 
     nothing = F.array().cast("array<struct<pos:int,hash:bigint>>")
     return F.when(piece == "", nothing).otherwise(let(F.encode(piece, "UTF-32"), kept))
@@ -71,11 +105,10 @@ def fingerprint(text: Column, k: int = K, window: int = WINDOW, piece: int = PIE
     return let(F.coalesce(text, F.lit("")), lambda t: let(F.greatest(F.length(t) - (k + window - 2), F.lit(1)), lambda windows: of(t, windows)))
 
 
-def spliced(prints: Column, shared: Column, text: Column, k: int = K, window: int = WINDOW, piece: int = PIECE) -> Column:
-    """The fingerprint of a ``text`` that begins with the first ``shared`` characters of one with these ``prints``.
+def of_windows(prints: Column, n: Column, window: int = WINDOW) -> Column:
+    """Those of a text's ``prints`` that its first ``n`` windows select.
 
-    Windows within these characters select what they did before, so only what lies behind is walked. A print was
-    first selected by the window that it entered, if its hash is not above the one before, or else by
+    A print was first selected by the window that it entered, if its hash is not above the one before, or else by
     the window that the one before has just left.
     """
     low = lambda x: x["hash"].bitwiseAND(LOW_31)
@@ -84,20 +117,41 @@ def spliced(prints: Column, shared: Column, text: Column, k: int = K, window: in
         before = F.get(every, i - 1)
         return F.when(i == 0, 0).when(low(x) <= low(before), F.greatest(x["pos"] - (window - 1), F.lit(0))).otherwise(before["pos"] + 1)
 
-    def both(inside: Column) -> Column:
-        kept = let(prints, lambda every: F.filter(every, lambda x, i: first(x, i, every) < inside))
-        # Without a window of its own the rest of the text selects nothing.
-        rest = F.when((inside > 0) & (F.length(text) - (k + window - 2) <= inside), F.lit("")).otherwise(F.substr(text, inside + 1, F.length(text)))
-        behind = F.transform(fingerprint(rest, k, window, piece), lambda x: F.struct((x["pos"] + inside).alias("pos"), x["hash"].alias("hash")))
-        return let(F.concat(kept, behind), lambda every: F.filter(every, lambda x, i: (i == 0) | (x["pos"] != F.get(every, i - 1)["pos"])))
+    return let(n, lambda n: let(prints, lambda every: F.filter(every, lambda x, i: first(x, i, every) < n)))
+
 
+def spliced(
+    prints: Column, shared: Column, text: Column, k: int = K, window: int = WINDOW, piece: int = PIECE, behind: Column | None = None
+) -> Column:
+    """The fingerprint of a ``text`` that begins with the first ``shared`` characters of one with these ``prints``.
+
+    What follows may be the beginning of a text with the prints ``behind``. Windows within either part select what they
+    did before, so only those across the seam are walked, or, without ``behind``, all that are not within the first part.
+    """
+    span = k + window - 2       # characters of a window but one
+    moved = lambda prints, by: F.transform(prints, lambda x: F.struct((x["pos"] + by).alias("pos"), x["hash"].alias("hash")))
+
+    def joined(at: Column) -> Column:
+        inside, length, shared, after = at["inside"], at["length"], at["shared"], at["after"]
+        # A text shorter than a window is one; with a window before the seam, a rest without one of its own selects nothing.
+        end = F.when(after > 0, shared).otherwise(F.greatest(length - span, F.when(inside > 0, inside).otherwise(1)))
+        seam = F.when(end > inside, F.substr(text, inside + 1, end - inside + span)).otherwise("")
+        every = [of_windows(prints, inside, window), moved(fingerprint(seam, k, window, piece), inside)]
+        if behind is not None:
+            every.append(moved(of_windows(behind, after, window), shared))
+        every = F.concat(*every)
+        return let(every, lambda every: F.filter(every, lambda x, i: (i == 0) | (x["pos"] != F.get(every, i - 1)["pos"])))
+
+    length = F.length(text)
     # A column outside a lambda would be computed anew for every element within.
-    return let(F.greatest(shared - (k + window - 2), F.lit(0)), both)
+    return let(F.struct(
+        F.greatest(shared - span, F.lit(0)).alias("inside"), length.alias("length"), shared.alias("shared"),
+        (F.lit(0) if behind is None else F.greatest(length - shared - span, F.lit(0))).alias("after")), joined)
 
 
 def as_text(prints: Column) -> Column:
     """``pos:hash`` of each entry, hashes in hexadecimal, with blanks between them."""
-    return F.array_join(F.transform(prints, lambda x: F.concat(x["pos"].cast("string"), F.lit(":"), F.lower(F.hex(x["hash"])))), " ")
+    return F.lower(F.array_join(F.transform(prints, lambda x: F.concat(x["pos"].cast("string"), F.lit(":"), F.hex(x["hash"]))), " "))
 
 
 def hashes(prints: Column) -> Column:
@@ -167,7 +221,7 @@ def fingerprints(documents: DataFrame, k: int = K, window: int = WINDOW) -> Data
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("next.text")))
     return rows.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), "edited", "prints", F.col("next.prints").alias("next_prints"),
-        spliced(F.col("prints"), F.length("text") - third(F.col("text")), F.col("edited"), k, window).alias("edited_prints"))
+        spliced(F.col("prints"), F.length("text") - third(F.col("text")), F.col("edited"), k, window, behind=F.col("next.prints")).alias("edited_prints"))
 
 
 def digests(documents: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:

@@ -105,3 +105,33 @@ def test_odd_rows(spark):
 def test_one_id_may_hold_many_rows(spark):
     rows = [(7, f"text number {k} of the id") for k in range(300)] + [(k, f"row {k}") for k in range(100)]
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == expected(rows)
+
+
+@pytest.mark.parametrize("k,window,piece", [(2, 8, 3), (3, 12, 1 << 14), (1, 32, 50)])
+def test_windows_of_whole_blocks(spark, k, window, piece):
+    rng = random.Random(window)
+    texts = ["".join(rng.choice("ab é🙂\n") for _ in range(n)) for n in range(110)] + ["a" * n for n in range(0, 90, 7)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, text string")
+    got = {r.n: [tuple(x) for x in r.p] for r in frame.select("n", winnowing.fingerprint(F.col("text"), k, window, piece).alias("p")).collect()}
+    assert got == {i: plain(t, k, window) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("k,window", [(3, 4), (2, 1), (1, 6), (4, 8)])
+def test_only_the_seam_is_walked(spark, k, window):
+    rng = random.Random(k)
+    make = lambda: "".join(rng.choice("ab é") for _ in range(rng.randrange(0, 70)))
+    rows = [(n, a, rng.randrange(0, len(a) + 1), b, rng.randrange(0, len(b) + 1)) for n, a, b in ((n, make(), make()) for n in range(300))]
+    frame = spark.createDataFrame([(n, a, at, b, a[:at] + b[:to]) for n, a, at, b, to in rows], "n int, a string, at int, b string, both string")
+    frame = frame.select("n", "at", "both", *(winnowing.fingerprint(F.col(c), k, window).alias(c) for c in ("a", "b")))
+    joined = lambda a, b: winnowing.spliced(a, F.col("at"), F.col("both"), k, window, behind=b)
+    # Marked prints come through as they are, but for those of windows across the seam.
+    marked = lambda c: F.transform(c, lambda x: F.struct(x["pos"].alias("pos"), F.shiftleft(x["hash"].bitwiseAND(winnowing.LOW_31), 0).alias("hash")))
+    got = frame.select("n", joined(F.col("a"), F.col("b")).alias("p"), joined(marked("a"), marked("b")).alias("m")).collect()
+    found = {r.n: ([tuple(x) for x in r.p], [tuple(x) for x in r.m]) for r in got}
+    span = k + window - 2
+    for n, a, at, b, to in rows:
+        every, own = plain(a[:at] + b[:to], k, window), found[n][1]
+        assert found[n][0] == every
+        assert [p for p, _ in own] == [p for p, _ in every]
+        low = lambda h: h & winnowing.LOW_31
+        assert all(m == low(h) for (p, m), (_, h) in zip(own, every) if p + k + window <= at - span or p >= at + span + window)
