@@ -39,6 +39,7 @@ STEPS, BATCH, RATE, DECAY, KEEP, LEFT_OUT = 800, 32, 0.08, 1e-4, 0.7, 0.5
 LEAST_SEEN = 4                  # texts that hold a letter run
 CALIBRATION = 4                 # one of so many labelled rows only calibrates
 PART_RATE = 0.04                # a part trains at this rate
+CELL, CELLS = 16, 2048          # cells of a logit's unit, and cells on either side of zero, that calibration begins with
 CHUNK = 256                     # buckets whose moves travel in one row
 THRESHOLD, LEAST, MOST, LEAST_POSITIVE = 0.3, 0.1, 0.9, 20
 EDGE_MARKS = ".,;:!?%*&$#|\"'()[]{}<>-_"
@@ -398,20 +399,41 @@ def curve(rows: DataFrame, scale, offset) -> DataFrame:
     return rows.withColumn("p", 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-50.0)), F.lit(50.0)))))
 
 
+def newton(sums, a: float, b: float, steps: int) -> tuple[float, float]:
+    """Damped Newton steps from (a, b) with a weak pull to (1, 0); ``sums`` gives the gradient and the curvature of a pair."""
+    pull = 1e-2 * np.eye(2)
+    for _ in range(steps):
+        s = sums(a, b)
+        move = np.clip(np.linalg.solve(np.array([[s[2], s[3]], [s[3], s[4]]]) + pull, np.array(s[:2]) + pull @ [a - 1, b]), -1, 1)
+        a, b = a - float(move[0]), b - float(move[1])
+        if np.abs(move).max() < 1e-7:
+            break
+    return a, b
+
+
 def calibrate(rows: DataFrame) -> tuple[float, float]:
     """Scale and offset of a logistic curve, by damped Newton steps over all (logit, y) with a weak pull to (1, 0).
 
-    The sums are decimals, so they do not depend on the order of the rows.
+    The steps begin where those over means of neighbouring logits end, of which there are ``2 * CELLS`` at most, so that
+    few jobs are left for all rows. The sums are decimals, so they do not depend on the order of the rows.
     """
-    a, b, pull = 1.0, 0.0, 1e-2 * np.eye(2)
-    for _ in range(50):
+    total = lambda c: F.sum(c.cast("decimal(28,12)"))
+    cell = F.floor(F.least(F.greatest(F.col("logit") * CELL, F.lit(float(-CELLS))), F.lit(float(CELLS - 1))))
+    cells = rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"), total(F.col("logit")).alias("x"))
+    n, y, x = np.array([[float(v) for v in r] for r in cells.orderBy("cell").select("n", "y", "x").collect()]).reshape(-1, 3).T
+    x = x / n
+
+    def of_cells(a: float, b: float) -> list[float]:
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -50, 50)))
+        w = n * p * (1 - p)
+        return [float(v.sum()) for v in ((n * p - y) * x, n * p - y, w * x * x, w * x, w)]
+
+    def of_rows(a: float, b: float) -> list[float]:
         x, p = F.col("logit"), F.col("p")
         terms = ((p - F.col("y")) * x, p - F.col("y"), p * (1 - p) * x * x, p * (1 - p) * x, p * (1 - p))
-        s = [float(v or 0) for v in curve(rows, a, b).agg(*(F.sum(t.cast("decimal(28,12)")) for t in terms)).first()]
-        move = np.clip(np.linalg.solve(np.array([[s[2], s[3]], [s[3], s[4]]]) + pull, np.array(s[:2]) + pull @ [a - 1, b]), -1, 1)
-        a, b = a - float(move[0]), b - float(move[1])
-        if np.abs(move).max() < 1e-7:
-            break
+        return [float(v or 0) for v in curve(rows, a, b).agg(*(total(t) for t in terms)).first()]
+
+    a, b = newton(of_rows, *newton(of_cells, 1.0, 0.0, 200), 50)
     return max(a, 1e-3), b
 
 
