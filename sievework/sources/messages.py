@@ -20,12 +20,13 @@ def parse_messages(
 ) -> DataFrame:
     """Every message with its parsed ``record`` and, where it cannot be used, the ``reason``.
 
-    One bad body never fails the batch; the same expression serves batch and stream (S08, T07).
+    One bad body never fails the batch; the same expression serves batch and stream (S08, T07). A body is parsed
+    once: as a row of its own the record stays one column, which a plain one would not where a filter or several
+    fields use it.
     """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = messages.withColumn(
-        "record", F.from_json(body, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    )
+    record = F.from_json(body, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = messages.drop("record").select("*", F.explode(F.array(record)).alias("record"))
     missing = F.lit(False)
     for name in required:
         missing = missing | F.col(f"record.{name}").isNull()
