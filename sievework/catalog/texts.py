@@ -400,14 +400,13 @@ def _(t):
 SELECT resource_id, title AS tender_title, ml_bid AS should_bid, round(ml_confidence, 6) AS confidence, strlen(pdf_text) AS text_bytes,
  CASE WHEN ml_bid THEN 'URGENT' ELSE 'NORMAL' END AS priority FROM predicted"""))
 def _(t):
-    body = F.col("body")
     sent = messages.scored_message(_predicted_with_text(t), F.lit(AS_OF).cast("timestamp_ntz"))
-    read = lambda path, kind="string": F.get_json_object(body, path).cast(kind)
-    return sent.select(
-        read("$.resource_id", "bigint").alias("resource_id"), read("$.tender_title").alias("tender_title"),
-        read("$.ml_prediction.should_bid", "boolean").alias("should_bid"),
-        F.round(read("$.ml_prediction.confidence", "double"), 6).alias("confidence"),
-        F.octet_length(read("$.pdf_content")).alias("text_bytes"), read("$.priority").alias("priority"),
+    # Read back in one go; a path for each field would walk the whole text each time.
+    fields = "resource_id string, tender_title string, ml_prediction struct<should_bid:boolean,confidence:double>, pdf_content string, priority string"
+    read = sent.select(F.explode(F.array(F.from_json("body", fields))).alias("m"))
+    return read.select(
+        F.col("m.resource_id").cast("bigint").alias("resource_id"), "m.tender_title", "m.ml_prediction.should_bid",
+        F.round("m.ml_prediction.confidence", 6).alias("confidence"), F.octet_length("m.pdf_content").alias("text_bytes"), "m.priority",
     )
 
 

@@ -24,3 +24,12 @@ def test_rejected_messages_are_parsed_once(spark):
     held = messages.quarantined(messages.parse_messages(bodies, schemas.UNION_MESSAGE))
     assert plan(held).count("from_json") == 1
     assert sorted((r.body or "", r.reason, r.attempt) for r in held.collect()) == [("", "no body", 1), ("{", "not parseable", 1)]
+
+
+def test_scored_messages_are_read_in_one_parse(spark):
+    from sievework.catalog import load
+
+    rows = load()[0]["scored_message"](spark, "/root/testdata/sf0.001")
+    assert plan(rows).count("get_json_object") == 0
+    assert plan(rows).count("from_json") == 1
+    assert rows.where("text_bytes > 0").count() > 0
