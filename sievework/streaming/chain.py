@@ -24,6 +24,7 @@ from sievework.sources import messages
 
 DAILY = {"availableNow": True}
 QUICK = {"processingTime": "5 seconds"}
+KEY_SLOTS = 1 << 25             # bits that stand for the keys of a batch, 4 MB
 
 
 @dataclass(frozen=True)
@@ -80,12 +81,29 @@ def ingest_batch(
     return spark.read.schema(single.schema).parquet(f"{sinks.path('notices')}/batch={batch_id}")
 
 
+def only_keys(docs: DataFrame, wanted: DataFrame, key: str = "resource_id") -> DataFrame:
+    """The rows of ``docs`` whose key is among those ``wanted``, and some others; they stay where they are read.
+
+    A bit for each of ``KEY_SLOTS`` hashes of keys tells whether one of them is wanted. The bits come as one
+    row for each 32,768 of them, whose number is fixed, so they are sent to the tasks and the texts are not
+    shuffled. A join by key has to follow, which leaves the others out.
+    """
+    # In the type of the wanted ones, since equal numbers of two types have two hashes.
+    slot = F.pmod(F.xxhash64(F.col(key).try_cast(wanted.schema[key].dataType)), F.lit(KEY_SLOTS))
+    places = wanted.select(F.bitmap_bucket_number(slot).alias("_bucket"), F.bitmap_bit_position(slot).alias("_place"))
+    bits = places.groupBy("_bucket").agg(F.bitmap_construct_agg("_place").alias("_bits"))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = docs.join(F.broadcast(bits), F.bitmap_bucket_number(slot) == F.col("_bucket"))
+    return near.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*docs.columns)
+
+
 def score_batch(
     fresh: DataFrame, batch_id: int, sinks: Sinks, docs: DataFrame, detect: screening.Detector, now: Column,
     lexicon: Lexicon | None = None, authorities: Mapping[str, int] | None = None,
 ) -> None:
     """Texts of the new notices to codes and scores; short or missing texts go on with their title only."""
-    own = docs.join(fresh.select("resource_id"), "resource_id", "left_semi")
+    own = only_keys(docs, fresh)
     rows = fresh.join(screening.document_features(own, detect, lexicon), "resource_id", "left")
     staged = rows.withColumn("processing_stage", screening.next_stage()).persist(StorageLevel.MEMORY_AND_DISK)
     direct = staged.where("processing_stage = 'ai_summary_title_only'").withColumn("pdf_text", F.lit(""))
