@@ -91,7 +91,7 @@ def hashed_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row for each window and form that differs from the form before: ``hash``, place (``at``) and ``form``.
 
     Only bare numbers are spread, so what stays together with them, the words and the hashes of each form, is
-    not copied unless a row goes on; :func:`described` needs it. ``n_words`` is that of the text.
+    not copied unless a row goes on; :func:`cut_out` takes a window's share of it. ``n_words`` is that of the text.
     """
     keys = [c for c in rows.columns if c != "text"]
     rows = with_words(rows)
@@ -106,23 +106,33 @@ def hashed_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.where(~F.coalesce(again, F.lit(False))).drop("place")
 
 
-def described(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The windows with the values under their placeholders (``slots``, null if none), whether they take the
-    capital of a sentence for a name (``guess``), and whether they are a further form with the words in
-    place of the placeholders (``literal``).
+def cut_out(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The windows with their own words and kinds in place of those of the whole text.
+
+    All windows of a text that met an item leave the join before the next text is read, each as a row of its
+    own. The cuts need no function of a lambda, so they belong to the code of the join, and none of these rows
+    holds a copy of the text.
+    """
+    inside = {c: F.slice(c, F.col("at") + 1, F.lit(window)) for c in ("words", "kinds")}
+    return rows.withColumns(inside | {"bare_hash": F.get("bare", "at"), "typed": F.col("plain").isNotNull()}).drop(*FORMS)
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """The windows of :func:`cut_out` with the values under their placeholders (``slots``, null if none), whether
+    they take the capital of a sentence for a name (``guess``), and whether they are a further form with the words
+    in place of the placeholders (``literal``).
     """
-    kinds, words = F.slice("kinds", F.col("at") + 1, F.lit(window)), F.slice("words", F.col("at") + 1, F.lit(window))
-    slots = lambda typed: F.zip_with(words, kinds, lambda w, k: F.when(k.isin(*typed), w))
+    slots = lambda typed: F.zip_with("words", "kinds", lambda w, k: F.when(k.isin(*typed), w))
     form = F.col("form")
-    literal = (form == 0) & F.col("plain").isNotNull()
-    values = F.when(literal | ((form == 1) & (F.col("hash") != F.get("bare", "at"))), slots(VALUES)).when(form == 2, slots(NAMES)).when(form == 3, slots(GUESSES))
+    literal = (form == 0) & F.col("typed")
+    values = F.when(literal | ((form == 1) & (F.col("hash") != F.col("bare_hash"))), slots(VALUES)).when(form == 2, slots(NAMES)).when(form == 3, slots(GUESSES))
     rows = rows.withColumns({"slots": values, "guess": form == 3, "literal": literal})
-    return rows.drop("words", "kinds", "form", *FORMS)
+    return rows.drop("words", "kinds", "form", "bare_hash", "typed")
 
 
 def windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row for each window of the texts; see :func:`hashed_windows` and :func:`described`."""
-    return described(hashed_windows(rows, window), window)
+    """One row for each window of the texts; see :func:`hashed_windows`, :func:`cut_out` and :func:`described`."""
+    return described(cut_out(hashed_windows(rows, window), window))
 
 
 def short_sizes(benchmark: DataFrame) -> list[int]:
@@ -192,7 +202,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         own = items.where(F.pmod(F.xxhash64("item_id", "item_row"), F.lit(max(n_blocks, 1))) == block)
         for size in (WINDOW, *sizes):
             met = hashed_windows(rows, size).join(F.broadcast(own.where(F.col("size") == size).drop("size")), "hash")
-            found.append(described(met, size))
+            found.append(described(cut_out(met, size)))
     met = reduce(DataFrame.unionByName, found)
     values = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     pairs = F.filter(F.coalesce(values, F.array().cast("array<struct<item:string,doc:string>>")), lambda p: p["item"].isNotNull())
