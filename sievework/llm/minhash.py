@@ -23,7 +23,9 @@ from sievework.llm.common import U64, Words, blocks, connected, mix, on_tables,
 VALUES, BITS, DISTANCE = 64, 16, 25
 CHUNKS = (DISTANCE + 2) // 2        # one chunk has at most one wrong value
 FIRST_CHUNKS = 3                    # chunks whose keys the first stars use
-BLOCK = 1024                        # classes of a family that one task compares with as many others
+BLOCK = 1024                        # classes of a family that are compared as a matrix
+BLOCK_SETS, BLOCK_MEMBERS = 1 << 16, 1 << 20    # classes, and members of their sets, of a family that one task compares with as many others
+PAIRS, LOOKUPS = 1 << 20, 1 << 21   # candidates, and members of their smaller sets, that are looked at together
 COLUMNS = 4096                      # shingles of one matrix product
 FILTER_BITS = 24                    # the scan filter holds 2^24 bits, whatever the data
 SEEDS = mix(np.arange(1, 2 * VALUES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
@@ -124,6 +126,104 @@ def forest(linked: np.ndarray) -> np.ndarray:
         label = low
 
 
+def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Put both ends of each link under the smaller of their labels; a label is a member that has it itself."""
+    while True:
+        one, other = label[a], label[b]
+        apart = one != other
+        if not apart.any():
+            return
+        a, b, one, other = a[apart], b[apart], one[apart], other[apart]
+        np.minimum.at(label, np.maximum(one, other), np.minimum(one, other))
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
+def rare_first_forest(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """What :func:`forest` makes of all links among the sets, without a matrix of all pairs.
+
+    Members are ordered from rare to frequent. Linked sets share a member among the first of each, which are
+    as many as a set can miss of its own, and one more; only sets that meet in one of these are candidates.
+    Links to the first set of each meeting join copies; then what is left apart is compared, pair by pair.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(counts), np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+    width = len(counts)
+    held = np.sort(owner * width + rank[column])        # by set, then from rare to frequent
+    member = held - owner * width
+    at = np.arange(len(held)) - starts[owner]
+    early = np.flatnonzero(at < (sizes + (-percent * sizes // 100) + 1)[owner])
+    early = early[np.argsort(member[early], kind="stable")]
+    label = np.arange(len(sets))
+
+    def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the pairs are linked, by members of the smaller set that the other one has."""
+        small, large = np.where(sizes[a] <= sizes[b], a, b), np.where(sizes[a] <= sizes[b], b, a)
+        out, ends = np.zeros(len(a), bool), np.cumsum(sizes[small])
+        first = 0
+        while first < len(a):
+            to = max(int(np.searchsorted(ends, (ends[first - 1] if first else 0) + LOOKUPS, "right")), first + 1)
+            s, l = small[first:to], large[first:to]
+            pair = np.repeat(np.arange(len(s)), sizes[s])
+            inside = np.arange(len(pair)) - (np.cumsum(sizes[s]) - sizes[s])[pair]
+            wanted = l[pair] * width + member[starts[s][pair] + inside]
+            place = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
+            both = np.bincount(pair[held[place] == wanted], minlength=len(s))
+            out[first:to] = 100 * both >= percent * (sizes[s] + sizes[l] - both)
+            first = to
+        return out
+
+    def look(i: np.ndarray, j: np.ndarray) -> None:
+        """Join what is linked among the sets that meet in these places, unless it is known to belong together."""
+        a, b = owner[i], owner[j]
+        # At the first member that two sets share, what is left of both must do for a link.
+        left = np.minimum(sizes[a] - at[i], sizes[b] - at[j])
+        some = (label[a] != label[b]) & ((100 + percent) * left >= percent * (sizes[a] + sizes[b]))
+        pairs = np.unique(np.minimum(a, b)[some] * len(sets) + np.maximum(a, b)[some])
+        a, b = pairs // len(sets), pairs % len(sets)
+        some = linked(a, b)
+        merge(label, a[some], b[some])
+
+    def meetings() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places that meet, by meeting and label, small meetings first; the end of each one's label there and of its meeting."""
+        key = member[early]
+        new = np.append(True, key[1:] != key[:-1])
+        group = np.cumsum(new) - 1
+        low, high = np.minimum.reduceat(label[owner[early]], np.flatnonzero(new)), np.maximum.reduceat(label[owner[early]], np.flatnonzero(new))
+        kept = (low != high)[group]
+        places, group = early[kept], group[kept]
+        group = np.bincount(group, minlength=len(low))[group] * len(low) + group
+        order = np.lexsort((label[owner[places]], group))
+        places, group = places[order], group[order]
+        ends = lambda change: np.repeat(*(lambda e: (e, np.diff(e, prepend=0)))(np.append(np.flatnonzero(change) + 1, len(places))))
+        other = group[1:] != group[:-1]
+        own = label[owner[places]]
+        return places, ends(other | (own[1:] != own[:-1])), ends(other)
+
+    def among(places: np.ndarray, own: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        """Look at each of the ``own`` with those from ``begin`` to ``end``; all of them are positions in ``places``."""
+        counts = end - begin
+        total, first = np.append(0, np.cumsum(counts)), 0
+        while first < len(own):
+            to = max(int(np.searchsorted(total, total[first] + PAIRS, "right")) - 1, first + 1)
+            k = np.repeat(np.arange(first, to), counts[first:to])
+            i, j = places[own[k]], places[begin[k] + np.arange(total[first], total[to]) - total[k]]
+            apart = label[owner[i]] != label[owner[j]]
+            look(i[apart], j[apart])
+            first = to
+
+    places, _, end = meetings()
+    firsts = np.flatnonzero(np.append(True, end[1:] != end[:-1]))[:len(places)]
+    among(places, firsts, firsts + 1, end[firsts])
+    places, own_end, end = meetings()
+    among(places, np.arange(len(places)), own_end, end)
+    return label
+
+
 def compared(group: pa.Table, percent: int) -> pa.Table:
     """Edges of a spanning forest of the links in the families of a group, or in two blocks of one."""
     group = group.sort_by([("family", "ascending"), ("cls", "ascending")])
@@ -133,9 +233,12 @@ def compared(group: pa.Table, percent: int) -> pa.Table:
     nodes, lows = [], []
     for a, b in zip(bounds[:-1], bounds[1:]):
         if b - a > 1:
-            sizes = np.array([len(s) for s in sets[a:b]], np.float64)
-            both = common_counts(sets[a:b])
-            label = forest(100 * both >= percent * (sizes[:, None] + sizes[None] - both))
+            if b - a > BLOCK:
+                label = rare_first_forest(sets[a:b], percent)
+            else:
+                sizes = np.array([len(s) for s in sets[a:b]], np.float64)
+                both = common_counts(sets[a:b])
+                label = forest(100 * both >= percent * (sizes[:, None] + sizes[None] - both))
             some = np.flatnonzero(label != np.arange(b - a))
             nodes.append(classes[a:b][some])
             lows.append(classes[a:b][label[some]])
@@ -221,19 +324,23 @@ class NearDuplicates:
     def components(self) -> DataFrame:
         """(cls, comp) of the classes that have links, named by the smallest class.
 
-        Within each family all classes are compared on their full sets, in pairs of blocks: a large
-        family becomes many tasks, and each gives a forest of what it has linked, not its pairs.
-        Small families share tasks.
+        Within each family all classes are compared on their full sets, the larger families by their rare
+        members first. Blocks hold as many sets as a task can, since each set is sent to a task for every
+        block of its family; a task gives a forest of what it has linked, not its pairs. Small families
+        share tasks.
         """
-        families = stored(self.families(), "families")
-        sizes = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        placed = families.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("cls", F.lit(3)), "blocks"))
-        shared = families.count() // BLOCK + 1
-        packed = F.when(F.col("blocks") > 1, F.col("family")).otherwise(F.pmod(F.xxhash64("family", F.lit(5)), F.lit(shared)))
+        families = stored(self.families().join(self.classes.select("cls", "n"), "cls"), "families")
+        blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_MEMBERS))
+        alone = (F.count("*") > BLOCK) | (F.sum("n") > BLOCK_MEMBERS / 4)
+        sizes = families.groupBy("family").agg(blocks.alias("blocks"), alone.alias("alone"))
+        placed = families.drop("n").join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("cls", F.lit(3)), "blocks"))
+        n, members = families.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        shared = max(n // BLOCK, members // BLOCK_MEMBERS) + 1
+        packed = F.when(F.col("alone"), F.col("family")).otherwise(F.pmod(F.xxhash64("family", F.lit(5)), F.lit(shared)))
         full = stored(self.sets(placed.withColumn("pack", packed)), "sets")
         pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("x"), F.greatest("block", k).alias("y")))
-        dealt = full.select("cls", "family", "members", "pack", (F.col("blocks") > 1).alias("large"), F.explode(pairs).alias("p")).select("*", "p.x", "p.y").drop("p")
-        edges = dealt.groupBy("large", "pack", "x", "y").applyInArrow(on_tables(compared, percent=self.percent), "a long, b long")
+        dealt = full.select("cls", "family", "members", "pack", "alone", F.explode(pairs).alias("p")).select("*", "p.x", "p.y").drop("p")
+        edges = dealt.groupBy("alone", "pack", "x", "y").applyInArrow(on_tables(compared, percent=self.percent), "a long, b long")
         return connected(edges, "links").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
 
     def result(self) -> DataFrame:
